@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index, scope_of
 from quarry.operators.requests import CONSTRAINT, SCOPE, Requests, live_searches, scopes
-from quarry.scale import lookup_join
+from quarry.scale import lookup_join, settle
 
 
 def clause_scores(matches: DataFrame) -> DataFrame:
@@ -99,14 +101,15 @@ def compose(matches: DataFrame | None, req: Requests, index: Index) -> DataFrame
     The match rows are exchanged once, by search and document; every grouping
     above them reuses that partitioning.
     """
-    live = live_searches(req)
+    live = settle(live_searches(req), "live")[0]
     parts = []
     if matches is not None:
         placed = matches.repartition("search_id", "doc_id")
         grouped = group_hits(clause_scores(placed), req.groups, req.small)
         parts.append(search_hits(grouped, live, req.small))
-    parts.append(all_of_set(live, index, req.small))
-    hits = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if matches is None or "open" in req.features:
+        parts.append(all_of_set(live, index, req.small))
+    hits = reduce(DataFrame.unionByName, parts)
     if "linking" in req.features:
         hits = within_linking(hits, req, index)
     return hits.withColumn("score", F.round("score", 6))

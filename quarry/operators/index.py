@@ -45,6 +45,7 @@ class Index:
     term_stats: DataFrame
     field_stats: DataFrame
     points: DataFrame
+    phonetic: bool = False
 
 
 def base_tokens(values: DataFrame, phonetic: bool) -> DataFrame:
@@ -168,19 +169,21 @@ def build_index(
     folder, because matching, statistics and vocabulary all read them.
     """
     spoken = property_types.where(F.col("analyzer") == text.METAPHONE).select("property_id")
-    postings = build_postings(typed_values, None if spoken.isEmpty() else spoken)
+    phonetic = not spoken.isEmpty()
+    postings = build_postings(typed_values, spoken if phonetic else None)
     if keep:
         postings = materialize(postings, "postings")
-    stats = term_stats(postings)
+    terms, fields = term_stats(postings), field_stats(postings)
     if keep:
-        stats = materialize(stats, "term_stats")
+        terms, fields = materialize(terms, "term_stats"), materialize(fields, "field_stats")
     return Index(
         values=typed_values,
         elements=elements,
         property_types=property_types,
         postings=postings,
         typed_terms=typed_terms(typed_values),
-        term_stats=stats,
-        field_stats=field_stats(postings),
+        term_stats=terms,
+        field_stats=fields,
         points=points(typed_values),
+        phonetic=phonetic,
     )

@@ -65,7 +65,8 @@ def distance_keys(hits: DataFrame, index: Index) -> DataFrame:
     metres = geo.haversine(F.col("lat"), F.col("lon"), F.col("sort_lat"), F.col("sort_lon"))
     keyed = (
         hits.join(points, ["entity_type_id", "doc_id", "sort_property_id"], "left")
-        .withColumn("metres", F.round(metres, 3))
+        # A document without a point counts as infinitely far away.
+        .withColumn("metres", F.when(F.col("lat").isNull(), float("inf")).otherwise(F.round(metres, 3)))
         .groupBy("search_id", "doc_id", "score", "descending")
         .agg(F.min("metres").alias("near"), F.max("metres").alias("far"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry import schemas
 from quarry.functions import text
 from quarry.operators.index import LINKED
-from quarry.scale import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
+from quarry.scale import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, local_table
 
 CONSTRAINT = ["search_id", "group_no", "constraint_no"]
 CLAUSE = [*CONSTRAINT, "detail_no", "exact", "n_exact", "item_no"]
@@ -38,7 +38,7 @@ class Requests:
 
         def table(name: str, schema) -> DataFrame:
             given = tables.get(name)
-            return spark.createDataFrame([], schema) if given is None else given
+            return local_table(spark, [], schema) if given is None else given
 
         requests = cls(
             searches=searches,
@@ -85,6 +85,9 @@ class Requests:
             measure(self.details, detail_marks),
             measure(self.authorized),
             measure(self.linking),
+            self.searches.join(self.groups, "search_id", "left_anti").select(
+                F.lit(0).alias("bytes"), F.lit("open").alias("feature"), F.lit(0).alias("rank")
+            ),
         ]
         measured = (
             reduce(DataFrame.unionByName, parts)

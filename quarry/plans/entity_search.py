@@ -5,29 +5,26 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from quarry.functions.text import METAPHONE
 from quarry.operators import predicates as P
 from quarry.operators.compose import compose
 from quarry.operators.index import Index
 from quarry.operators.rank import page, sort_keys, totals
 from quarry.operators.requests import Requests, text_clauses
+from quarry.scale import settle
 
 
 def text_match_rows(req: Requests, index: Index) -> list[DataFrame]:
     """Match rows of the text constraints, one DataFrame per kind of clause in use."""
-    clauses = text_clauses(req, index.property_types)
-    phonetic = not index.property_types.where(F.col("analyzer") == METAPHONE).isEmpty()
-    tokens = P.query_tokens(clauses, phonetic)
+    clauses, small = settle(text_clauses(req, index.property_types), "clauses")
+    tokens = P.query_tokens(clauses, index.phonetic)
     parts = [
-        P.term_matches(tokens.where("kind = 'plain'"), index, req.small),
-        P.typed_matches(clauses, index, req.small),
+        P.term_matches(tokens.where("kind = 'plain'"), index, small),
+        P.typed_matches(clauses, index, small),
     ]
     if "phrase" in req.features:
-        parts.append(P.phrase_matches(tokens.where("kind = 'phrase'"), index, req.small))
+        parts.append(P.phrase_matches(tokens.where("kind = 'phrase'"), index, small))
     if "fuzzy" in req.features:
-        parts.append(P.fuzzy_matches(P.normalized(clauses), index, req.small))
+        parts.append(P.fuzzy_matches(P.normalized(clauses), index, small))
     return parts
 
 

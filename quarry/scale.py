@@ -10,8 +10,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -70,6 +73,18 @@ def fits(
     return measured["n"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
 
+def settle(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """Compute a request-side table once; say whether it is small.
+
+    Up to the broadcast bounds it becomes a local table of known size, beyond them
+    a written one. No more than the bound plus one row reaches the driver.
+    """
+    head = df.limit(BROADCAST_MAX_ROWS + 1).toArrow()
+    if head.num_rows <= BROADCAST_MAX_ROWS and head.nbytes <= BROADCAST_MAX_BYTES:
+        return df.sparkSession.createDataFrame(head, df.schema), True
+    return materialize(df, name), False
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -94,3 +109,13 @@ def lookup_join(
     sliced = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = big.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     return spread.join(sliced, [*keys, "_slice"], how).drop("_slice")
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A table of driver-side rows (searches, property types) with a size Spark knows."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    arrow = pa.Table.from_arrays(
+        [pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, schema)],
+        names=schema.fieldNames(),
+    )
+    return spark.createDataFrame(arrow, schema)

@@ -22,13 +22,15 @@ ENTITY_SETS = _struct(
 
 # One row per (document, element, property, value). A linked document has no
 # top-level entity_set_id; each of its elements keeps the set it came from.
+# ``ord`` names the element within its document: "0" in a normal document,
+# set and key of the source entity in a linked one.
 ENTITY_VALUES = _struct(
-    entity_type_id=_s, doc_id=_s, entity_set_id=_s, ord=_i, elem_entity_key_id=_s,
+    entity_type_id=_s, doc_id=_s, entity_set_id=_s, ord=_s, elem_entity_key_id=_s,
     elem_entity_set_id=_s, property_id=_s, value_no=_i, value=_s,
 )
 
 ELEMENTS = _struct(
-    entity_type_id=_s, doc_id=_s, entity_set_id=_s, ord=_i, elem_entity_set_id=_s,
+    entity_type_id=_s, doc_id=_s, entity_set_id=_s, ord=_s, elem_entity_set_id=_s,
     last_write=T.TimestampNTZType(),
 )
 
