@@ -67,14 +67,15 @@ def fuzzy_rewrite(term: Column) -> Column:
 
     Trailing blanks vanish; inner double blanks leave a lone ``~``.
     """
-    parts = F.split(F.regexp_replace(term, " +$", ""), " ", -1)
+    trimmed = F.regexp_replace(term, " +$", "")
+    parts = F.split(trimmed, " ", -1)
     marked = F.transform(
         parts,
         lambda t: F.when(F.endswith(t, F.lit("~")) | F.endswith(t, F.lit('"')), t).otherwise(
             F.concat(t, F.lit("~"))
         ),
     )
-    return F.array_join(marked, " ")
+    return F.when((trimmed == "") & (term != ""), "").otherwise(F.array_join(marked, " "))
 
 
 def query_items(query: Column) -> Column:

@@ -212,6 +212,27 @@ def polygon_matches(req: Requests, index: Index) -> DataFrame:
     return _constant(inside)
 
 
+# --- nested id lists -------------------------------------------------------
+
+
+def lists_with_all(asked: DataFrame, lists: DataFrame) -> DataFrame:
+    """(search_id, entity_set_id) where the set's nested ids contain every id asked for.
+
+    ``asked`` has search_id, property_ids; ``lists`` has entity_set_id, property_ids.
+    An equi-join on single ids, then a count: no search is paired with every set.
+    """
+    wanted = asked.select(
+        "search_id", F.size(F.array_distinct("property_ids")).alias("n_ids"),
+        F.explode(F.array_distinct("property_ids")).alias("property_id"),
+    )
+    held = lists.select("entity_set_id", F.explode(F.array_distinct("property_ids")).alias("property_id"))
+    met = lookup_join(held, wanted, ["property_id"], ["entity_set_id"])
+    return (
+        met.groupBy("search_id", "entity_set_id", "n_ids").agg(F.count(F.lit(1)).alias("n_met"))
+        .where("n_met = n_ids").select("search_id", "entity_set_id")
+    )
+
+
 # --- write time ------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quarry.operators.index import Index
 
@@ -32,5 +33,9 @@ def write_index(index: Index, path: str, files_per_table: int | None = None) ->
 
 def read_index(spark: SparkSession, path: str) -> Index:
     tables = {name: spark.read.parquet(f"{path}/{name}") for name in TABLES}
+    for name, table in tables.items():
+        if "entity_type_id" in table.columns:
+            # Partition values that look like numbers are read back as text.
+            tables[name] = table.withColumn("entity_type_id", F.col("entity_type_id").cast("string"))
     phonetic = not tables["property_types"].where("analyzer = 'METAPHONE'").isEmpty()
     return Index(**tables, phonetic=phonetic)

@@ -38,14 +38,14 @@ class DocumentStore:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Add or replace documents."""
-        self._append(batch.withColumn("deleted", F.lit(False)), batch_id)
+        self.append(batch.withColumn("deleted", F.lit(False)), batch_id)
 
     def remove(self, doomed: DataFrame, batch_id: int) -> None:
         """Delete by key; ``doomed`` has the keys and the sequence column."""
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name not in doomed.columns]
-        self._append(doomed.select("*", *empty).withColumn("deleted", F.lit(True)), batch_id)
+        self.append(doomed.select("*", *empty).withColumn("deleted", F.lit(True)), batch_id)
 
-    def _append(self, rows: DataFrame, batch_id: int) -> None:
+    def append(self, rows: DataFrame, batch_id: int) -> None:
         rows.select(self._logged.fieldNames()).write.mode("overwrite").parquet(
             f"{self.path}/log/batch={batch_id}"
         )

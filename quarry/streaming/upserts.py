@@ -24,7 +24,7 @@ def upsert_stream(
         if deletes is None:
             store.write(rows, batch_id)
         else:
-            store._append(rows.withColumnRenamed(deletes, "deleted"), batch_id)
+            store.append(rows.withColumnRenamed(deletes, "deleted"), batch_id)
 
     return (
         stream.writeStream.foreachBatch(write)
