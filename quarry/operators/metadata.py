@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.ingest import latest, split_rejects, upsert
+from quarry.scale import lookup_join
 
 # Object kinds that have a table.
 KINDS = [
@@ -64,7 +65,8 @@ def delete_objects(
     """Remove objects by (kind, id); entity and association types lose their data too."""
     kept = objects.join(doomed.select("kind", "id").distinct(), ["kind", "id"], "left_anti")
     types = doomed.where(F.col("kind").isin(DATA_KINDS)).select(F.col("id").alias("entity_type_id")).distinct()
-    return kept, values.join(types, "entity_type_id", "left_anti")
+    rest = [c for c in values.columns if c != "entity_type_id"]
+    return kept, lookup_join(values, types, ["entity_type_id"], rest, how="left_anti")
 
 
 def patch(
@@ -100,7 +102,7 @@ def entity_set_catalog(entity_sets: DataFrame, property_types: DataFrame) -> Dat
     wanted = entity_sets.select("entity_set_id", F.posexplode("property_ids").alias("pos", "property_id"))
     known = property_types.select("property_id", F.struct(property_types.columns).alias("property_type"))
     listed = (
-        wanted.join(known, "property_id", "left")
+        lookup_join(wanted, known, ["property_id"], ["entity_set_id"], how="left")
         .groupBy("entity_set_id")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "property_type"))).alias("listed"))
     )
