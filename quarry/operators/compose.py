@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index, scope_of
-from quarry.operators.requests import CONSTRAINT, SCOPE, Requests, live_searches, scopes
-from quarry.scale import lookup_join, settle
+from quarry.operators.requests import CONSTRAINT, SCOPE, Requests, scopes
+from quarry.scale import lookup_join
 
 
 def clause_scores(matches: DataFrame) -> DataFrame:
@@ -95,13 +95,12 @@ def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     return normal.unionByName(kept)
 
 
-def compose(matches: DataFrame | None, req: Requests, index: Index) -> DataFrame:
+def compose(matches: DataFrame | None, req: Requests, live: DataFrame, index: Index) -> DataFrame:
     """Hits (search_id, doc_id, score) of all searches.
 
     The match rows are exchanged once, by search and document; every grouping
     above them reuses that partitioning.
     """
-    live = settle(live_searches(req), "live")[0]
     parts = []
     if matches is not None:
         placed = matches.repartition("search_id", "doc_id")

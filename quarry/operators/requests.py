@@ -179,12 +179,11 @@ def live_searches(req: Requests) -> DataFrame:
     )
 
 
-def text_clauses(req: Requests, property_types: DataFrame) -> DataFrame:
+def text_clauses(req: Requests, live: DataFrame, property_types: DataFrame) -> DataFrame:
     """Clauses of the search text of live searches, one row per searched property.
 
     A simple constraint searches every authorised property, a detail its own.
     """
-    live = live_searches(req).select("search_id")
     simple = (
         req.constraints.where(F.col("search_type") == "simple")
         .join(req.authorized, "search_id")
@@ -210,8 +209,7 @@ def text_clauses(req: Requests, property_types: DataFrame) -> DataFrame:
         )
         queries = simple.unionByName(details)
     return (
-        queries.join(live, "search_id", "left_semi")
-        .join(scopes(req.searches), "search_id")
+        queries.join(scopes(live), "search_id")
         .join(property_types.select("property_id", "datatype", "analyzer"), "property_id")
         .select(
             *[c for c in CLAUSE if c != "item_no"], *SCOPE, "property_id", "datatype", "analyzer",

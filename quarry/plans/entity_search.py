@@ -9,13 +9,13 @@ from quarry.operators import predicates as P
 from quarry.operators.compose import compose
 from quarry.operators.index import Index
 from quarry.operators.rank import page, sort_keys, totals
-from quarry.operators.requests import Requests, text_clauses
+from quarry.operators.requests import Requests, live_searches, text_clauses
 from quarry.scale import settle
 
 
-def text_match_rows(req: Requests, index: Index) -> list[DataFrame]:
+def text_match_rows(req: Requests, live: DataFrame, index: Index) -> list[DataFrame]:
     """Match rows of the text constraints, one DataFrame per kind of clause in use."""
-    clauses, small = settle(text_clauses(req, index.property_types), "clauses")
+    clauses, small = settle(text_clauses(req, live, index.property_types), "clauses")
     tokens = P.query_tokens(clauses, index.phonetic)
     parts = [
         P.term_matches(tokens.where("kind = 'plain'"), index, small),
@@ -28,11 +28,11 @@ def text_match_rows(req: Requests, index: Index) -> list[DataFrame]:
     return parts
 
 
-def match_rows(req: Requests, index: Index) -> DataFrame | None:
+def match_rows(req: Requests, live: DataFrame, index: Index) -> DataFrame | None:
     """Match rows of every constraint; only the predicates in use are planned."""
     parts: list[DataFrame] = []
     if {"simple", "advanced"} & req.features:
-        parts += text_match_rows(req, index)
+        parts += text_match_rows(req, live, index)
     if "geoDistance" in req.features:
         parts.append(P.distance_matches(req, index))
     if "geoPolygon" in req.features:
@@ -44,7 +44,8 @@ def match_rows(req: Requests, index: Index) -> DataFrame | None:
 
 def find(req: Requests, index: Index) -> DataFrame:
     """All hits (search_id, doc_id, score), unpaged."""
-    return compose(match_rows(req, index), req, index)
+    live, _ = settle(live_searches(req), "live")
+    return compose(match_rows(req, live, index), req, live, index)
 
 
 def search(req: Requests, index: Index) -> DataFrame:

@@ -16,7 +16,7 @@ from quarry.operators.ingest import long_values
 from quarry.operators.requests import Requests
 from quarry.operators.typing_ops import evolve, type_values
 from quarry.plans.catalog_search import catalog_index, entity_set_values, index_of, organization_values
-from quarry.scale import local_table
+from quarry.scale import local_table, settle
 
 ELEMENTS_PER_LINK = 5
 
@@ -282,6 +282,7 @@ def requests(
     full = searches.select(
         "*", *[c.alias(n) for n, c in defaults.items() if n not in searches.columns]
     ).select(schemas.SEARCHES.fieldNames())
+    full, _ = settle(full, "searches")
     ids = full.select("search_id")
 
     def every(rows: list[tuple], schema) -> DataFrame:

@@ -73,17 +73,17 @@ def osa(x: str, y: str) -> str:
     swap_j = swap.replace("CAST(i AS INT)", "CAST(j AS INT)")
     pre = f"substr({x},1,CAST(i AS INT)-1) = substr({y},1,CAST(i AS INT)-1)"
     one = (
-        f"(levenshtein({x},{y}) <= 1 OR (length({x}) = length({y}) AND len(list_filter(range(1, length({x})), i -> "
+        f"(levenshtein({x},{y}) <= 1 OR (length({x}) = length({y}) AND len(list_filter(range(1, length({x})), lambda i: "
         f"{swap} AND {pre} AND substr({x},CAST(i AS INT)+2) = substr({y},CAST(i AS INT)+2))) > 0))"
     )
     two = (
         f"(levenshtein({x},{y}) <= 2 OR (damerau_levenshtein({x},{y}) <= 2 AND ("
-        f"len(list_filter(range(1, length({x})), i -> len(list_filter([-1,0,1], o -> i+o >= 1 AND i+o < length({y}) "
+        f"len(list_filter(range(1, length({x})), lambda i: len(list_filter([-1,0,1], lambda o: i+o >= 1 AND i+o < length({y}) "
         f"AND substr({x},CAST(i AS INT),1) = substr({y},CAST(i+o AS INT)+1,1) AND substr({x},CAST(i AS INT)+1,1) = substr({y},CAST(i+o AS INT),1) "
         f"AND levenshtein(substr({x},1,CAST(i AS INT)-1), substr({y},1,CAST(i+o AS INT)-1)) "
         f"+ levenshtein(substr({x},CAST(i AS INT)+2), substr({y},CAST(i+o AS INT)+2)) <= 1)) > 0)) > 0 "
-        f"OR (length({x}) = length({y}) AND len(list_filter(range(1, length({x})), i -> {swap} AND {pre} AND "
-        f"len(list_filter(range(i+2, length({x})), j -> {swap_j} AND substr({x},CAST(i AS INT)+2,CAST(j-i AS INT)-2) = "
+        f"OR (length({x}) = length({y}) AND len(list_filter(range(1, length({x})), lambda i: {swap} AND {pre} AND "
+        f"len(list_filter(range(i+2, length({x})), lambda j: {swap_j} AND substr({x},CAST(i AS INT)+2,CAST(j-i AS INT)-2) = "
         f"substr({y},CAST(i AS INT)+2,CAST(j-i AS INT)-2) AND substr({x},CAST(j AS INT)+2) = substr({y},CAST(j AS INT)+2))) > 0)) > 0))))"
     )
     return f"CASE WHEN {x} = {y} THEN 0 WHEN {one} THEN 1 WHEN {two} THEN 2 END"
