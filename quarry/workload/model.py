@@ -61,7 +61,7 @@ def document_index(spark: SparkSession, sf_dir: str) -> Index:
     def build() -> Index:
         rows, keys = document_rows(spark, sf_dir)
         props = properties(spark, DOCUMENT_PROPERTIES)
-        written = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,cast(doc_id as int))")
+        written = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,cast(doc_id as int))")
         return build_index(
             type_values(document_values(spark, sf_dir), props), elements(rows, keys, written), props
         )
@@ -76,7 +76,7 @@ CUSTOMER_PROPERTIES = [
     ("segment", "String", NOT_ANALYZED), ("location", "GeographyPoint", None),
 ]
 LAT, LON = "cast(c_custkey * 37 % 1800 as double) / 10 - 90", "cast(c_custkey * 91 % 3600 as double) / 10 - 180"
-CUSTOMER_TIME = "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,cast(c_custkey as int))"
+CUSTOMER_TIME = "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,cast(c_custkey as int))"
 
 
 def customer_cells() -> dict[str, Column]:

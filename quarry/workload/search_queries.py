@@ -72,11 +72,10 @@ def linked_entity_search(spark, sf_dir):
     searches = m.table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("string").alias("search_id"), F.lit("linking").alias("entity_set_id"),
         F.lit("customer").alias("entity_type_id"), F.lit(True).alias("linking"), F.lit(5).alias("max_hits"))
-    details = searches.select(
-        "search_id", F.inline(F.array(
-            F.struct(F.lit(0).alias("group_no"), F.lit(0).alias("constraint_no"), F.lit(0).alias("detail_no"),
-                     F.lit("c_nationkey").alias("property_id"), F.col("search_id").alias("search_term"), F.lit(True).alias("exact_match")),
-            F.struct(F.lit(0), F.lit(2), F.lit(0), F.lit("segment"), F.lit("BUILDING"), F.lit(False)))))
+    details = searches.select("search_id", F.inline(F.array(*[
+        F.struct(F.lit(0).alias("group_no"), F.lit(n).alias("constraint_no"), F.lit(0).alias("detail_no"),
+                 F.lit(p).alias("property_id"), t.alias("search_term"), F.lit(exact).alias("exact_match"))
+        for n, p, t, exact in [(0, "c_nationkey", F.col("search_id"), True), (2, "segment", F.lit("BUILDING"), False)]])))
     req = m.requests(
         searches, CUSTOMER_FIELDS, groups=[(0, 2), (1, 1)], detail_rows=details, linking=_linking(searches, *SEGMENTS),
         constraints=[
