@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.index import Index, scope_of
 from quarry.operators.requests import CONSTRAINT, SCOPE, Requests, scopes
-from quarry.scale import lookup_join
+from quarry.scale import lookup_join, materialize
 
 
 def clause_scores(matches: DataFrame) -> DataFrame:
@@ -76,13 +76,12 @@ def all_of_set(live: DataFrame, index: Index, small: bool | None) -> DataFrame:
 
 def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     """Linked documents count only if an element comes from a normal set of the search."""
+    hits = materialize(hits, "unscoped_hits")
     linking = req.searches.where("linking").select("search_id", "entity_type_id")
     normal = lookup_join(hits, linking.select("search_id"), ["search_id"], ["doc_id"], req.small, "left_anti")
     linked = lookup_join(hits, linking, ["search_id"], ["doc_id"], small_fits=req.small)
-    sources = (
-        index.elements.where(F.col("entity_set_id").isNull())
-        .select("entity_type_id", "doc_id", F.col("elem_entity_set_id").alias("normal_entity_set_id"))
-        .distinct()
+    sources = index.elements.where(F.col("entity_set_id").isNull()).select(
+        "entity_type_id", "doc_id", F.col("elem_entity_set_id").alias("normal_entity_set_id")
     )
     kept = (
         lookup_join(

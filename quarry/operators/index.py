@@ -165,8 +165,8 @@ def build_index(
 ) -> Index:
     """All search tables of ``typed_values``.
 
-    With ``keep`` the postings and term statistics are written to the shared
-    folder, because matching, statistics and vocabulary all read them.
+    With ``keep`` they are written to the shared folder, so that no search goes
+    back to the raw values (a search for a number never reads text).
     """
     spoken = property_types.where(F.col("analyzer") == text.METAPHONE).select("property_id")
     phonetic = not spoken.isEmpty()
@@ -174,16 +174,18 @@ def build_index(
     if keep:
         postings = materialize(postings, "postings")
     terms, fields = term_stats(postings), field_stats(postings)
+    keys, places = typed_terms(typed_values), points(typed_values)
     if keep:
         terms, fields = materialize(terms, "term_stats"), materialize(fields, "field_stats")
+        keys, places = materialize(keys, "typed_terms"), materialize(places, "points")
     return Index(
         values=typed_values,
         elements=elements,
         property_types=property_types,
         postings=postings,
-        typed_terms=typed_terms(typed_values),
+        typed_terms=keys,
         term_stats=terms,
         field_stats=fields,
-        points=points(typed_values),
+        points=places,
         phonetic=phonetic,
     )

@@ -29,6 +29,7 @@ class Requests:
     authorized: DataFrame
     linking: DataFrame
     small: bool = False
+    small_pages: bool = False
     max_rank: int = 0
     features: set[str] = field(default_factory=set)
 
@@ -55,9 +56,11 @@ class Requests:
         """Row and byte counts of the request tables, deepest page, features in use."""
         none = F.lit(None).cast("string")
 
-        def measure(df: DataFrame, features=none, rank=F.lit(0)) -> DataFrame:
+        def measure(df: DataFrame, features=none, rank=F.lit(0), rows=F.lit(0)) -> DataFrame:
             size = F.octet_length(F.to_json(F.struct("*")))
-            return df.select(size.alias("bytes"), features.alias("feature"), rank.alias("rank"))
+            return df.select(
+                size.alias("bytes"), features.alias("feature"), rank.alias("rank"), rows.alias("page_rows")
+            )
 
         term = F.coalesce(F.col("search_term"), F.lit(""))
         marks = F.concat_ws(
@@ -79,6 +82,7 @@ class Requests:
                     F.when(F.col("linking"), "linking"),
                 ),
                 (F.col("start") + F.col("max_hits")),
+                F.col("max_hits"),
             ),
             measure(self.groups, F.lit("groups")),
             measure(self.constraints, F.concat(F.col("search_type"), marks)),
@@ -86,7 +90,7 @@ class Requests:
             measure(self.authorized),
             measure(self.linking),
             self.searches.join(self.groups, "search_id", "left_anti").select(
-                F.lit(0).alias("bytes"), F.lit("open").alias("feature"), F.lit(0).alias("rank")
+                F.lit(0).alias("bytes"), F.lit("open").alias("feature"), F.lit(0).alias("rank"), F.lit(0).alias("page_rows"),
             ),
         ]
         measured = (
@@ -95,6 +99,7 @@ class Requests:
                 F.count(F.lit(1)).alias("n"),
                 F.sum("bytes").alias("bytes"),
                 F.max("rank").alias("rank"),
+                F.sum("page_rows").alias("page_rows"),
                 F.collect_set("feature").alias("features"),
             )
             .first()
@@ -103,6 +108,8 @@ class Requests:
             measured["n"] <= BROADCAST_MAX_ROWS and (measured["bytes"] or 0) <= BROADCAST_MAX_BYTES
         )
         self.max_rank = measured["rank"] or 0
+        # Pages cannot hold more rows than were asked for.
+        self.small_pages = self.small and (measured["page_rows"] or 0) <= BROADCAST_MAX_ROWS
         self.features = {word for mix in measured["features"] for word in mix.split()}
 
 
@@ -145,7 +152,7 @@ def usable_constraints(req: Requests) -> DataFrame:
     A simple or a write-time constraint always does; an advanced one needs an
     authorised term, a geographic one an authorised property (and a polygon a zone).
     """
-    searchable = req.constraints.join(req.authorized.select("search_id").distinct(), "search_id", "left_semi")
+    searchable = req.constraints.join(req.authorized.select("search_id"), "search_id", "left_semi")
     by_property = searchable.where(
         (F.col("search_type") == "geoDistance")
         | ((F.col("search_type") == "geoPolygon") & (F.size("zones") > 0))
@@ -154,7 +161,7 @@ def usable_constraints(req: Requests) -> DataFrame:
     usable = always.unionByName(by_property.select(always.columns))
     if "advanced" in req.features:
         advanced = searchable.where(F.col("search_type") == "advanced").join(
-            authorised_details(req).select(*CONSTRAINT).distinct(), CONSTRAINT, "left_semi"
+            authorised_details(req).select(*CONSTRAINT), CONSTRAINT, "left_semi"
         )
         usable = usable.unionByName(advanced.select(always.columns))
     return usable
@@ -166,16 +173,16 @@ def live_searches(req: Requests) -> DataFrame:
     No authorised property, or one group without a usable constraint, makes the
     whole search return nothing.
     """
-    allowed = req.searches.join(req.authorized.select("search_id").distinct(), "search_id", "left_semi")
+    allowed = req.searches.join(req.authorized.select("search_id"), "search_id", "left_semi")
     if "groups" not in req.features:
         return allowed.withColumn("n_groups", F.lit(0).cast("bigint"))
-    alive = usable_constraints(req).select("search_id", "group_no").distinct()
-    dead = req.groups.join(alive, ["search_id", "group_no"], "left_anti").select("search_id").distinct()
-    counts = req.groups.groupBy("search_id").agg(F.count_distinct("group_no").alias("n_groups"))
+    alive = usable_constraints(req).select("search_id", "group_no")
+    dead = req.groups.join(alive, ["search_id", "group_no"], "left_anti").select("search_id")
+    counts = req.groups.groupBy("search_id").agg(F.size(F.collect_set("group_no")).cast("bigint").alias("n_groups"))
     return (
         allowed.join(dead, "search_id", "left_anti")
         .join(counts, "search_id", "left")
-        .withColumn("n_groups", F.coalesce("n_groups", F.lit(0)))
+        .withColumn("n_groups", F.coalesce("n_groups", F.lit(0).cast("bigint")))
     )
 
 

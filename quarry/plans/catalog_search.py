@@ -14,7 +14,7 @@ from quarry.operators.rank import page, sort_keys, totals
 from quarry.operators.requests import Requests
 from quarry.operators.typing_ops import type_values
 from quarry.plans.entity_search import find
-from quarry.scale import local_table, lookup_join
+from quarry.scale import local_table, lookup_join, materialize
 
 ENTITY_SET_FIELDS = ["id", "name", "title", "description"]
 ORGANIZATION_FIELDS = ["title", "description"]
@@ -79,19 +79,21 @@ def object_requests(spark: SparkSession, asked: list[tuple[str, str, str, int, i
     )
 
 
-def _with_documents(rows: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFrame:
+def _with_documents(hits: DataFrame, req: Requests, index: Index | None, docs: DataFrame) -> DataFrame:
     """Pages joined to the documents they name (``docs`` has doc_id and source columns)."""
+    hits = materialize(hits, "hits")
+    rows = page(sort_keys(hits, req, index), req)
     found = rows.select("search_id", "rn", "doc_id", "score").join(totals(hits), "search_id")
-    return lookup_join(docs, found, ["doc_id"], ["doc_id"])
+    return lookup_join(docs, found, ["doc_id"], ["doc_id"], small_fits=req.small_pages)
 
 
 def object_search(req: Requests, index: Index, objects: DataFrame) -> DataFrame:
     """Catalog objects of a kind by a fuzzy term over the fields of the kind."""
-    hits = find(req, index)
+    hits = materialize(find(req, index), "hits")
     rows = page(sort_keys(hits, req, index), req)
     docs = objects.select(F.col("id").alias("doc_id"), F.col("kind").alias("entity_set_id"), "doc")
     found = rows.select("search_id", "rn", "entity_set_id", "doc_id", "score").join(totals(hits), "search_id")
-    return lookup_join(docs, found, ["entity_set_id", "doc_id"], ["doc_id"])
+    return lookup_join(docs, found, ["entity_set_id", "doc_id"], ["doc_id"], small_fits=req.small_pages)
 
 
 NAME_SEARCH = T.StructType(
@@ -134,7 +136,7 @@ def name_search(names: DataFrame, asked: list[tuple]) -> DataFrame:
     """Pages and totals of fully-qualified-name searches."""
     spark = names.sparkSession
     requests = local_table(spark, asked, NAME_SEARCH)
-    hits = name_hits(names, requests)
+    hits = materialize(name_hits(names, requests), "hits")
     req = Requests.of(
         spark,
         searches=_searches(spark, [(s, k, b, n) for s, k, _, _, b, n in asked]),
@@ -186,9 +188,7 @@ def organization_search(
     """Organizations by title or description among the allowed ids, id included."""
     hits = only_allowed(find(req, index), acl_keys)
     docs = organizations.select(F.col("id").alias("doc_id"), "title", "description")
-    return _with_documents(page(sort_keys(hits, req, index), req), hits, docs).withColumnRenamed(
-        "doc_id", "id"
-    )
+    return _with_documents(hits, req, index, docs).withColumnRenamed("doc_id", "id")
 
 
 def organization_values(organizations: DataFrame) -> DataFrame:
@@ -256,5 +256,4 @@ def entity_set_search(
     docs = entity_sets.withColumnRenamed("entity_set_id", "doc_id")
     if exclude_property_types:
         docs = docs.drop("property_ids", "property_types")
-    rows = page(sort_keys(hits, req, index), req)
-    return _with_documents(rows, hits, docs).withColumnRenamed("doc_id", "entity_set_id")
+    return _with_documents(hits, req, index, docs).withColumnRenamed("doc_id", "entity_set_id")

@@ -10,7 +10,7 @@ from quarry.operators.compose import compose
 from quarry.operators.index import Index
 from quarry.operators.rank import page, sort_keys, totals
 from quarry.operators.requests import Requests, live_searches, text_clauses
-from quarry.scale import settle
+from quarry.scale import materialize, settle
 
 
 def text_match_rows(req: Requests, live: DataFrame, index: Index) -> list[DataFrame]:
@@ -54,5 +54,6 @@ def search(req: Requests, index: Index) -> DataFrame:
     One row per returned key: search_id, request_id, request_no, rn, entity_set_id,
     doc_id, score, total_hits.
     """
-    hits = find(req, index)
+    # Pages and totals both read the hits: they are written once.
+    hits = materialize(find(req, index), "hits")
     return page(sort_keys(hits, req, index), req).join(totals(hits), "search_id")
