@@ -84,13 +84,16 @@ def expand(tokens: DataFrame, vocabulary: DataFrame, small: bool | None = None)
     entity_type_id, property_id, term, df. Every such pair is returned.
     """
     wanted = tokens.select(*FIELD, "token").distinct()
-    fields = wanted.select(*FIELD).distinct()
+    n = F.length("token")
+    fields = wanted.groupBy(*FIELD).agg((F.min(n) - 2).alias("shortest"), (F.max(n) + 2).alias("longest"))
     probes = wanted.withColumn("sig", F.explode(token_signatures())).select(
         *FIELD, "token", F.xxhash64("sig").alias("sig")
     )
-    entries = lookup_join(
-        vocabulary, fields, FIELD, ["term"], small_fits=small, how="left_semi"
-    ).select(*FIELD, "term", "df", F.explode(vocabulary_signatures()).alias("sig"))
+    entries = (
+        lookup_join(vocabulary, fields, FIELD, ["term"], small_fits=small)
+        .where(F.length("term").between(F.col("shortest"), F.col("longest")))
+        .select(*FIELD, "term", "df", F.explode(vocabulary_signatures()).alias("sig"))
+    )
     entries = entries.withColumn("sig", F.xxhash64("sig"))
     pairs = (
         lookup_join(entries, probes, [*FIELD, "sig"], ["term"], small_fits=small)

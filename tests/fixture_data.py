@@ -46,11 +46,15 @@ def elements(vals):
     ).distinct()
 
 
-def index(spark):
-    vals, props = values(spark), property_types(spark)
+def index_of_values(spark, vals):
+    props = property_types(spark)
     return build_index(type_values(vals, props), elements(vals), props)
 
 
+def index(spark):
+    return index_of_values(spark, values(spark))
+
+
 def request(spark, constraints, sets=((SET1, False),), allowed=ALL, groups=((0, 1),), details=(),
             linking=(), start=0, max_hits=50, sort=("score", None, None, None), descending=True):
     """Request tables of one request over some sets, as the search expects them."""
