@@ -63,8 +63,8 @@ def circle_box(lat: Column, lon: Column, radius_m: Column) -> dict[str, Column]:
 
 def zone_box(zone: Column) -> dict[str, Column]:
     """Bounding box of a ring of [lon, lat] pairs."""
-    lons = F.transform(zone, lambda p: F.element_at(p, 1))
-    lats = F.transform(zone, lambda p: F.element_at(p, 2))
+    lons = F.transform(zone, lambda p: F.get(p, 0))
+    lats = F.transform(zone, lambda p: F.get(p, 1))
     return {
         "south": F.array_min(lats),
         "north": F.array_max(lats),
@@ -79,8 +79,8 @@ def point_in_zone(lat: Column, lon: Column, zone: Column) -> Column:
     edges = F.arrays_zip(zone.alias("p"), rotated.alias("q"))
 
     def crosses(edge: Column) -> Column:
-        x1, y1 = F.element_at(edge.getField("p"), 1), F.element_at(edge.getField("p"), 2)
-        x2, y2 = F.element_at(edge.getField("q"), 1), F.element_at(edge.getField("q"), 2)
+        x1, y1 = F.get(edge.getField("p"), 0), F.get(edge.getField("p"), 1)
+        x2, y2 = F.get(edge.getField("q"), 0), F.get(edge.getField("q"), 1)
         return ((y1 > lat) != (y2 > lat)) & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)
 
     return (F.size(zone) >= 3) & (F.size(F.filter(edges, crosses)) % 2 == 1)

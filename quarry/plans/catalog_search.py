@@ -152,7 +152,7 @@ def name_search(names: DataFrame, asked: list[tuple]) -> DataFrame:
 
 def allowed_ids(acl_keys: DataFrame) -> DataFrame:
     """Ids a caller may see: the first element of each ACL key."""
-    return acl_keys.select("search_id", F.element_at("acl_key", 1).alias("doc_id")).distinct()
+    return acl_keys.select("search_id", F.get("acl_key", 0).alias("doc_id")).distinct()
 
 
 def only_allowed(hits: DataFrame, acl_keys: DataFrame) -> DataFrame:
