@@ -21,6 +21,7 @@ HEADLINE = {
     "D1_term_search": "D1_term_search",
     "D3_fuzzy_terms": "D3_fuzzy_terms",
     "F1_entity_search": "F1_entity_search",
+    "F1_search_table": "F1_search_table",
     "F1_linked_entity_search": "F1_linked_entity_search",
     "D9_geo_polygon": "D9_geo_polygon",
     "F2_blocking": "F2_blocking",

@@ -65,13 +65,11 @@ def search_hits(grouped: DataFrame, live: DataFrame, small: bool | None) -> Data
 def all_of_set(live: DataFrame, index: Index, small: bool | None) -> DataFrame:
     """Searches without groups: every document of the scope."""
     open_searches = live.where("n_groups = 0").select("search_id")
-    docs = index.elements.select(
-        "entity_type_id", scope_of(F.col("entity_set_id")).alias("scope"), "doc_id"
-    ).distinct()
+    docs = index.elements.select("entity_type_id", scope_of(F.col("entity_set_id")).alias("scope"), "doc_id")
     where = scopes(live).join(open_searches, "search_id", "left_semi")
-    return lookup_join(docs, where, SCOPE, ["doc_id"], small_fits=small).select(
-        "search_id", "doc_id", F.lit(0.0).alias("score")
-    )
+    # Only linked documents have several elements; the scope is cut before they are merged.
+    found = lookup_join(docs, where, SCOPE, ["doc_id"], small_fits=small).select("search_id", "doc_id").distinct()
+    return found.withColumn("score", F.lit(0.0))
 
 
 def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
@@ -80,13 +78,18 @@ def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     linking = req.searches.where("linking").select("search_id", "entity_type_id")
     normal = lookup_join(hits, linking.select("search_id"), ["search_id"], ["doc_id"], req.small, "left_anti")
     linked = lookup_join(hits, linking, ["search_id"], ["doc_id"], small_fits=req.small)
-    sources = index.elements.where(F.col("entity_set_id").isNull()).select(
-        "entity_type_id", "doc_id", F.col("elem_entity_set_id").alias("normal_entity_set_id")
+    # Sets per document are combined on the map side: a document of very many elements stays one small row.
+    sources = (
+        index.elements.where(F.col("entity_set_id").isNull())
+        .groupBy("entity_type_id", "doc_id")
+        .agg(F.collect_set("elem_entity_set_id").alias("sets"))
+    )
+    within = linked.join(sources, ["entity_type_id", "doc_id"]).select(
+        *hits.columns, F.explode("sets").alias("normal_entity_set_id")
     )
     kept = (
         lookup_join(
-            linked.join(sources, ["entity_type_id", "doc_id"]), req.linking,
-            ["search_id", "normal_entity_set_id"], ["doc_id"], small_fits=req.small, how="left_semi",
+            within, req.linking, ["search_id", "normal_entity_set_id"], ["doc_id"], small_fits=req.small, how="left_semi"
         )
         .select(*hits.columns)
         .distinct()

@@ -21,7 +21,16 @@ def score_keys(hits: DataFrame) -> DataFrame:
     )
 
 
-def property_keys(hits: DataFrame, index: Index) -> DataFrame:
+def sorted_by(table: DataFrame, req: Requests) -> DataFrame:
+    """Rows of the properties some search sorts by, under the name ``sort_property_id``."""
+    asked = req.searches.where(F.col("sort_property_id").isNotNull()).select(
+        "entity_type_id", F.col("sort_property_id").alias("property_id")
+    ).distinct()
+    rows = lookup_join(table, asked, ["entity_type_id", "property_id"], ["doc_id"], req.small, "left_semi")
+    return rows.withColumnRenamed("property_id", "sort_property_id")
+
+
+def property_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     """Sort keys from a property: min of its values ascending, max descending.
 
     ``hits`` carries entity_type_id, sort_property_id, descending.
@@ -30,8 +39,8 @@ def property_keys(hits: DataFrame, index: Index) -> DataFrame:
         "v_long", F.col("v_bool").cast("bigint"), F.unix_micros(F.col("v_ts").cast("timestamp")),
         F.unix_date("v_date").cast("bigint"),
     )
-    values = index.values.select(
-        "entity_type_id", "doc_id", F.col("property_id").alias("sort_property_id"),
+    values = sorted_by(index.values, req).select(
+        "entity_type_id", "doc_id", "sort_property_id",
         long_value.alias("s_long"), F.col("v_double").alias("s_double"), F.col("v_decimal").alias("s_decimal"),
         F.when(F.col("datatype") == "String", F.col("value")).alias("s_text"),
     )
@@ -57,11 +66,9 @@ def property_keys(hits: DataFrame, index: Index) -> DataFrame:
     )
 
 
-def distance_keys(hits: DataFrame, index: Index) -> DataFrame:
+def distance_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     """Sort keys from the distance between a point property and the search's point."""
-    points = index.points.select(
-        "entity_type_id", "doc_id", F.col("property_id").alias("sort_property_id"), "lat", "lon"
-    )
+    points = sorted_by(index.points, req).select("entity_type_id", "doc_id", "sort_property_id", "lat", "lon")
     metres = geo.haversine(F.col("lat"), F.col("lon"), F.col("sort_lat"), F.col("sort_lon"))
     keyed = (
         hits.join(points, ["entity_type_id", "doc_id", "sort_property_id"], "left")
@@ -104,9 +111,9 @@ def sort_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
         return _complete(score_keys(hits))
     parts = [_complete(score_keys(hits.where(~F.col("sort_type").isin("field", "geoDistance"))))]
     if by_field:
-        parts.append(_complete(property_keys(hits.where("sort_type = 'field'"), index)))
+        parts.append(_complete(property_keys(hits.where("sort_type = 'field'"), req, index)))
     if by_distance:
-        parts.append(_complete(distance_keys(hits.where("sort_type = 'geoDistance'"), index)))
+        parts.append(_complete(distance_keys(hits.where("sort_type = 'geoDistance'"), req, index)))
     keyed = parts[0]
     for part in parts[1:]:
         keyed = keyed.unionByName(part)

@@ -155,7 +155,7 @@ SUPPLIER_SEARCH = f"""
       FROM supplier JOIN (SELECT DISTINCT c_nationkey, c_mktsegment AS entity_set_id FROM customer) ON s_nationkey = c_nationkey)"""
 
 
-def _constraint_rows(searches, **columns):
+def constraint_rows(searches, **columns):
     given = {"group_no": F.lit(0), "constraint_no": F.lit(0), "fuzzy": F.lit(False), "search_id": F.col("search_id"), **columns}
     return searches.select(*[
         (given[f.name] if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in m.schemas.CONSTRAINTS])
@@ -168,7 +168,7 @@ def _constraint_rows(searches, **columns):
 def geo_distance(spark, sf_dir):
     """Customers within a quarter of the balance, in miles, of each supplier."""
     searches = _supplier_searches(spark, sf_dir)
-    rows = _constraint_rows(
+    rows = constraint_rows(
         searches, search_type=F.lit("geoDistance"), property_id=F.lit("location"), lat=F.col("s_lat"), lon=F.col("s_lon"),
         radius=F.abs("s_acctbal") / 4, unit=F.lit("MILES"))
     req = m.requests(searches, CUSTOMER_FIELDS, constraint_rows=rows)
@@ -192,7 +192,7 @@ def _zone():
 def geo_polygon(spark, sf_dir):
     """Customers inside a quadrilateral around each supplier."""
     searches = _supplier_searches(spark, sf_dir).withColumn("half", 2 + F.abs("s_acctbal") / 500)
-    rows = _constraint_rows(searches, search_type=F.lit("geoPolygon"), property_id=F.lit("location"), zones=_zone())
+    rows = constraint_rows(searches, search_type=F.lit("geoPolygon"), property_id=F.lit("location"), zones=_zone())
     req = m.requests(searches, CUSTOMER_FIELDS, constraint_rows=rows)
     return hits(req, m.customer_index(spark, sf_dir), scored=False)
 
@@ -240,7 +240,7 @@ def _linking_searches(spark, sf_dir):
         F.lit("customer").alias("entity_type_id"), F.lit(True).alias("linking"))
 
 
-def _linking(searches, *sets):
+def linking_sets(searches, *sets):
     return searches.select("search_id", F.explode(F.array(*[F.lit(s) for s in sets])).alias("normal_entity_set_id"))
 
 
@@ -257,7 +257,7 @@ def _composed(spark, sf_dir, groups, placed, sets=SEGMENTS):
     req = m.requests(
         searches, CUSTOMER_FIELDS, groups=groups,
         constraints=[{"search_type": "advanced", "group_no": g, "constraint_no": n} for g, n, *_ in placed],
-        detail_rows=details, linking=_linking(searches, *sets))
+        detail_rows=details, linking=linking_sets(searches, *sets))
     return hits(req, m.customer_index(spark, sf_dir), scored=False)
 
 
@@ -326,7 +326,7 @@ def lenient_typed_match(spark, sf_dir):
     searches = m.sets_of(spark, sf_dir, "customer", "c_mktsegment", "customer").withColumn(
         "term", F.explode(F.array(*[F.lit(t) for t in ("7", "2547.4", "building", "BUILDING", "1e1")]))
     ).withColumn("search_id", F.concat_ws("/", "term", "entity_set_id"))
-    rows = _constraint_rows(searches, search_type=F.lit("simple"), search_term=F.col("term"))
+    rows = constraint_rows(searches, search_type=F.lit("simple"), search_term=F.col("term"))
     return hits(m.requests(searches, CUSTOMER_FIELDS, constraint_rows=rows), m.customer_index(spark, sf_dir), scored=False)
 
 
@@ -373,7 +373,7 @@ def entity_set_scope(spark, sf_dir):
         + [m.T.StructField("linking", m.T.BooleanType())]))
     searches = normal.unionByName(linked)
     req = m.requests(searches, ["c_nationkey"], constraints=[simple("3")],
-                     linking=_linking(linked, "BUILDING", "MACHINERY"))
+                     linking=linking_sets(linked, "BUILDING", "MACHINERY"))
     return hits(req, m.customer_index(spark, sf_dir), scored=False)
 
 

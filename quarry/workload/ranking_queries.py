@@ -11,7 +11,7 @@ from quarry.operators.requests import live_searches, sub_searches, text_clauses
 from quarry.plans.entity_search import find, match_rows, search
 from quarry.workload import model as m
 from quarry.workload.predicate_queries import (
-    CUSTOMER_FIELDS, DOCUMENT_FIELDS, PART_FIELDS, SEGMENTS, _linking, simple,
+    CUSTOMER_FIELDS, DOCUMENT_FIELDS, PART_FIELDS, SEGMENTS, linking_sets, simple,
 )
 from quarry.workload.registry import query
 from quarry.workload.sql import BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, LAT, LON, PART_SET, haversine, part_tok
@@ -38,7 +38,7 @@ def score_folds(spark, sf_dir):
     searches = m.local_table(spark, [("q", "linking", "customer", True)], m.T.StructType(
         [m.T.StructField(n, m.T.StringType()) for n in ("search_id", "entity_set_id", "entity_type_id")]
         + [m.T.StructField("linking", m.T.BooleanType())]))
-    req = m.requests(searches, ["segment"], constraints=[simple("BUILDING")], linking=_linking(searches, *SEGMENTS))
+    req = m.requests(searches, ["segment"], constraints=[simple("BUILDING")], linking=linking_sets(searches, *SEGMENTS))
     matches = match_rows(req, live_searches(req), m.customer_index(spark, sf_dir))
     return matches.groupBy("search_id", "doc_id").agg(
         F.round(F.sum("score"), 6).alias("total_score"), F.round(F.max("score"), 6).alias("max_score"),
@@ -65,7 +65,7 @@ def _linked_sorted(spark, sf_dir, sort_type, property_id, lat=None, lon=None, si
     searches = m.local_table(spark, [
         (name, "linking", "customer", sort_type, property_id, True, down, size, lat, lon)
         for name, down in (("ascending", False), ("descending", True))], types)
-    req = m.requests(searches, CUSTOMER_FIELDS, groups=[], linking=_linking(searches, "BUILDING", "MACHINERY"))
+    req = m.requests(searches, CUSTOMER_FIELDS, groups=[], linking=linking_sets(searches, "BUILDING", "MACHINERY"))
     return search(req, m.customer_index(spark, sf_dir))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import text
 from quarry.functions.text import METAPHONE, STANDARD
 from quarry.operators.ingest import long_values
 from quarry.operators.typing_ops import type_values
@@ -14,7 +15,7 @@ from quarry.plans.entity_search import search
 from quarry.scale import local_table, materialize, shared_path
 from quarry.workload import model as m
 from quarry.workload.ingesting import saved_objects
-from quarry.workload.predicate_queries import CUSTOMER_FIELDS, DOCUMENT_FIELDS, SEGMENTS, _linking, simple
+from quarry.workload.predicate_queries import CUSTOMER_FIELDS, DOCUMENT_FIELDS, SEGMENTS, constraint_rows, linking_sets, simple
 from quarry.workload.registry import query
 from quarry.workload.sql import (
     BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, LAT, LON, haversine, part_tok, words,
@@ -77,7 +78,7 @@ def linked_entity_search(spark, sf_dir):
                  F.lit(p).alias("property_id"), t.alias("search_term"), F.lit(exact).alias("exact_match"))
         for n, p, t, exact in [(0, "c_nationkey", F.col("search_id"), True), (2, "segment", F.lit("BUILDING"), False)]])))
     req = m.requests(
-        searches, CUSTOMER_FIELDS, groups=[(0, 2), (1, 1)], detail_rows=details, linking=_linking(searches, *SEGMENTS),
+        searches, CUSTOMER_FIELDS, groups=[(0, 2), (1, 1)], detail_rows=details, linking=linking_sets(searches, *SEGMENTS),
         constraints=[
             {"search_type": "advanced"},
             {"search_type": "geoDistance", "constraint_no": 1, "property_id": "location", "lat": 10.0, "lon": 20.0,
@@ -95,6 +96,25 @@ def phonetic_fuzzy_search(spark, sf_dir):
     return search(req, m.part_index(spark, sf_dir, name=METAPHONE)).select("search_id", "rn", "doc_id", "score", "total_hits")
 
 
+@query("F1_search_table", f"""
+    WITH {DOC_TOK}, {BM25},
+      q AS (SELECT DISTINCT item_id, 'src' || (item_id % 20) AS set_id, unnest({words('text')}) AS term FROM benchmark),
+      h AS (SELECT item_id || '/' || term AS search_id, doc_id, round(s, 6) AS score FROM sc JOIN {DOC_SET} USING (doc_id)
+        JOIN q USING (set_id, term) WHERE property_id = 'text'), {_page('h', 3)}
+    SELECT search_id, rn, doc_id, score, total_hits FROM p""")
+def search_table(spark, sf_dir):
+    """Every benchmark text asks one source for each of its words: thousands of searches in one plan."""
+    searches = m.table(spark, sf_dir, "benchmark").select(
+        "item_id", F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("entity_set_id"),
+        F.explode(F.array_distinct(text.standard_tokens(F.col("text")))).alias("term"),
+    ).select(
+        F.concat_ws("/", F.col("item_id").cast("string"), "term").alias("search_id"), "entity_set_id",
+        F.lit("document").alias("entity_type_id"), F.lit(3).alias("max_hits"), "term")
+    rows = constraint_rows(searches, search_type=F.lit("simple"), search_term=F.col("term"))
+    req = m.requests(searches, ["text"], constraint_rows=rows)
+    return search(req, m.document_index(spark, sf_dir)).select("search_id", "rn", "doc_id", "score", "total_hits")
+
+
 # --- blocking ------------------------------------------------------------------------
 
 
