@@ -42,7 +42,7 @@ def assemble_entities(spark, sf_dir):
 
 
 @query("C2_assemble_linked", f"""
-    SELECT {LINK} AS doc_id, NULL AS entity_set_id, c_mktsegment || '/' || c_custkey AS ord, CAST(c_custkey AS VARCHAR) AS id,
+    SELECT {LINK} AS doc_id, CAST(NULL AS VARCHAR) AS entity_set_id, c_mktsegment || '/' || c_custkey AS ord, CAST(c_custkey AS VARCHAR) AS id,
       c_mktsegment AS entity_set_id_key, p AS property_id, v AS property_values
     FROM (SELECT *, unnest(['c_name', 'c_nationkey']) AS p, unnest([c_name, CAST(c_nationkey AS VARCHAR)]) AS v FROM customer)""")
 def assemble_linked(spark, sf_dir):
