@@ -12,7 +12,7 @@ from quarry.operators.fuzzy import expand
 from quarry.operators.index import FIELD, Index, scope_of
 from quarry.operators.requests import CLAUSE, CONSTRAINT, SCOPE, Requests, scopes
 from quarry.operators.typing_ops import typed_key
-from quarry.scale import fits, lookup_join, materialize
+from quarry.scale import fits, lookup_join, materialize, pushed_values
 
 MATCH = [*CLAUSE, "property_id", "token_no", "doc_id", "ord", "score"]
 EXPLAIN = ["term", "tf", "len", "df", "n_elements", "avg_len"]
@@ -43,9 +43,15 @@ def query_tokens(clauses: DataFrame, phonetic: bool) -> DataFrame:
     return words.unionByName(coded.select(words.columns))
 
 
-def with_statistics(tokens: DataFrame, index: Index, small: bool | None) -> DataFrame:
+def scan_filter(tokens: DataFrame, small: bool | None) -> Column:
+    """Few searched terms are pushed into the scans of the tables sorted by term."""
+    pushed = pushed_values(tokens, [*FIELD, "term"]) if small else None
+    return F.lit(True) if pushed is None else pushed
+
+
+def with_statistics(tokens: DataFrame, index: Index, pushed: Column, small: bool | None) -> DataFrame:
     """Attach document frequency and field statistics to tokens; unknown terms drop out."""
-    known = lookup_join(index.term_stats, tokens, [*FIELD, "term"], ["term"], small_fits=small)
+    known = lookup_join(index.term_stats.where(pushed), tokens, [*FIELD, "term"], ["term"], small_fits=small)
     return known.join(index.field_stats, FIELD)
 
 
@@ -54,9 +60,10 @@ def with_statistics(tokens: DataFrame, index: Index, small: bool | None) -> Data
 
 def term_matches(tokens: DataFrame, index: Index, small: bool | None, explain: bool = False) -> DataFrame:
     """Exact token matches with their BM25 score."""
-    weighted = with_statistics(tokens, index, small)
+    pushed = scan_filter(tokens, small)
+    weighted = with_statistics(tokens, index, pushed, small)
     hits = lookup_join(
-        index.postings.drop("positions"), weighted,
+        index.postings.where(pushed).drop("positions"), weighted,
         [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small,
     )
     score = idf(F.col("n_elements"), F.col("df")) * tf_norm(F.col("tf"), F.col("len"), F.col("avg_len"))
@@ -90,9 +97,10 @@ def fuzzy_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFr
     )
     # The number of expansions follows the vocabulary, so it is measured before use.
     weighted = materialize(weighted, "expansions")
+    small = fits(weighted)
     hits = lookup_join(
-        index.postings.drop("positions"), weighted,
-        [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=fits(weighted),
+        index.postings.where(scan_filter(weighted, small)).drop("positions"), weighted,
+        [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small,
     )
     score = F.col("weight") * tf_norm(F.col("tf"), F.col("len"), F.col("avg_len"))
     return hits.withColumn("score", score).select(*MATCH)
@@ -100,13 +108,14 @@ def fuzzy_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFr
 
 def phrase_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFrame:
     """All tokens of a quoted phrase, adjacent and in order, within one value."""
-    weighted = with_statistics(tokens, index, small).withColumn(
+    pushed = scan_filter(tokens, small)
+    weighted = with_statistics(tokens, index, pushed, small).withColumn(
         "weight", idf(F.col("n_elements"), F.col("df"))
     )
     sizes = tokens.groupBy(*CLAUSE, "property_id").agg(F.count(F.lit(1)).alias("n_tokens"))
     weighted = lookup_join(weighted, sizes, [*CLAUSE, "property_id"], ["term"], small_fits=small)
     placed = lookup_join(
-        index.postings, weighted, [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small
+        index.postings.where(pushed), weighted, [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small
     ).select(
         *CLAUSE, "property_id", "doc_id", "ord", "len", "avg_len", "n_tokens", "weight",
         F.explode("positions").alias("pos"), "token_no",
@@ -136,7 +145,7 @@ def typed_matches(clauses: DataFrame, index: Index, small: bool | None) -> DataF
         .withColumn("token_no", F.lit(0))
     )
     hits = lookup_join(
-        index.typed_terms, keys, [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small
+        index.typed_terms.where(scan_filter(keys, small)), keys, [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small
     )
     return hits.withColumn("score", F.lit(1.0)).select(*MATCH)
 

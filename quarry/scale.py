@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -85,6 +86,29 @@ def settle(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     return materialize(df, name), False
 
 
+PUSHED_VALUES = 500
+# Parquet readers test a list of this length value by value; a longer one only by its range.
+_CHUNK = 10
+
+
+def pushed_values(lookup: DataFrame, columns: list[str]) -> Column | None:
+    """A filter for the scan of the table ``lookup`` will be joined to, if the values are few.
+
+    A join alone does not skip partitions and row groups of sorted tables, literal
+    values do. Looks at no more than the bound plus one row; None means no filter.
+    """
+    rows = lookup.select(*columns).distinct().limit(PUSHED_VALUES + 1).collect()
+    if len(rows) > PUSHED_VALUES:
+        return None
+    condition = F.lit(True)
+    for column in columns:
+        values = sorted({row[column] for row in rows if row[column] is not None})
+        chunks = [values[i : i + _CHUNK] for i in range(0, len(values), _CHUNK)]
+        one_of = reduce(lambda a, b: a | b, [F.col(column).isin(c) for c in chunks], F.lit(False))
+        condition = condition & one_of
+    return condition
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,

@@ -87,6 +87,14 @@ def test_stored_index_answers_alike(spark, idx):
     assert "PartitionFilters" in plan(stored.postings.where(F.col("entity_type_id") == "employee"))
 
 
+def test_searched_terms_reach_the_scan(spark, idx):
+    path = shared_path(spark, "index")
+    write_index(idx, path)
+    text = plan(find(request(spark, [simple("police officer")]), read_index(spark, path)))
+    assert "In(term, [officer,police])" in text
+    assert "entity_type_id" in text[text.index("PartitionFilters"):]
+
+
 def test_many_searches_with_different_questions(spark, idx):
     from quarry.operators.requests import Requests
 
