@@ -14,7 +14,7 @@ from quarry.workload.predicate_queries import (
     CUSTOMER_FIELDS, DOCUMENT_FIELDS, PART_FIELDS, SEGMENTS, linking_sets, simple,
 )
 from quarry.workload.registry import query
-from quarry.workload.sql import BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, LAT, LON, PART_SET, haversine, part_tok
+from quarry.workload.sql import BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, PART_SET, haversine, part_tok
 
 
 def _documents(spark, sf_dir, term, **columns):

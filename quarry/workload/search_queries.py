@@ -18,7 +18,7 @@ from quarry.workload.ingesting import saved_objects
 from quarry.workload.predicate_queries import CUSTOMER_FIELDS, DOCUMENT_FIELDS, SEGMENTS, constraint_rows, linking_sets, simple
 from quarry.workload.registry import query
 from quarry.workload.sql import (
-    BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, LAT, LON, haversine, part_tok, words,
+    BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, haversine, part_tok, words,
 )
 
 

@@ -1,7 +1,7 @@
 """Hand-derived expectations on the employee fixture."""
 
 import pytest
-from fixture_data import ALL, SET1, SET2, index, request, simple
+from fixture_data import SET1, SET2, index, request, simple
 
 from quarry.plans.entity_search import find, search
 

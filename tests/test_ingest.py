@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 
 from pyspark.sql import functions as F
