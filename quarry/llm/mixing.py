@@ -7,7 +7,8 @@ phase walks the probabilities of three documents at a time along the direction t
 expected number of documents and of words, until at most two of a block are still fractional.
 Blocks are bounded and dealt by hash within a source; what they leave over is blocked again,
 until one block per source remains, whose last two documents are the landing problem: of their
-four outcomes the one whose word total is nearest wins.
+four outcomes the one whose word total is nearest wins, and single documents of that last block
+make good the rest.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order;
 sources of no words have target 0; rows that repeat are sampled each; reruns agree, because
@@ -101,14 +102,25 @@ def flight(size: np.ndarray, prob: np.ndarray, draw: np.ndarray) -> np.ndarray:
     return np.array(p)
 
 
-def landing(size: np.ndarray, prob: np.ndarray, draw: np.ndarray) -> np.ndarray:
-    """Round the last few: the outcome with the nearest word total, then the nearest count."""
+def landing(size: np.ndarray, start: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """Round the last few: the outcome with the nearest word total, then the nearest count.
+
+    ``start`` holds the probabilities before the flight. What the rounding leaves of the words
+    is made good by turning over single documents, large ones first, as long as the total comes
+    nearer; only documents that started fractional may turn.
+    """
     p = prob.copy()
     left = np.flatnonzero((p > 0) & (p < 1))
     want, count = float((p * size)[left].sum()), float(p[left].sum())
     options = np.array(np.meshgrid(*[[0.0, 1.0]] * len(left))).reshape(len(left), -1).T if len(left) else np.zeros((1, 0))
     errors = [(abs(float((o * size[left]).sum()) - want), abs(float(o.sum()) - count), i) for i, o in enumerate(options)]
     p[left] = options[min(errors)[2]]
+    missing = float((start * size).sum() - (p * size).sum())
+    for i in np.argsort(-size, kind="stable"):
+        gain = size[i] if p[i] == 0 else -size[i]
+        if 0 < start[i] < 1 and abs(missing - gain) < abs(missing):
+            p[i] = 1 - p[i]
+            missing -= gain
     return p
 
 
@@ -117,9 +129,10 @@ def _fly(last: bool):
         # Large documents first: those left for the landing are then the smallest.
         part = part.sort_values(["size", "draw", "uid"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         size, draw = part["size"].to_numpy(np.float64), part["draw"].to_numpy(np.int64)
-        p = flight(size, part["prob"].to_numpy(np.float64), draw)
+        start = part["prob"].to_numpy(np.float64)
+        p = flight(size, start, draw)
         if last:
-            p = landing(size, p, draw)
+            p = landing(size, start, p)
         part["prob"] = p
         part["draw"] = mix(draw.view(np.uint64)).view(np.int64)
         part["done"] = (p <= 0) | (p >= 1)
