@@ -32,6 +32,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def carried(keep: list[str] | None) -> Column:
+    """The input's columns, or those asked for, as one struct ``row`` that no own column can clash with."""
+    return F.struct(*(keep if keep else ["*"])).alias("row")
+
+
 def numbered(df: DataFrame, *own: Column) -> DataFrame:
     """The rows as one struct ``row`` beside own columns and a stable number ``uid``, written once.
 

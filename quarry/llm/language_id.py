@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import held_out, text_blocks, text_of
+from quarry.llm.common import carried, held_out, text_blocks, text_of
 
 SIZES = (2, 3, 4)
 ROWS = 1 << 15
@@ -151,10 +151,10 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, id_column: str = "doc_id"
     return train([bytes(r.t) for r in rows], [r.lang for r in rows]) if rows else None
 
 
-def predict(docs: DataFrame, model: Model | None, text_column: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Every row as ``row`` with lang_pred, score and accepted."""
     letters = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(F.struct("*").alias("row"), text_of(text_column).alias("text"), letters.alias("letters"))
+    source = docs.select(carried(keep), text_of(text_column).alias("text"), letters.alias("letters"))
     if model is None:
         return source.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -179,5 +179,5 @@ def predict(docs: DataFrame, model: Model | None, text_column: str = "text") ->
     return source.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, **options) -> DataFrame:
-    return predict(docs, fit(docs, **options))
+def identify(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
+    return predict(docs, fit(docs, **options), keep=keep)

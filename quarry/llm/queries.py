@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, mixing, packing, sharding, topk_search
-from quarry.llm.common import table
+from quarry.llm import exact_dedup, language_id, mixing, packing, quality, sharding, shingle_join, topk_search
+from quarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,12 +40,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.with_digest(exact_dedup.deduplicate(docs, exact_dedup.newer_half(docs)))
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query("op4_sharding")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.even_tree()
     return sharding.shard(table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
 
 
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op7_shingle_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = shingle_join.join_similar(table(spark, sf_dir, "documents"))
+    return joined.select("row.doc_id", "n_shingles", "component_id")
+
+
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
