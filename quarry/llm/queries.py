@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, language_id, mixing, packing, quality, sharding, shingle_join, topk_search
+from quarry.llm import exact_dedup, language_id, mixing, packing, pii, quality, sharding, shingle_join, topk_search
 from quarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
 
 
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.spans_of(docs, pii.fit(docs), keep=["doc_id"])
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("row.doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 @query("op6_quality")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
