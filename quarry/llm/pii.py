@@ -153,7 +153,7 @@ def nodes(text: str, base: list[list[tuple[int, int]]]) -> Nodes | None:
     if "@" in text or "at)" in text or "at]" in text:
         loose += [(*m.span(), True) for m in _ADDRESS.finditer(text)]
     if _DIGIT.search(text):
-        loose += [(*m.span(), False) for m in _NUMBER.finditer(text)]
+        loose += [(*m.span(), False) for m in _NUMBER.finditer(text) if len(_digits(m[0])) <= 19]
     loose = [x for x in loose if clear(x[0], x[1])]
     if not loose:
         return None

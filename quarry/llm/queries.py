@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import exact_dedup, language_id, mixing, packing, pii, quality, sharding, shingle_join, topk_search
+from quarry.llm import exact_dedup, language_id, mixing, packing, pii, quality, repeats, sharding, shingle_join, topk_search
 from quarry.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.with_digest(exact_dedup.deduplicate(docs, exact_dedup.newer_half(docs)))
 
 
+@query("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
