@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import auto_edits, edit_distance_upto_two
 from quarry.operators.index import FIELD
-from quarry.scale import lookup_join
+from quarry.scale import fits, lookup_join, materialize
 
 LONG = 16
 SEGMENTS = 5
@@ -89,6 +89,8 @@ def expand(tokens: DataFrame, vocabulary: DataFrame, small: bool | None = None)
     probes = wanted.withColumn("sig", F.explode(token_signatures())).select(
         *FIELD, "token", F.xxhash64("sig").alias("sig")
     )
+    # A token has up to some 170 signatures, so these are measured themselves.
+    probes = materialize(probes, "probes")
     entries = (
         lookup_join(vocabulary, fields, FIELD, ["term"], small_fits=small)
         .where(F.length("term").between(F.col("shortest"), F.col("longest")))
@@ -96,7 +98,7 @@ def expand(tokens: DataFrame, vocabulary: DataFrame, small: bool | None = None)
     )
     entries = entries.withColumn("sig", F.xxhash64("sig"))
     pairs = (
-        lookup_join(entries, probes, [*FIELD, "sig"], ["term"], small_fits=small)
+        lookup_join(entries, probes, [*FIELD, "sig"], ["term"], small_fits=fits(probes))
         .select(*FIELD, "token", "term", "df")
         .distinct()
     )

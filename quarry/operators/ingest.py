@@ -69,9 +69,17 @@ def upsert(current: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> D
     return current.join(newest.select(*keys), keys, "left_anti").unionByName(newest.select(current.columns))
 
 
-def upsert_values(current: DataFrame, batch: DataFrame, keys: list[str] = DOCUMENT) -> DataFrame:
-    """Replace whole documents held in long form by the rows of ``batch``."""
-    return current.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
+def upsert_values(
+    current: DataFrame, batch: DataFrame, keys: list[str] = DOCUMENT, seq: str | None = None
+) -> DataFrame:
+    """Replace whole documents held in long form by the rows of ``batch``.
+
+    With ``seq`` the batch may hold several versions of a document; the rows of the last one count.
+    """
+    if seq is not None:
+        newest = batch.groupBy(*keys).agg(F.max(seq).alias(seq))
+        batch = batch.join(newest, [*keys, seq], "left_semi").drop(seq)
+    return current.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch.select(current.columns))
 
 
 def delete(current: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:

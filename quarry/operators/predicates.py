@@ -12,7 +12,7 @@ from quarry.operators.fuzzy import expand
 from quarry.operators.index import FIELD, Index, scope_of
 from quarry.operators.requests import CLAUSE, CONSTRAINT, SCOPE, Requests, scopes
 from quarry.operators.typing_ops import typed_key
-from quarry.scale import fits, lookup_join, materialize, pushed_values
+from quarry.scale import fits, lookup_join, materialize, pushed_values, settle
 
 MATCH = [*CLAUSE, "property_id", "token_no", "doc_id", "ord", "score"]
 EXPLAIN = ["term", "tf", "len", "df", "n_elements", "avg_len"]
@@ -200,7 +200,8 @@ def distance_matches(req: Requests, index: Index) -> DataFrame:
         )
     )
     shapes = _shape_cells(circles, geo.circle_box(F.col("c_lat"), F.col("c_lon"), F.col("radius_m")))
-    near = _at_points(shapes, index.points, req.small).where(
+    shapes, few = settle(shapes, "circles")
+    near = _at_points(shapes, index.points, few).where(
         geo.haversine(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")) <= F.col("radius_m")
     )
     return _constant(near)
@@ -214,8 +215,8 @@ def polygon_matches(req: Requests, index: Index) -> DataFrame:
         .join(scopes(req.searches), "search_id")
         .select(*CONSTRAINT, *SCOPE, "property_id", F.explode("zones").alias("zone"))
     )
-    shapes = _shape_cells(zones, geo.zone_box(F.col("zone")))
-    inside = _at_points(shapes, index.points, req.small).where(
+    shapes, few = settle(_shape_cells(zones, geo.zone_box(F.col("zone"))), "zones")
+    inside = _at_points(shapes, index.points, few).where(
         geo.point_in_zone(F.col("lat"), F.col("lon"), F.col("zone"))
     )
     return _constant(inside)

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from quarry.functions import geo
 from quarry.operators.index import Index
 from quarry.operators.requests import Requests
-from quarry.scale import lookup_join
+from quarry.operators.typing_ops import decimal_order
+from quarry.scale import lookup_join, materialize
 
-SORT_KEYS = ["k_long", "k_double", "k_decimal", "k_text_asc", "k_text_desc"]
+SORT_KEYS = ["k_long", "k_double", "k_text_asc", "k_text_desc"]
+# Ranks up to this are found by windows that keep few rows per input partition; deeper pages are
+# cut out of one sort over all partitions.
+SHALLOW_RANK = 10_000
 
 
 def score_keys(hits: DataFrame) -> DataFrame:
@@ -41,11 +45,12 @@ def property_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     )
     values = sorted_by(index.values, req).select(
         "entity_type_id", "doc_id", "sort_property_id",
-        long_value.alias("s_long"), F.col("v_double").alias("s_double"), F.col("v_decimal").alias("s_decimal"),
-        F.when(F.col("datatype") == "String", F.col("value")).alias("s_text"),
+        long_value.alias("s_long"), F.col("v_double").alias("s_double"),
+        F.when(F.col("datatype") == "String", F.col("value"))
+        .when(F.col("datatype") == "Decimal", decimal_order(F.col("value"))).alias("s_text"),
     )
     ends = []
-    for name in ("s_long", "s_double", "s_decimal", "s_text"):
+    for name in ("s_long", "s_double", "s_text"):
         ends += [F.min(name).alias(f"{name}_min"), F.max(name).alias(f"{name}_max")]
     keyed = (
         hits.join(values, ["entity_type_id", "doc_id", "sort_property_id"], "left")
@@ -60,7 +65,6 @@ def property_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     return keyed.select(
         "search_id", "doc_id", "score",
         number("s_long").alias("k_long"), number("s_double").alias("k_double"),
-        number("s_decimal").alias("k_decimal"),
         F.when(~down, F.col("s_text_min")).alias("k_text_asc"),
         F.when(down, F.col("s_text_max")).alias("k_text_desc"),
     )
@@ -83,8 +87,7 @@ def distance_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
 
 
 _KEY_TYPES = {
-    "k_long": "bigint", "k_double": "double", "k_decimal": "decimal(38,18)",
-    "k_text_asc": "string", "k_text_desc": "string",
+    "k_long": "bigint", "k_double": "double", "k_text_asc": "string", "k_text_desc": "string",
 }
 
 
@@ -120,45 +123,71 @@ def sort_keys(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     return keyed
 
 
+def _order() -> list:
+    missing = F.when(F.coalesce(*[F.col(k).cast("string") for k in SORT_KEYS]).isNull(), 1).otherwise(0)
+    return [
+        missing.asc(), *[F.col(k).asc_nulls_last() for k in SORT_KEYS if k != "k_text_desc"],
+        F.col("k_text_desc").desc_nulls_last(), F.col("doc_id").asc(),
+    ]
+
+
+def _sorted_ranks(keyed: DataFrame) -> DataFrame:
+    """Ranks of whole results: one sort over all partitions, numbered by its partitions' starts.
+
+    A search that hits a third of all documents is spread over many tasks; one row per
+    (search, partition) is all that is gathered.
+    """
+    ordered = keyed.orderBy("search_id", *_order()).withColumn("_place", F.monotonically_increasing_id())
+    ordered = materialize(ordered, "ordered").withColumn("_part", F.shiftright("_place", 33))
+    parts = ordered.groupBy("search_id", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    before = W.partitionBy("search_id").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return (
+        ordered.join(starts, ["search_id", "_part"])
+        .withColumn("rn", F.col("_before") + F.col("_place") - F.col("_first") + 1)
+        .drop("_place", "_part", "_before", "_first")
+    )
+
+
 def page(keyed: DataFrame, req: Requests) -> DataFrame:
     """Rows ``start < rank <= start + max_hits`` of each search.
 
-    The literal bound on the rank lets Spark keep only the top rows of each input
-    partition before the exchange by search, so a search that hits a third of all
-    documents never lands in one task.
+    For shallow pages a literal bound on the rank lets Spark keep only the top rows of each
+    input partition before the exchange by search; one deep page does not lift it for others.
     """
-    missing = F.when(F.coalesce(*[F.col(k).cast("string") for k in SORT_KEYS]).isNull(), 1).otherwise(0)
-    order = W.partitionBy("search_id").orderBy(
-        missing.asc(),
-        *[F.col(k).asc_nulls_last() for k in SORT_KEYS if k != "k_text_desc"],
-        F.col("k_text_desc").desc_nulls_last(),
-        F.col("doc_id").asc(),
+    last = F.col("start").cast("bigint") + F.col("max_hits").cast("bigint")
+    pages = req.searches.select(
+        "search_id", "request_id", "request_no", "entity_set_id", F.col("start").cast("bigint").alias("start"), last.alias("last")
     )
-    ranked = keyed.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= req.max_rank)
-    pages = req.searches.select("search_id", "request_id", "request_no", "entity_set_id", "start", "max_hits")
-    return (
-        lookup_join(ranked, pages, ["search_id"], ["doc_id"], small_fits=req.small)
-        .where((F.col("rn") > F.col("start")) & (F.col("rn") <= F.col("start") + F.col("max_hits")))
-        .select("search_id", "request_id", "request_no", "rn", "entity_set_id", "doc_id", "score")
+    placed = lookup_join(keyed, pages, ["search_id"], ["doc_id"], small_fits=req.small)
+    ranked = placed.where(F.col("last") <= SHALLOW_RANK).withColumn(
+        "rn", F.row_number().over(W.partitionBy("search_id").orderBy(*_order()))
+    ).where(F.col("rn") <= min(req.max_rank, SHALLOW_RANK))
+    if req.max_rank > SHALLOW_RANK:
+        ranked = ranked.unionByName(_sorted_ranks(placed.where(F.col("last") > SHALLOW_RANK)))
+    return ranked.where((F.col("rn") > F.col("start")) & (F.col("rn") <= F.col("last"))).select(
+        "search_id", "request_id", "request_no", F.col("rn").cast("int").alias("rn"), "entity_set_id", "doc_id", "score"
     )
 
 
 def totals(hits: DataFrame) -> DataFrame:
-    """Exact number of hits per search, counted before paging."""
+    """Exact number of hits per search that has any, counted before paging."""
     return hits.groupBy("search_id").agg(F.count("score").alias("total_hits"))
 
 
-def request_totals(hits: DataFrame, req: Requests) -> DataFrame:
-    """Totals of the sub-searches summed per request; requests without hits count zero."""
+def all_totals(hits: DataFrame, req: Requests) -> DataFrame:
+    """Exact totals of every search: also of those without hits, or with a page past the end."""
     counts = totals(hits)
-    return (
-        req.searches.select("search_id", "request_id")
-        .join(counts, "search_id", "left")
-        .groupBy("request_id")
-        .agg(F.sum(F.coalesce("total_hits", F.lit(0))).alias("total_hits"))
+    return req.searches.select("search_id", "request_id").join(counts, "search_id", "left").withColumn(
+        "total_hits", F.coalesce("total_hits", F.lit(0).cast("bigint"))
     )
 
 
+def request_totals(hits: DataFrame, req: Requests) -> DataFrame:
+    """Totals of the sub-searches summed per request; requests without hits count zero."""
+    return all_totals(hits, req).groupBy("request_id").agg(F.sum("total_hits").alias("total_hits"))
+
+
 def by_entity_set(hits: DataFrame) -> DataFrame:
     """Keys per entity set in long form: sets have no size limit, so no row holds one whole."""
     return hits.select("entity_set_id", "doc_id").distinct()

@@ -81,8 +81,8 @@ class Requests:
                     " ", F.concat(F.lit("sort:"), F.col("sort_type")),
                     F.when(F.col("linking"), "linking"),
                 ),
-                (F.col("start") + F.col("max_hits")),
-                F.col("max_hits"),
+                F.col("start").cast("bigint") + F.col("max_hits").cast("bigint"),
+                F.col("max_hits").cast("bigint"),
             ),
             measure(self.groups, F.lit("groups")),
             measure(self.constraints, F.concat(F.col("search_type"), marks)),
@@ -90,7 +90,7 @@ class Requests:
             measure(self.authorized),
             measure(self.linking),
             self.searches.join(self.groups, "search_id", "left_anti").select(
-                F.lit(0).alias("bytes"), F.lit("open").alias("feature"), F.lit(0).alias("rank"), F.lit(0).alias("page_rows"),
+                F.lit(0).alias("bytes"), F.lit("open").alias("feature"), F.lit(0).cast("bigint").alias("rank"), F.lit(0).cast("bigint").alias("page_rows"),
             ),
         ]
         measured = (

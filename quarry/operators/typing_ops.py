@@ -24,13 +24,61 @@ SEARCHABLE = [
 ]
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _INTEGER = r"^[+-]?[0-9]+$"
-_POINT = r"^\s*(-?[0-9.]+)\s*,\s*(-?[0-9.]+)\s*$"
+_COORDINATE = r"([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+_POINT = rf"^\s*{_COORDINATE}\s*,\s*{_COORDINATE}\s*$"
+_PARTS = r"^([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+_WITH_ZONE = r"[0-9]{1,2}:[0-9]{2}.*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2}){0,2}|[A-Za-z]+/[A-Za-z_]+)\s*$"
+_EXPONENT_SHIFT = 5_000_000_000
 
 TYPED_COLUMNS = ["v_bool", "v_long", "v_double", "v_decimal", "v_date", "v_ts", "v_lat", "v_lon"]
 
 
+def instant(value: Column) -> Column:
+    """A date-time as its UTC wall clock, whatever offset it is written with; without one it is UTC."""
+    micros = F.unix_micros(value.try_cast("timestamp"))
+    seconds = (micros.cast("decimal(38,0)") / F.lit(1_000_000).cast("decimal(38,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    moved = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    return F.when(F.rlike(value, F.lit(_WITH_ZONE)), moved).otherwise(value.try_cast("timestamp_ntz"))
+
+
+def _decimal(value: Column) -> tuple[Column, Column, Column]:
+    """Sign, significant digits (empty for zero) and power of ten of a number of any length."""
+    part = lambda n: F.regexp_extract(value, _PARTS, n)
+    digits = F.regexp_replace(F.concat(part(2), part(3)), "^0+", "")
+    trimmed = F.regexp_replace(digits, "0+$", "")
+    written = F.when(part(4) == "", F.lit(0).cast("bigint")).otherwise(part(4).try_cast("bigint"))
+    power = written - F.length(part(3)) + F.length(digits) - F.length(trimmed)
+    return part(1), trimmed, power
+
+
+def decimal_key(value: Column) -> Column:
+    """Canonical text of a decimal: equal numbers have equal texts, whatever their length."""
+    number = F.when(F.rlike(value, F.lit(_NUMBER)), value)
+    sign, digits, power = _decimal(number)
+    text = F.concat(F.when(sign == "-", "-").otherwise(""), digits, F.lit("E"), power.cast("string"))
+    return F.when(digits == "", F.lit("0")).otherwise(text)
+
+
+def decimal_order(value: Column) -> Column:
+    """A text that sorts as the decimal does, for numbers of any length."""
+    number = F.when(F.rlike(value, F.lit(_NUMBER)), value)
+    sign, digits, power = _decimal(number)
+    size = power + F.length(digits)  # below a power of ten of this size
+    place = lambda n: F.lpad((n + F.lit(_EXPONENT_SHIFT)).cast("string"), 11, "0")
+    turned = F.concat(F.translate(digits, "0123456789", "9876543210"), F.lit(":"))
+    return (
+        F.when(number.isNull() | size.isNull(), None).when(digits == "", F.lit("1"))
+        .when(sign == "-", F.concat(F.lit("0"), place(-size), turned)).otherwise(F.concat(F.lit("2"), place(size), digits))
+    )
+
+
 def typed(value: Column, datatype: Column) -> dict[str, Column]:
-    """One column per storage type; a value that does not parse stays NULL everywhere."""
+    """One column per storage type; a value that does not parse stays NULL everywhere.
+
+    ``v_decimal`` holds what fits into 20 + 18 digits; equality and order of decimals use
+    ``decimal_key`` and ``decimal_order``, which have no such limit.
+    """
     number = F.when(F.rlike(value, F.lit(_NUMBER)), value)
     whole = F.when(F.rlike(value, F.lit(_INTEGER)), value).try_cast("bigint")
     in_range = F.lit(False)
@@ -45,7 +93,7 @@ def typed(value: Column, datatype: Column) -> dict[str, Column]:
         "v_double": F.when(datatype.isin(FLOATING), number.try_cast("double")),
         "v_decimal": F.when(datatype == "Decimal", number.try_cast("decimal(38,18)")),
         "v_date": F.when(datatype == "Date", value.try_cast("date")),
-        "v_ts": F.when(datatype == "DateTimeOffset", value.try_cast("timestamp_ntz")),
+        "v_ts": F.when(datatype == "DateTimeOffset", instant(value)),
         "v_lat": F.when(is_point, lat),
         "v_lon": F.when(is_point, lon),
     }
@@ -57,14 +105,13 @@ def typed_key(value: Column, datatype: Column) -> Column:
     NULL for text, points and anything that does not parse.
     """
     t = typed(value, datatype)
-    return F.coalesce(
+    return F.when(datatype == "Decimal", decimal_key(value)).otherwise(F.coalesce(
         t["v_bool"].cast("string"),
         t["v_long"].cast("string"),
         t["v_double"].cast("string"),
-        t["v_decimal"].cast("string"),
         t["v_date"].cast("string"),
         t["v_ts"].cast("string"),
-    )
+    ))
 
 
 def type_values(values: DataFrame, property_types: DataFrame) -> DataFrame:

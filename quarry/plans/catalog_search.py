@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,47 +107,68 @@ NAME_SEARCH = T.StructType(
 )
 
 
-def name_hits(names: DataFrame, asked: DataFrame) -> DataFrame:
-    """Objects with a namespace token and a name token matching ``.*input.*``.
+def _whole(pattern):
+    """The input anywhere in a token; the group keeps alternatives inside the anchors."""
+    return F.concat(F.lit("^(?:.*"), pattern, F.lit(".*)$"))
 
-    ``names`` has kind, doc_id, namespace, name. The input is a pattern and is not
-    lowercased; tokens are. Namespaces and names are short and repeat, so patterns
-    are tried once per distinct pair of a kind.
-    """
-    pairs = names.select("kind", "namespace", "name").distinct().withColumns(
-        {
-            "ns_tokens": text.standard_tokens(F.col("namespace")),
-            "name_tokens": text.standard_tokens(F.col("name")),
-        }
-    )
-    wanted = asked.select(
-        "search_id", "kind", F.concat(F.lit("^.*"), "namespace", F.lit(".*$")).alias("ns_rx"),
-        F.concat(F.lit("^.*"), "name", F.lit(".*$")).alias("name_rx"),
-    )
-    met = lookup_join(pairs, wanted, ["kind"], ["namespace", "name"]).where(
-        F.exists("ns_tokens", lambda t: F.rlike(t, F.col("ns_rx")))
-        & F.exists("name_tokens", lambda t: F.rlike(t, F.col("name_rx")))
-    )
-    found = met.select("search_id", "kind", "namespace", "name")
-    return lookup_join(names, found, ["kind", "namespace", "name"], ["doc_id"]).select(
-        "search_id", "doc_id", F.lit(2.0).alias("score")
-    )
 
+def _valid(pattern):
+    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), _whole(pattern)).isNotNull()
 
-def name_search(names: DataFrame, asked: list[tuple]) -> DataFrame:
-    """Pages and totals of fully-qualified-name searches."""
+
+def rejected_names(asked: DataFrame) -> DataFrame:
+    """Name searches whose input is no pattern: search_id and the reason."""
+    valid = F.coalesce(_valid(F.col("namespace")) & _valid(F.col("name")), F.lit(False))
+    return asked.where(~valid).select("search_id", F.lit("invalid pattern").alias("reason"))
+
+
+def name_hits(names: DataFrame, asked: DataFrame) -> DataFrame:
+    """Objects with a namespace token and a name token that the input matches as a whole, ``.*``
+    before and after it.
+
+    ``names`` has kind, doc_id, namespace, name. The input is a pattern and is not lowercased;
+    tokens are. Searches with an invalid pattern find nothing (``rejected_names``). Each pattern
+    is tried once per distinct token of its kind and field; documents and searches meet by
+    equality afterwards.
+    """
+    asked = asked.join(rejected_names(asked), "search_id", "left_anti")
+    fields = ["namespace", "name"]
+    tokens = reduce(DataFrame.unionByName, [
+        names.select("kind", F.lit(f).alias("field"), F.explode(text.standard_tokens(F.col(f))).alias("token")) for f in fields
+    ]).distinct()
+    patterns = reduce(DataFrame.unionByName, [
+        asked.select("kind", F.lit(f).alias("field"), F.col(f).alias("pattern")) for f in fields
+    ]).distinct()
+    met = lookup_join(tokens, patterns, ["kind", "field"], ["token"]).where(F.rlike("token", _whole(F.col("pattern"))))
+    met = materialize(met, "patterns")
+
+    def matching(field: str) -> DataFrame:
+        """(search_id, doc_id) by one field; distinct, as several tokens may match."""
+        held = names.select("kind", "doc_id", F.explode(text.standard_tokens(F.col(field))).alias("token"))
+        found = lookup_join(held, met.where(F.col("field") == field).drop("field"), ["kind", "token"], ["doc_id"])
+        wanted = asked.select("search_id", "kind", F.col(field).alias("pattern"))
+        return lookup_join(found, wanted, ["kind", "pattern"], ["doc_id"]).select("search_id", "doc_id").distinct()
+
+    both = matching("namespace").join(matching("name"), ["search_id", "doc_id"])
+    return both.select("search_id", "doc_id", F.lit(2.0).alias("score"))
+
+
+def name_search(names: DataFrame, asked: list[tuple] | DataFrame) -> DataFrame:
+    """Pages and totals of fully-qualified-name searches, given as rows or as a table."""
     spark = names.sparkSession
-    requests = local_table(spark, asked, NAME_SEARCH)
+    requests = asked if isinstance(asked, DataFrame) else local_table(spark, asked, NAME_SEARCH)
     hits = materialize(name_hits(names, requests), "hits")
-    req = Requests.of(
-        spark,
-        searches=_searches(spark, [(s, k, b, n) for s, k, _, _, b, n in asked]),
-        authorized=local_table(spark, [(s, "id") for s, *_ in asked], schemas.AUTHORIZED),
+    none = F.lit(None).cast("string")
+    searches = requests.select(
+        "search_id", F.col("search_id").alias("request_id"), F.lit(0).alias("request_no"), F.col("kind").alias("entity_set_id"),
+        F.col("kind").alias("entity_type_id"), F.lit(False).alias("linking"), "start", "max_hits", F.lit("score").alias("sort_type"),
+        none.alias("sort_property_id"), none.cast("double").alias("sort_lat"), none.cast("double").alias("sort_lon"),
+        F.lit(True).alias("descending"),
     )
+    authorized = requests.select("search_id", F.lit("id").alias("property_id"))
+    req = Requests.of(spark, searches=searches, authorized=authorized)
     keyed = hits.withColumns(
-        {"k_long": F.lit(0).cast("bigint"), "k_double": F.lit(None).cast("double"),
-         "k_decimal": F.lit(None).cast("decimal(38,18)"), "k_text_asc": F.lit(None).cast("string"),
-         "k_text_desc": F.lit(None).cast("string")}
+        {"k_long": F.lit(0).cast("bigint"), "k_double": none.cast("double"), "k_text_asc": none, "k_text_desc": none}
     )
     return page(keyed, req).select("search_id", "rn", "doc_id").join(totals(hits), "search_id")
 

@@ -16,13 +16,14 @@ from quarry.scale import materialize, settle
 def text_match_rows(req: Requests, live: DataFrame, index: Index) -> list[DataFrame]:
     """Match rows of the text constraints, one DataFrame per kind of clause in use."""
     clauses, small = settle(text_clauses(req, live, index.property_types), "clauses")
-    tokens = P.query_tokens(clauses, index.phonetic)
+    # Texts become many tokens, so those are measured themselves.
+    tokens, few = settle(P.query_tokens(clauses, index.phonetic), "tokens")
     parts = [
-        P.term_matches(tokens.where("kind = 'plain'"), index, small),
+        P.term_matches(tokens.where("kind = 'plain'"), index, few),
         P.typed_matches(clauses, index, small),
     ]
     if "phrase" in req.features:
-        parts.append(P.phrase_matches(tokens.where("kind = 'phrase'"), index, small))
+        parts.append(P.phrase_matches(tokens.where("kind = 'phrase'"), index, few))
     if "fuzzy" in req.features:
         parts.append(P.fuzzy_matches(P.normalized(clauses), index, small))
     return parts

@@ -61,29 +61,26 @@ def fits(
 ) -> bool:
     """True when ``df`` is measured to be below both bounds.
 
-    At most ``max_rows + 1`` rows are looked at, so the check itself is bounded.
+    Counted where the rows are, one number per task. The input is computed for it, so pass
+    a written or a driver-side table.
     """
-    measured = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
-        )
-        .first()
-    )
+    measured = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
+    ).first()
     return measured["n"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
 
 def settle(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     """Compute a request-side table once; say whether it is small.
 
-    Up to the broadcast bounds it becomes a local table of known size, beyond them
-    a written one. No more than the bound plus one row reaches the driver.
+    It is written, measured as written, and only then fetched: up to the broadcast bounds it
+    becomes a local table of known size.
     """
-    head = df.limit(BROADCAST_MAX_ROWS + 1).toArrow()
-    if head.num_rows <= BROADCAST_MAX_ROWS and head.nbytes <= BROADCAST_MAX_BYTES:
-        return df.sparkSession.createDataFrame(head, df.schema), True
-    return materialize(df, name), False
+    written = materialize(df, name)
+    if not fits(written):
+        return written, False
+    return df.sparkSession.createDataFrame(written.toArrow(), df.schema), True
 
 
 PUSHED_VALUES = 500
@@ -120,16 +117,21 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join a table that grows with the data to a lookup table.
 
-    A lookup table measured to be small is broadcast. A larger one is joined by
-    shuffle with ``salts`` slices per key: rows of ``big`` go to a slice by the
-    hash of ``spread_by`` and the lookup rows are repeated per slice, so a key
-    that holds a third of ``big`` is shared by ``salts`` tasks.
+    A lookup table measured to be small is broadcast; to be measured it is written once, so it
+    is not computed again for the join. A larger one is joined by shuffle with ``salts`` slices
+    per key: rows of ``big`` go to a slice by the hash of ``spread_by`` and the lookup rows are
+    repeated per slice, so a key that holds a third of ``big`` is shared by ``salts`` tasks.
+    Where ``spread_by`` lies inside the keys a slice would not split anything: then the plain
+    join does, and adaptive execution splits what is skewed.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti`` (seen from ``big``).
     """
     if small_fits is None:
+        small = materialize(small, "lookup")
         small_fits = fits(small)
     if small_fits:
         return big.join(F.broadcast(small), keys, how)
+    if set(spread_by) <= set(keys):
+        return big.join(small, keys, how)
     sliced = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = big.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     return spread.join(sliced, [*keys, "_slice"], how).drop("_slice")

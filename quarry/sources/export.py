@@ -26,8 +26,13 @@ def json_lines(documents: DataFrame) -> DataFrame:
         kind, column = field.dataType.typeName(), F.col(field.name)
         if kind == "date":
             column = iso_date(column)
-        elif kind.startswith("timestamp"):
+        elif kind == "timestamp":
+            # An instant: shown on the UTC clock whatever the session's zone.
+            column = iso_datetime(F.convert_timezone(F.current_timezone(), F.lit("UTC"), column.cast("timestamp_ntz")))
+        elif kind == "timestamp_ntz":
             column = iso_datetime(column)
+        elif kind.startswith("time"):
+            column = iso_time(F.concat(F.lit("1970-01-01 "), column.cast("string")).cast("timestamp_ntz"))
         rendered.append(column.alias(field.name))
     return documents.select(F.to_json(F.struct(*rendered)).alias("value"))
 

@@ -5,26 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.index import Index
+from quarry.operators.index import Index, clustered
 
 TABLES = ["values", "elements", "property_types", "postings", "typed_terms", "term_stats", "field_stats", "points"]
 
 
 def write_index(index: Index, path: str, files_per_table: int | None = None) -> None:
-    """Write all tables by entity type.
-
-    Postings and term statistics are range-partitioned and sorted by (property, term):
-    the row groups of a searched term are found by their minimum and maximum, and a
-    hot term spreads over files because the document is part of the range.
-    """
+    """Write all tables by entity type, each sorted by what searches ask for (see ``clustered``)."""
     for name in TABLES:
-        table = getattr(index, name)
-        by = {"postings": ["property_id", "term", "doc_id"], "typed_terms": ["property_id", "term", "doc_id"],
-              "term_stats": ["property_id", "term"]}.get(name)
-        if by:
-            keys = ["entity_type_id", *by]
-            table = table.repartitionByRange(*([files_per_table] if files_per_table else []), *keys)
-            table = table.sortWithinPartitions(*keys)
+        table = clustered(getattr(index, name), name, files_per_table)
         writer = table.write.mode("overwrite")
         if "entity_type_id" in table.columns:
             writer = writer.partitionBy("entity_type_id")

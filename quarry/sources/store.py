@@ -2,39 +2,49 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.ingest import latest
+from quarry.operators.ingest import latest, split_rejects
 from quarry.scale import lookup_join
 
+_COMMITS = "kind string, number bigint, path string, at bigint"
+
 
 class DocumentStore:
     """Documents by key under a folder.
 
-    ``base/through=<n>`` is a complete snapshot up to batch n, ``log/batch=<n>`` the
-    batches after it. Writing a batch again replaces it, so a replayed micro-batch
-    or a lost executor leaves no duplicates; a snapshot counts once its write
-    committed, so readers never see a half-written rebuild.
+    Every write goes to a folder of its own and counts once a row of the ``commits`` table
+    names it, so readers never see a half-written batch and no write touches files that a
+    running job reads. A batch written again replaces its earlier write. The snapshot keeps
+    sequence and deletion marks, so a late old version never hides a newer one, compacted or not.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], seq: str):
         self.spark, self.path, self.schema, self.keys, self.seq = spark, path, schema, keys, seq
         self._logged = T.StructType(schema.fields + [T.StructField("deleted", T.BooleanType())])
+        spark.createDataFrame([], _COMMITS).write.mode("append").parquet(f"{path}/commits")
 
-    def _numbers(self, folder: str) -> list[int]:
-        """Numbers of the committed sub-folders ``<name>=<n>``."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(root):
-            return []
-        return sorted(
-            int(s.getPath().getName().split("=")[1])
-            for s in files.listStatus(root)
-            if files.exists(jvm.org.apache.hadoop.fs.Path(s.getPath().toString() + "/_SUCCESS"))
-        )
+    def _commits(self) -> tuple[int, list[str], list[tuple[int, str]]]:
+        """Number and folder of the newest snapshot, and of the batches after it."""
+        rows = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").collect()
+        newest: dict[tuple[str, int], tuple[int, str]] = {}
+        for r in rows:
+            key = (r.kind, r.number)
+            newest[key] = max(newest.get(key, (0, "")), (r.at, r.path))
+        through = max((n for k, n in newest if k == "base"), default=-1)
+        base = [newest["base", through][1]] if through >= 0 else []
+        return through, base, sorted((n, p) for (k, n), (_, p) in newest.items() if k == "log" and n > through)
+
+    def _put(self, kind: str, number: int, rows: DataFrame) -> None:
+        folder = f"{self.path}/{kind}/{number}-{uuid.uuid4().hex}"
+        rows.select(self._logged.fieldNames()).write.parquet(folder)
+        commit = self.spark.createDataFrame([(kind, number, folder, time.time_ns())], _COMMITS)
+        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Add or replace documents."""
@@ -46,34 +56,38 @@ class DocumentStore:
         self.append(doomed.select("*", *empty).withColumn("deleted", F.lit(True)), batch_id)
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        rows.select(self._logged.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/log/batch={batch_id}"
-        )
+        self._put("log", batch_id, rows)
 
-    def read(self) -> DataFrame:
-        """Current documents: the snapshot without replaced keys, plus the last logged version of each key."""
-        bases = self._numbers("base")
-        through = bases[-1] if bases else -1
-        batches = [n for n in self._numbers("log") if n > through]
-        base = (
-            self.spark.read.schema(self.schema).parquet(f"{self.path}/base/through={through}")
-            if bases else self.spark.createDataFrame([], self.schema)
-        )
+    def _versions(self) -> tuple[DataFrame, int]:
+        """The last version of every key, deleted ones included, and the last batch they hold."""
+        through, base, batches = self._commits()
+        read = self.spark.read.schema(self._logged)
+        snapshot = read.parquet(*base) if base else self.spark.createDataFrame([], self._logged)
         if not batches:
-            return base
-        logged = self.spark.read.schema(self._logged).parquet(*[f"{self.path}/log/batch={n}" for n in batches])
-        newest = latest(logged, self.keys, self.seq)
-        kept = lookup_join(base, logged.select(*self.keys).distinct(), self.keys, self.keys, how="left_anti")
-        return kept.unionByName(newest.where("not deleted").select(self.schema.fieldNames()))
+            return snapshot, through
+        logged = read.parquet(*[p for _, p in batches])
+        touched = logged.select(*self.keys).distinct()
+        untouched = lookup_join(snapshot, touched, self.keys, self.keys, how="left_anti")
+        contested = lookup_join(snapshot, touched, self.keys, self.keys, how="left_semi")
+        newest = latest(contested.unionByName(logged), self.keys, self.seq)
+        return untouched.unionByName(newest.select(self._logged.fieldNames())), batches[-1][0]
+
+    def read(self) -> DataFrame:
+        """Current documents."""
+        return self._versions()[0].where("not deleted").select(self.schema.fieldNames())
 
     def compact(self) -> None:
-        """Fold the log into a new snapshot; the old one serves readers until it is complete."""
-        batches = self._numbers("log")
+        """Fold the log into a new snapshot; without newer batches there is nothing to do."""
+        through, _, batches = self._commits()
         if batches:
-            self.rebuild(self.read(), batches[-1])
+            self._put("base", batches[-1][0], self._versions()[0])
+
+    def rebuild(self, documents: DataFrame, through: int) -> DataFrame:
+        """Replace everything up to batch ``through`` by ``documents`` (last version per key).
 
-    def rebuild(self, documents: DataFrame, through: int) -> None:
-        """Replace everything up to batch ``through`` by ``documents`` (last version per key)."""
-        latest(documents, self.keys, self.seq).select(self.schema.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/base/through={through}"
-        )
+        Returns the rows that could not be stored, with the reason.
+        """
+        rules = {f"no {c}": F.col(c).isNull() for c in [*self.keys, self.seq]}
+        accepted, rejected = split_rejects(documents, rules)
+        self._put("base", through, latest(accepted, self.keys, self.seq).withColumn("deleted", F.lit(False)))
+        return rejected

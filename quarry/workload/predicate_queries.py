@@ -310,11 +310,11 @@ def allowed_ids(spark, sf_dir):
 @query("D18_name_patterns", f"""
     SELECT q AS search_id, CAST(p_partkey AS VARCHAR) AS doc_id FROM part,
       (VALUES ('a', '13', 'wid|bol'), ('b', 'ran', 'gi.m'), ('c', 'Brand', 'red')) v(q, ns, nm)
-    WHERE len(list_filter({words('p_brand')}, lambda t: regexp_matches(t, '^.*' || ns || '.*$'))) > 0
-      AND len(list_filter({words('p_name')}, lambda t: regexp_matches(t, '^.*' || nm || '.*$'))) > 0""")
+    WHERE len(list_filter({words('p_brand')}, lambda t: regexp_full_match(t, '.*' || ns || '.*'))) > 0
+      AND len(list_filter({words('p_name')}, lambda t: regexp_full_match(t, '.*' || nm || '.*'))) > 0""")
 def name_patterns(spark, sf_dir):
     asked = local_table(spark, [("a", "part", "13", "wid|bol", 0, 10), ("b", "part", "ran", "gi.m", 0, 10),
-                                ("c", "part", "Brand", "red", 0, 10)], NAME_SEARCH)
+                                ("c", "part", "Brand", "red", 0, 10), ("d", "part", "ran", "(", 0, 10)], NAME_SEARCH)
     names = m.table(spark, sf_dir, "part").select(
         F.lit("part").alias("kind"), F.col("p_partkey").cast("string").alias("doc_id"),
         F.col("p_brand").alias("namespace"), F.col("p_name").alias("name"))

@@ -118,6 +118,22 @@ def exact_totals(spark, sf_dir):
     return rank.totals(find(_documents(spark, sf_dir, "the que"), m.document_index(spark, sf_dir)))
 
 
+@query("E8_request_totals", f"""
+    WITH {THE_RANKED}, t AS (SELECT DISTINCT source AS set_id FROM documents)
+    SELECT CASE WHEN set_id IN ('src1', 'src2', 'src3') THEN 'some' ELSE 'rest' END AS request_id,
+      CAST(sum((SELECT count(*) FROM h WHERE h.set_id = t.set_id)) AS BIGINT) AS total_hits FROM t GROUP BY 1
+    UNION ALL SELECT 'nothing', 0""")
+def request_totals(spark, sf_dir):
+    """Sums per request: pages past the end keep their totals, a search without hits counts zero."""
+    request = F.when(F.col("entity_set_id").isin("src1", "src2", "src3"), "some").otherwise("rest")
+    searches = m.sets_of(spark, sf_dir, "documents", "source", "document").withColumns(
+        {"request_id": request, "start": F.lit(2_000_000_000), "max_hits": F.lit(2_147_483_647)})
+    nowhere = searches.limit(1).withColumns(
+        {"search_id": F.lit("nowhere"), "entity_set_id": F.lit("nowhere"), "request_id": F.lit("nothing")})
+    req = m.requests(searches.unionByName(nowhere), DOCUMENT_FIELDS, constraints=[simple("the que")])
+    return rank.request_totals(find(req, m.document_index(spark, sf_dir)), req)
+
+
 @query("E9_sub_searches", f"""
     WITH {THE_RANKED}, q AS (SELECT lang || '-readers' AS request_id, set_id,
         CAST(row_number() OVER (PARTITION BY lang ORDER BY set_id) - 1 AS INT) AS request_no

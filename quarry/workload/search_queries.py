@@ -197,8 +197,8 @@ def object_search(spark, sf_dir):
 
 @query("F4_name_search", f"""
     WITH h AS (SELECT q AS search_id, CAST(p_partkey AS VARCHAR) AS doc_id, 2.0 AS score FROM part, (VALUES ('a', '13', 'wid|bol'), ('b', 'ran', 'gi.m')) v(q, ns, nm)
-      WHERE len(list_filter({words('p_brand')}, lambda t: regexp_matches(t, '^.*' || ns || '.*$'))) > 0
-        AND len(list_filter({words('p_name')}, lambda t: regexp_matches(t, '^.*' || nm || '.*$'))) > 0), {_page('h', 10, 2)}
+      WHERE len(list_filter({words('p_brand')}, lambda t: regexp_full_match(t, '.*' || ns || '.*'))) > 0
+        AND len(list_filter({words('p_name')}, lambda t: regexp_full_match(t, '.*' || nm || '.*'))) > 0), {_page('h', 10, 2)}
     SELECT search_id, rn, doc_id, total_hits FROM p""")
 def name_search(spark, sf_dir):
     names = m.table(spark, sf_dir, "part").select(
