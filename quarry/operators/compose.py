@@ -49,6 +49,14 @@ def group_hits(scored: DataFrame, groups: DataFrame, small: bool | None) -> Data
     return enough.groupBy("search_id", "group_no", "doc_id").agg(F.sum("score").alias("score"))
 
 
+FOLDS = {"sum": F.sum, "max": F.max, "mean": F.avg}
+
+
+def fold_scores(matches: DataFrame, fold: str = "sum") -> DataFrame:
+    """Scores of a document's elements folded to one: their sum, the best or the mean."""
+    return matches.groupBy("search_id", "doc_id").agg(F.round(FOLDS[fold]("score"), 6).alias("score"))
+
+
 def search_hits(grouped: DataFrame, live: DataFrame, small: bool | None) -> DataFrame:
     """Documents that every group of a live search accepts, possibly on different elements."""
     docs = grouped.groupBy("search_id", "doc_id").agg(

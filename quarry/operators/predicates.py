@@ -255,13 +255,28 @@ def written_between(last_write: Column, start: Column, end: Column) -> Column:
     )
 
 
+def _any_window(windows: DataFrame) -> Column:
+    """The span of all windows as literals, so that the scan of elements (stored by set and write
+    time) skips what lies outside every one of them."""
+    span = windows.agg(
+        F.min("start_date").alias("low"), F.max("end_date").alias("high"),
+        F.count_if(F.col("start_date").isNull()).alias("open_low"), F.count_if(F.col("end_date").isNull()).alias("open_high"),
+    ).first()
+    condition = F.col("last_write").isNotNull()
+    if span["low"] is not None and not span["open_low"]:
+        condition = condition & (F.col("last_write") > F.lit(span["low"]).cast("timestamp_ntz"))
+    if span["high"] is not None and not span["open_high"]:
+        condition = condition & (F.col("last_write") <= F.lit(span["high"]).cast("timestamp_ntz"))
+    return condition
+
+
 def write_time_matches(req: Requests, index: Index) -> DataFrame:
     windows = (
         req.constraints.where(F.col("search_type") == "writeDateTimeFilter")
         .join(scopes(req.searches), "search_id")
         .select(*CONSTRAINT, *SCOPE, "start_date", "end_date")
     )
-    elements = index.elements.withColumn("scope", scope_of(F.col("entity_set_id")))
+    elements = index.elements.where(_any_window(windows)).withColumn("scope", scope_of(F.col("entity_set_id")))
     written = lookup_join(elements, windows, SCOPE, ["doc_id", "ord"], small_fits=req.small).where(
         written_between(F.col("last_write"), F.col("start_date"), F.col("end_date"))
     )

@@ -19,6 +19,9 @@ from quarry.plans.entity_search import find
 from quarry.scale import local_table, lookup_join, materialize
 
 ENTITY_SET_FIELDS = ["id", "name", "title", "description"]
+# Names of entity sets are written with underscores, so they are heard letter by letter: runs of
+# letters, pairs of them and their sounds.
+ENTITY_SET_SPOKEN = ["name", "title", "description"]
 ORGANIZATION_FIELDS = ["title", "description"]
 
 
@@ -29,14 +32,14 @@ def _elements(values: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def index_of(values: DataFrame) -> Index:
-    """Index of catalog values; every field is plain text."""
+def index_of(values: DataFrame, spoken: list[str] = ()) -> Index:
+    """Index of catalog values; every field is plain text but for the ``spoken`` ones."""
     fields = sorted({f for kind in ["EntitySet", "Organization", "App", "AssociationType",
                                     "EntityTypeCollection", "EntitySetCollection", "EntityType"]
                      for f in searched_fields(kind)} | set(ENTITY_SET_FIELDS))
     properties = local_table(
         values.sparkSession,
-        [(f, "catalog", f, f, "String", text.STANDARD) for f in fields],
+        [(f, "catalog", f, f, "String", text.METAPHONE if f in spoken else text.STANDARD) for f in fields],
         schemas.PROPERTY_TYPES,
     )
     return build_index(type_values(values, properties), _elements(values), properties)
@@ -225,6 +228,10 @@ def entity_set_values(entity_sets: DataFrame) -> DataFrame:
     return _flat_values(named, "EntitySet", "entity_set_id", ENTITY_SET_FIELDS)
 
 
+def entity_set_index(entity_sets: DataFrame) -> Index:
+    return index_of(entity_set_values(entity_sets), ENTITY_SET_SPOKEN)
+
+
 def _flat_values(rows: DataFrame, kind: str, key: str, fields: list[str]) -> DataFrame:
     cells = F.array(
         *[F.struct(F.lit(f).alias("property_id"), F.col(f).cast("string").alias("value")) for f in fields]

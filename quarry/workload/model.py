@@ -15,7 +15,7 @@ from quarry.operators.index import Index, build_index
 from quarry.operators.ingest import long_values
 from quarry.operators.requests import Requests
 from quarry.operators.typing_ops import evolve, type_values
-from quarry.plans.catalog_search import catalog_index, entity_set_values, index_of, organization_values
+from quarry.plans.catalog_search import catalog_index, entity_set_index, index_of, organization_values
 from quarry.scale import local_table, settle
 
 ELEMENTS_PER_LINK = 5
@@ -242,7 +242,7 @@ def organization_index(spark: SparkSession, sf_dir: str) -> Index:
 
 
 def order_set_index(spark: SparkSession, sf_dir: str) -> Index:
-    return kept(spark, sf_dir, "order_sets", lambda: index_of(entity_set_values(order_sets(spark, sf_dir))))
+    return kept(spark, sf_dir, "order_sets", lambda: entity_set_index(order_sets(spark, sf_dir)))
 
 
 # --- shared -----------------------------------------------------------------------

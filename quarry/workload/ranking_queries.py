@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from quarry.functions.text import STANDARD
 from quarry.operators import predicates as P
 from quarry.operators import rank
+from quarry.operators.compose import fold_scores
 from quarry.operators.requests import live_searches, sub_searches, text_clauses
 from quarry.plans.entity_search import find, match_rows, search
+from quarry.scale import materialize
 from quarry.workload import model as m
 from quarry.workload.predicate_queries import (
     CUSTOMER_FIELDS, DOCUMENT_FIELDS, PART_FIELDS, SEGMENTS, linking_sets, simple,
@@ -40,9 +42,11 @@ def score_folds(spark, sf_dir):
         + [m.T.StructField("linking", m.T.BooleanType())]))
     req = m.requests(searches, ["segment"], constraints=[simple("BUILDING")], linking=linking_sets(searches, *SEGMENTS))
     matches = match_rows(req, live_searches(req), m.customer_index(spark, sf_dir))
-    return matches.groupBy("search_id", "doc_id").agg(
-        F.round(F.sum("score"), 6).alias("total_score"), F.round(F.max("score"), 6).alias("max_score"),
-        F.round(F.avg("score"), 6).alias("avg_score")).drop("search_id")
+    matches = materialize(matches, "matches")
+    folded = [fold_scores(matches, fold).withColumnRenamed("score", name)
+              for fold, name in (("sum", "total_score"), ("max", "max_score"), ("mean", "avg_score"))]
+    keys = ["search_id", "doc_id"]
+    return folded[0].join(folded[1], keys).join(folded[2], keys).drop("search_id")
 
 
 @query("E3_best_field", f"""

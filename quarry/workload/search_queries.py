@@ -18,8 +18,9 @@ from quarry.workload.ingesting import saved_objects
 from quarry.workload.predicate_queries import CUSTOMER_FIELDS, DOCUMENT_FIELDS, SEGMENTS, constraint_rows, linking_sets, simple
 from quarry.workload.registry import query
 from quarry.workload.sql import (
-    BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, haversine, part_tok, words,
+    BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, auto, haversine, letters, osa, part_tok, words,
 )
+from quarry.workload.typing_and_text import CODE_TABLE, PHONETIC_TOK
 
 
 def _page(source: str, size: int, start: int = 0) -> str:
@@ -88,7 +89,20 @@ def linked_entity_search(spark, sf_dir):
     return search(req, m.customer_index(spark, sf_dir)).select("search_id", "rn", "doc_id", "score", "total_hits")
 
 
-@query("F1_phonetic_fuzzy_search")
+@query("F1_phonetic_fuzzy_search", f"""
+    WITH {CODE_TABLE}, {PHONETIC_TOK},
+      tf AS (SELECT doc_id, set_id, term, count(*) AS tf FROM ptok GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+      fs AS (SELECT count(*) AS n, avg(len(t)) AS al FROM w WHERE len(t) > 0),
+      sc AS (SELECT tf.doc_id, tf.set_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf, tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(t) / al)) AS tfn
+        FROM tf JOIN w USING (doc_id) JOIN df USING (term), fs),
+      -- Misspelt words meet all vocabulary within their edits; heard ones their words, pairs and codes.
+      near AS (SELECT q AS tok, term, idf * (1 - d / least(length(q), length(term))) * tfn AS s, doc_id, set_id FROM
+        (SELECT *, {osa('q', 'term')} AS d FROM sc, (VALUES ('rad'), ('wigit')) v(q) WHERE abs(length(q) - length(term)) <= 2) WHERE d <= {auto('q')}),
+      heard AS (SELECT tok, term, idf * tfn AS s, doc_id, set_id FROM sc JOIN
+        (VALUES ('0', 'bloo'), ('0', 'bloogere'), ('0', 'BL'), ('0', 'BLJR'), ('1', 'gere'), ('1', 'JR')) v(tok, term) USING (term)),
+      m AS (SELECT doc_id, set_id, tok, max(s) AS s FROM (SELECT * FROM near UNION ALL SELECT * FROM heard) GROUP BY ALL),
+      h AS (SELECT set_id AS search_id, doc_id, round(sum(s), 6) AS score FROM m GROUP BY ALL), {_page('h', 10)}
+    SELECT * FROM p""")
 def phonetic_fuzzy_search(spark, sf_dir):
     """Misspelt words against names indexed with their phonetic codes."""
     req = m.requests(m.sets_of(spark, sf_dir, "part", "p_brand", "part"), ["p_name"],
@@ -235,7 +249,8 @@ FILTERS = m.T.StructType([
 @query("F6_entity_set_search", f"""
     WITH s AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_custkey AS VARCHAR) AS t,
         [CAST(o_orderkey AS VARCHAR), 'order' || o_orderkey, o_orderpriority, 'status ' || o_orderstatus] AS f FROM orders),
-      tok AS (SELECT doc_id, '0' AS ord, p AS property_id, unnest({words('v')}) AS term FROM
+      -- Pairs and sounds of the spoken fields do not count towards lengths, and none is near the term.
+      tok AS (SELECT doc_id, '0' AS ord, p AS property_id, unnest(CASE WHEN p = 'id' THEN {words('v')} ELSE {letters('v')} END) AS term FROM
         (SELECT doc_id, unnest(f) AS v, unnest(['id', 'name', 'title', 'description']) AS p FROM s)), {BM25},
       m AS (SELECT doc_id, property_id, max(idf * (1 - damerau_levenshtein('urgnet', term) / least(6, length(term))) * tfn) AS s FROM sc
         WHERE damerau_levenshtein('urgnet', term) <= 2 GROUP BY ALL),

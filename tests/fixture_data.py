@@ -6,18 +6,18 @@ from quarry.operators.typing_ops import type_values
 from quarry.scale import local_table
 
 TYPE = "employee"
-SET1, SET2 = "chicago_employees", "entity_set2"
+SET1, SET2 = "bergen_employees", "night_shift"
 PROPERTIES = [
     ("name", "String", "STANDARD"), ("title", "String", "STANDARD"), ("dept", "String", "STANDARD"),
     ("salary", "Int64", None), ("id", "Int64", None), ("home", "GeographyPoint", None),
 ]
 ENTITIES = {
-    "e1": (SET1, dict(name="APOSTOLOS,  DIMITRIOS M", title="ASST CHIEF OPERATING ENGINEER",
-                      dept="AVIATION", salary="108534", id="12345", home="41.8,-87.6")),
-    "e2": (SET1, dict(name="ALVAREZ,  ROBERT", title="POLICE OFFICER", dept="POLICE",
-                      salary="81550", id="12346", home="41.9,-87.7")),
-    "e3": (SET1, dict(name="ALTMAN,  PATRICIA A", title="POLICE OFFICER", dept="POLICE",
-                      salary="93240", id="12347")),
+    "e1": (SET1, dict(name="KORVANTIS,  THEOBALDO M", title="DEPUTY LEAD HARBOUR SURVEYOR",
+                      dept="SHIPPING", salary="207431", id="12345", home="41.8,-87.6")),
+    "e2": (SET1, dict(name="OSTROVA,  LINDEN", title="POLICE OFFICER", dept="POLICE",
+                      salary="61775", id="12346", home="41.9,-87.7")),
+    "e3": (SET1, dict(name="BRECHT,  GWENDOLA A", title="POLICE OFFICER", dept="POLICE",
+                      salary="72460", id="12347")),
     "e4": (SET2, dict(dept="POLICE", id="12347")),
 }
 ALL = [p for p, _, _ in PROPERTIES]

@@ -45,7 +45,7 @@ def test_wide_view(spark):
     typed = type_values(values(spark), property_types(spark))
     wide = wide_view(typed, [("salary", "salary", "Int64"), ("home", "home", "GeographyPoint"), ("dept", "dept", "Binary")])
     row = wide.where("doc_id = 'e1'").first()
-    assert row.salary == [108534] and row.home_lat == 41.8 and "dept" not in wide.columns
+    assert row.salary == [207431] and row.home_lat == 41.8 and "dept" not in wide.columns
 
 
 def test_partial_update(spark):
@@ -100,6 +100,52 @@ def test_store_replays_deletes_and_compacts(spark):
     assert as_set(s.read()) == {("n", 2, 2)}
 
 
+def test_late_versions_stay_hidden_after_compaction(spark):
+    s = store(spark)
+    s.write(spark.createDataFrame([("a", 2, 2), ("b", 2, 2)], s.schema), 0)
+    s.remove(spark.createDataFrame([("c", 5)], "k string, seq int"), 1)
+    s.compact()
+    s.compact()  # nothing newer: nothing to do
+    s.write(spark.createDataFrame([("a", 1, 1), ("c", 4, 4), ("b", 3, 3)], s.schema), 2)
+    assert as_set(s.read()) == {("a", 2, 2), ("b", 3, 3)}
+    s.remove(spark.createDataFrame([("b", 2)], "k string, seq int"), 3)  # a late delete
+    s.compact()
+    assert as_set(s.read()) == {("a", 2, 2), ("b", 3, 3)}
+    rejected = s.rebuild(spark.createDataFrame([("z", 1, 1), (None, 1, 1), ("y", 1, None)], s.schema), 3)
+    assert as_set(s.read()) == {("z", 1, 1)} and {r.reason for r in rejected.collect()} == {"no k", "no seq"}
+
+
+def test_last_version_of_a_linked_document_wins(spark):
+    current = spark.createDataFrame([("d", "1", "old"), ("e", "1", "kept")], "doc_id string, ord string, value string")
+    batch = spark.createDataFrame([("d", "1", "first", 1), ("d", "2", "first", 1), ("d", "1", "second", 2)],
+                                  "doc_id string, ord string, value string, seq int")
+    assert as_set(ingest.upsert_values(current, batch, ["doc_id"], "seq")) == {("d", "1", "second"), ("e", "1", "kept")}
+
+
+def test_typed_values_of_all_spellings(spark):
+    from quarry.operators.typing_ops import decimal_order, typed, typed_key
+
+    rows = [("DateTimeOffset", "2024-05-01T10:00:00+02:00"), ("DateTimeOffset", "2024-05-01T08:00:00Z"), ("DateTimeOffset", "2024-05-01 08:00:00"),
+            ("Decimal", "123456789012345678901234.50"), ("Decimal", "123456789012345678901234.5"), ("Decimal", "1.2345678901234567890123450E23"),
+            ("Decimal", "-0.0"), ("Decimal", "0"), ("GeographyPoint", "1.0E-4,+5.0"), ("GeographyPoint", "91,0"), ("Decimal", "x")]
+    df = spark.createDataFrame(rows, "datatype string, value string")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = df.select("value", typed_key(F.col("value"), F.col("datatype")).alias("key"),
+                            *[c.alias(n) for n, c in typed(F.col("value"), F.col("datatype")).items()]).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        keys = [r.key for r in got]
+        assert keys[0] == keys[1] == keys[2] == "2024-05-01 08:00:00"
+        assert keys[3] == keys[4] == keys[5] != keys[6] and keys[6] == keys[7] == "0" and keys[10] is None
+        assert (got[8].v_lat, got[8].v_lon) == (0.0001, 5.0) and got[9].v_lat is None
+    numbers = ["-1e30", "-123456789012345678901234", "-10", "-1.5", "-1", "-0.001", "0", "0.001", "1", "1.05", "1.5", "2", "10",
+               "123456789012345678901234", "123456789012345678901235", "1e30"]
+    ordered = spark.createDataFrame([(n,) for n in reversed(numbers)], "n string").orderBy(decimal_order(F.col("n"))).collect()
+    assert [r.n for r in ordered] == numbers
+
+
 def test_stream_equals_batch(spark):
     s, arriving = store(spark), shared_path(spark, "arriving")
     rows = [(f"k{i % 7}", i, i) for i in range(60)]
@@ -122,9 +168,18 @@ def test_iso_rendering(spark):
     assert spark.read.json(path).count() == 1
 
 
+def test_iso_rendering_is_utc_in_any_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.sql("select timestamp '2020-01-02 03:04:05+00:00' t")
+        assert json.loads(json_lines(df).first().value) == {"t": "2020-01-02T03:04:05.000000Z"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_employee_csv(spark):
-    salaries = spark.createDataFrame([("$108,534.00",), ("12",), ("abc",), (None,), ("$",)], "s string")
-    assert [r[0] for r in salaries.select(currency_to_int(F.col("s"))).collect()] == [108534, 0, 0, 0, 0]
+    salaries = spark.createDataFrame([("$207,431.00",), ("12",), ("abc",), (None,), ("$",)], "s string")
+    assert [r[0] for r in salaries.select(currency_to_int(F.col("s"))).collect()] == [207431, 0, 0, 0, 0]
     path = shared_path(spark, "csv")
     spark.createDataFrame([('"A, B",T,D,"$1,000.50"',)], "v string").write.text(path)
     assert tuple(read_employees(spark, path).first()) == ("A, B", "T", "D", 1000)

@@ -64,6 +64,40 @@ def test_write_time_window_reaches_the_scan(spark):
     assert "GreaterThan(last_write" in text and "LessThanOrEqual(last_write" in text
 
 
+def test_write_time_search_prunes_stored_elements(spark, idx):
+    import datetime as dt
+
+    from quarry.operators.predicates import write_time_matches
+
+    path = shared_path(spark, "index")
+    write_index(idx, path)
+    window = {"search_type": "writeDateTimeFilter", "start_date": dt.datetime(2023, 12, 1), "end_date": dt.datetime(2024, 1, 1, 0, 0)}
+    text = plan(write_time_matches(request(spark, [window]), read_index(spark, path)))
+    assert "GreaterThan(last_write" in text and "LessThanOrEqual(last_write" in text
+
+
+def test_deep_pages_need_no_one_task_sort(spark, idx):
+    deep = request(spark, [simple("police")], start=0, max_hits=2**31 - 1)
+    shallow = request(spark, [simple("police")], start=0, max_hits=50)
+    rows = [sorted((r.rn, r.doc_id) for r in search(req, idx).collect()) for req in (deep, shallow)]
+    assert rows[0] == rows[1] and len(rows[0]) > 1
+    past = request(spark, [simple("police")], start=2**31 - 2, max_hits=2**31 - 1)
+    assert search(past, idx).count() == 0
+
+
+def test_many_shapes_from_few_requests_are_measured_after_the_explode(spark, monkeypatch):
+    """Beyond the bound a lookup is joined by shuffle and the rows stay the same."""
+    from quarry import scale
+
+    big = spark.range(300).selectExpr("id", "cast(id % 7 as string) k")
+    few = spark.createDataFrame([("1", 5), ("2", 3)], "k string, n int").selectExpr("k", "explode(sequence(1, n)) v")
+    expected = sorted(map(tuple, lookup_join(big, few, ["k"], ["id"]).collect()))
+    monkeypatch.setattr(scale.fits, "__defaults__", (4, scale.BROADCAST_MAX_BYTES))
+    joined = lookup_join(big, few, ["k"], ["id"])
+    assert "_slice" in joined._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, joined.collect())) == expected
+
+
 def test_lookup_join_is_the_same_either_way(spark):
     big = spark.range(500).selectExpr("id", "case when id % 3 = 0 then 'hot' else cast(id % 11 as string) end k")
     small = spark.createDataFrame([("hot", 1), ("hot", 2), ("4", 3), ("none", 4)], "k string, v int")
@@ -82,7 +116,7 @@ def test_stored_index_answers_alike(spark, idx):
     path = shared_path(spark, "index")
     write_index(idx, path)
     stored = read_index(spark, path)
-    req = request(spark, [simple('police "chief operating" 12345', fuzzy=False)])
+    req = request(spark, [simple('police "lead harbour" 12345', fuzzy=False)])
     assert sorted(map(tuple, search(req, stored).collect())) == sorted(map(tuple, search(req, idx).collect()))
     assert "PartitionFilters" in plan(stored.postings.where(F.col("entity_type_id") == "employee"))
 
@@ -98,7 +132,7 @@ def test_searched_terms_reach_the_scan(spark, idx):
 def test_many_searches_with_different_questions(spark, idx):
     from quarry.operators.requests import Requests
 
-    terms = {"a": "police", "b": "aviation", "c": "nobody", "d": "robert patricia"}
+    terms = {"a": "police", "b": "shipping", "c": "nobody", "d": "linden gwendola"}
     names = schemas.CONSTRAINTS.fieldNames()
     req = Requests.of(
         spark,
