@@ -197,7 +197,7 @@ def _split_collisions(rows: DataFrame, groups: DataFrame, text_column: str) -> t
         return rows, groups
     # The text becomes part of the digest of these rows, so groups stay plain equi-joins.
     marked = rows.join(differ.withColumn("lies", F.lit(True)), "digest", "left")
-    own = F.when("lies", F.concat("digest", F.lit(" "), text)).otherwise(F.col("digest"))
+    own = F.when(F.col("lies"), F.concat("digest", F.lit(" "), text)).otherwise(F.col("digest"))
     rows = marked.withColumn("digest", own).drop("lies")
     again = _grouped(rows.filter(F.instr("digest", " ") > 0).select("digest", "id", "uid")).filter("n > 1")
     kept = groups.join(differ, "digest", "left_anti")

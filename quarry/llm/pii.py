@@ -99,9 +99,9 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
 
 # --- nodes of the field ------------------------------------------------------------------
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[ ().-]{0,2}[0-9]){6,}(?![0-9A-Za-z])")
-_ADDRESS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63})+")
+_ADDRESS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?)[A-Za-z0-9-]{1,63})+")
 _AT = re.compile(r" ?(?:@|\(at\)|\[at\]) ?")
-_DOT = re.compile(r" ?(?:\.|\(dot\)|\[dot\]) ?")
+_DOT = re.compile(r"\.| ?\(dot\) ?| ?\[dot\] ?")
 _FEATURES = 26
 
 
