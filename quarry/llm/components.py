@@ -15,6 +15,13 @@ def _toward_minimum(sides: DataFrame) -> DataFrame:
     return sides.join(materialize(least, "least"), "u")
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node points at one node, which points at none."""
+    several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    chained = edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
+    return several.isEmpty() and chained.isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node of ``links`` (a, b).
 
@@ -24,8 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges"
     )
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _toward_minimum(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.filter("u <> v").distinct(), "large")
@@ -33,9 +39,5 @@ def components(links: DataFrame) -> DataFrame:
         pointed = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = small.select("u", F.col("m").alias("v"))
         edges = materialize(pointed.unionByName(own).filter("u <> v").distinct(), "small")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -1,11 +1,11 @@
 """Similarity join of word-shingle sets by parity sketches (operator 7).
 
 Every shingle of five words flips one bit of a sparse parity sketch. Two sketches differ in at
-most as many bits as the sets differ in shingles, and a similarity of s allows sets of n and m
-shingles to differ in at most (n + m)(1 - s)/(1 + s) of them. So of the non-empty blocks of a
-sketch at most that many differ from the partner's: with one block more than the most any
-partner of its size may change, at least one equal block is among those chosen, provided all
-documents choose in the same order. Blocks that many documents share come last in that order
+most as many bits as the sets differ in shingles. A similarity of s leaves at most n (1 - s) of
+a set's n shingles without a partner, and the sketch is so wide (blocks by 58 bits of a 64-bit
+hash) that a foreign shingle falls into none of its blocks. So at most n (1 - s) of its non-empty
+blocks differ from the partner's: with one block more, at least one equal block is among those
+chosen, provided all documents choose in the same order. Blocks that many documents share come last in that order
 (a bounded table of counts; it only moves work, never results). Equal blocks are joined per
 size band.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import lookup, mix, numbered, span_hashes, text_blocks, text_of, words
+from quarry.llm.common import lookup, mix, numbered, span_hashes, text_blocks, text_of, words, written
 from quarry.llm.components import components
 from quarry.scale import materialize
 
@@ -38,7 +38,8 @@ PERCENT = 75
 BLOCK_BITS = 6
 BAND_BITS = 2  # sizes within a factor of 4 share a band
 COMMON_BLOCKS = 1 << 16
-PIVOTS_PER_ROUND = 8
+PIVOTS_PER_ROUND = 32
+ASK_ALL_PAIRS = 200_000  # remaining pairs that may be asked at once; more only in proportion to the members
 _SEEN_OFTEN = 3
 
 
@@ -70,9 +71,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple
 
 
 def most_changed(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The most shingles by which a linked partner of a set of n may differ: its size is at
-    most n / s, and (n + n / s)(1 - s)/(1 + s) is n (1 - s) / s."""
-    return n * (100 - percent) // percent
+    """The most blocks of a set of n shingles that a linked partner may lack."""
+    return n * (100 - percent) // 100
 
 
 def band(n: np.ndarray) -> np.ndarray:
@@ -163,28 +163,31 @@ def _emit_blocks(common: np.ndarray, rank: np.ndarray):
     return run
 
 
-def _emit_sets(batches):
+def _emit_sketches(batches):
     for batch in batches:
         for lo, hi, data, offsets in text_blocks(batch.column(1)):
             value, owner = shingles(data, offsets)
             sizes = np.bincount(owner, minlength=hi - lo)
             cuts = np.concatenate([[0], np.cumsum(sizes)])
             own = band(sizes)
-            out = {k: [] for k in ("uid", "n", "band", "sketch", "sets")}
+            out = {k: [] for k in ("uid", "n", "band", "sketch")}
             for i, uid in enumerate(batch.column(0).to_pylist()[lo:hi]):
-                mine = value[cuts[i] : cuts[i + 1]]
-                bands = [own[i], own[i] + 1] if 100 * sizes[i] >= PERCENT * (1 << int((own[i] + 1) * BAND_BITS)) else [own[i]]
-                for b in bands:
-                    out["uid"].append(uid)
-                    out["n"].append(int(sizes[i]))
-                    out["band"].append(int(b))
-                    out["sketch"].append(dense_sketch(mine, max(64, 2 << int((b + 1) * BAND_BITS))).view(np.int64))
-                    out["sets"].append(mine.view(np.int64) if b == own[i] else None)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                near = 100 * sizes[i] >= PERCENT * (1 << int((own[i] + 1) * BAND_BITS))
+                for b in (own[i], own[i] + 1) if near else (own[i],):
+                    sketch = dense_sketch(value[cuts[i] : cuts[i + 1]], max(64, 2 << int((b + 1) * BAND_BITS)))
+                    for column, x in zip(out.values(), (uid, int(sizes[i]), int(b), sketch.view(np.int64))):
+                        column.append(x)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
 
 
-_SKETCHED = "uid long, n long, band long, sketch array<long>, sets array<long>"
+def _emit_sets(batches):
+    for batch in batches:
+        for lo, hi, data, offsets in text_blocks(batch.column(1)):
+            value, owner = shingles(data, offsets)
+            cuts = np.searchsorted(owner, np.arange(hi - lo + 1)).astype(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(cuts), pa.array(value.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], ["uid", "set"])
 
 
 # --- the join ----------------------------------------------------------------------------
@@ -202,57 +205,64 @@ def _common_blocks(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return common[order], rank[order]
 
 
-def _verified(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, with shared and union sizes checked exactly."""
-    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("n", "band", "sketch")]
-    left = sketched.select(F.col("uid").alias("a"), *side("a"))
-    right = sketched.select(F.col("uid").alias("b"), *side("b"))
-    met = pairs.join(left, "a").join(right, "b").filter("band_a = band_b")
+def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough: by their sketches first, then by their sets."""
+    side = lambda name: sketches.select(F.col("uid").alias(name), "band", *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch")])
+    met = pairs.join(side("a"), "a").join(side("b"), ["b", "band"])
     apart = F.aggregate(
         F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x
     )
     # (n + m)(1 - s)/(1 + s) is the most two linked sets may differ.
     near = met.filter((apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)))
     near = near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
-    sets = sketched.filter(F.col("sets").isNotNull())
-    exact = (
-        near.join(sets.select(F.col("uid").alias("a"), F.col("sets").alias("sets_a")), "a")
-        .join(sets.select(F.col("uid").alias("b"), F.col("sets").alias("sets_b")), "b")
-    )
-    shared = F.size(F.array_intersect("sets_a", "sets_b")).cast("long")
-    union = F.size("sets_a") + F.size("sets_b") - shared
-    return exact.filter(100 * shared >= percent * union).select("a", "b")
-
-
-def _links(members: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
-    """Links that join all similar documents of ``members`` (block, uid) into their components."""
+    near = written(near, "near")
+    ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    own = lookup(texts, materialize(ends, "ends"), "uid", "left_semi")
+    sets = materialize(own.mapInArrow(_emit_sets, "uid long, set array<long>"), "sets")
+    exact = near.join(sets.withColumnsRenamed({"uid": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"uid": "b", "set": "set_b"}), "b")
+    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+    union = F.size("set_a") + F.size("set_b") - shared
+    return written(exact.filter(100 * shared >= percent * union).select("a", "b"), "links")
+
+
+def _links(members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links that join all similar documents of ``members`` (block, uid), and their components."""
     pivot = members.groupBy("block").agg(F.min("uid").alias("a"))
     star = members.join(materialize(pivot, "pivots"), "block").filter("uid <> a").select("a", F.col("uid").alias("b")).distinct()
-    links = materialize(_verified(materialize(star, "star"), sketched, percent), "links")
-    open_rows = members
+    links = _verified(written(star, "star"), texts, sketches, percent)
+    roots = materialize(components(links), "roots")
+    open_rows, n_members = members, members.count()
     while True:
-        roots = components(links)
         root = F.coalesce("root", "uid").alias("root")
         rooted = open_rows.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select("block", "uid", root)
         per_root = rooted.groupBy("block", "root").agg(F.count(F.lit(1)).alias("n"))
         mixed = per_root.groupBy("block").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("largest")).filter("roots > 1")
         mixed = materialize(mixed.select("block", F.col("largest.root").alias("main")), "mixed")
         if mixed.isEmpty():
-            return links
+            return links, roots
         open_rows = materialize(rooted.join(mixed, "block"), "open")
-        # Members outside a block's largest component ask; the window holds those alone.
-        asking = open_rows.filter("root <> main").withColumn(
-            "turn", F.row_number().over(Window.partitionBy("block").orderBy("root", "uid"))
-        ).filter(F.col("turn") <= PIVOTS_PER_ROUND).select("block", F.col("uid").alias("a"), F.col("root").alias("root_a"))
-        asking = materialize(asking, "asking")
+        # Members outside a block's largest component ask. If they are few they all ask at once, else
+        # a bounded number of each block does, so a round's pairs stay in proportion to the members.
+        sizes = open_rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("root") != F.col("main")).alias("askers"))
+        most = sizes.agg(F.sum(F.col("n") * F.col("askers"))).first()[0]
+        asking = open_rows.filter("root <> main").select("block", F.col("uid").alias("a"), F.col("root").alias("root_a"))
+        whole = most <= max(ASK_ALL_PAIRS, n_members // 4)
+        if not whole:
+            turn = F.row_number().over(Window.partitionBy("block").orderBy("root_a", "a"))
+            asking = asking.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS_PER_ROUND).drop("turn")
+            asking = materialize(asking, "asking")
         asked = open_rows.join(asking, "block").filter("root <> root_a")
         pairs = asked.select(F.least("a", "uid").alias("a"), F.greatest("a", "uid").alias("b")).distinct()
-        more = materialize(_verified(materialize(pairs, "asked"), sketched, percent), "links")
-        links = materialize(links.unionByName(more), "links")
+        more = _verified(materialize(pairs, "asked"), texts, sketches, percent)
+        if not more.isEmpty():
+            links = materialize(links.unionByName(more), "links")
+            roots = materialize(components(links), "roots")
+        if whole:
+            return links, roots
         open_rows = open_rows.select("block", "uid").join(
             asking.select("block", F.col("a").alias("uid")), ["block", "uid"], "left_anti"
         )
-        open_rows = materialize(open_rows, "open")
+        open_rows = written(open_rows, "open")
 
 
 def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -274,12 +284,11 @@ def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_
     # Only blocks that two documents share go on; each is seen once, in one exchange.
     least = Window.partitionBy("block")
     shared = blocks.withColumn("least", F.min("uid").over(least)).withColumn("most", F.max("uid").over(least))
-    members = materialize(shared.filter("least <> most").select("block", "uid"), "members")
+    members = written(shared.filter("least <> most").select("block", "uid"), "members")
     wanted = materialize(members.select("uid").distinct(), "wanted")
-    sketched = materialize(lookup(texts, wanted, "uid", "left_semi").mapInArrow(_emit_sets, _SKETCHED), "sketched")
-    links = _links(members, sketched, percent)
-    roots = components(links).withColumnRenamed("node", "class_uid")
-    roots = materialize(roots, "roots")
+    sketches = lookup(texts, wanted, "uid", "left_semi").mapInArrow(_emit_sketches, "uid long, n long, band long, sketch array<long>")
+    _, roots = _links(members, texts, materialize(sketches, "sketches"), percent)
+    roots = roots.withColumnRenamed("node", "class_uid")
     rooted = lookup(classed, roots, "class_uid", "left").select("uid", "n", "class_uid", F.coalesce("root", "class_uid").alias("root"))
     ids = rows.select("uid", "id")
     rooted = materialize(rooted.join(ids, "uid"), "rooted")
