@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.scale import materialize
+from quarry.scale import materialize, shared_path
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,6 +33,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, packed tightly: for tables with texts or many rows.
+
+    Afterwards Spark may drop the shuffle files that led to it. It does so once the driver has
+    collected what refers to them, which a quiet driver puts off while the disks fill.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    schema = df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
 def carried(keep: list[str] | None) -> Column:
     """The input's columns, or those asked for, as one struct ``row`` that no own column can clash with."""
     return F.struct(*(keep if keep else ["*"])).alias("row")
@@ -43,7 +60,7 @@ def numbered(df: DataFrame, *own: Column) -> DataFrame:
     The input's columns are inside the struct, so no name of theirs can clash with ours.
     """
     packed = df.select(F.struct("*").alias("row"), *own, F.monotonically_increasing_id().alias("uid"))
-    return materialize(packed, "rows")
+    return written(packed, "rows")
 
 
 def in_order(df: DataFrame, *order: Column) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import lookup, mix, numbered, text_blocks, text_of
+from quarry.llm.common import lookup, mix, numbered, text_blocks, text_of, written
 from quarry.scale import materialize
 
 LENGTH = 200
@@ -134,7 +134,7 @@ _SUFFIXES = "uid long, t int, s0 long, s1 long, s2 long, open boolean, begin int
 
 def _suffixes(batches):
     """A row per name that a wanted suffix (position in ``wanted``) or its triples need."""
-    reach = 3 ** (LEVELS + 1)
+    reach = 3**LEVELS + 4  # a remaining suffix needs the ranks one and two names on, those all their triples
     for batch in batches:
         for lo, hi, data, offsets in text_blocks(batch.column(1)):
             out = []
@@ -199,53 +199,65 @@ def _following(rows: DataFrame, column: str, shifts: tuple[int, ...]) -> DataFra
 
 
 def sorted_suffixes(rows: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``rows`` (uid, t, s0, s1, s2, ...) with ``rank`` of the sampled suffixes (t mod 3 > 0).
+    """(uid, t, rank) of the sampled suffixes (t mod 3 > 0) of ``rows`` (uid, t, s0, s1, s2).
 
     Each level sorts and names triples; the next one recurses on the string of these names,
     whose neighbours are three times as far apart.
     """
-    sampled = named(rows.filter("t % 3 > 0").select("uid", "t", "s0", "s1", "s2"), ["s0", "s1", "s2"], "name").select("uid", "t", "name")
+    sampled = named(rows.filter("t % 3 > 0").select("uid", "t", "s0", "s1", "s2"), ["s0", "s1", "s2"], "name")
+    sampled = written(sampled.select("uid", "t", "name"), "sampled")
     for level in range(1, levels):
         step = 3**level
         triples = _following(sampled, "name", (step, 2 * step))
         # Past a text's end nothing follows; minus one sorts first and equals no name.
         keys = ["name", f"name_{step}", f"name_{2 * step}"]
         triples = triples.fillna(-1, subset=keys[1:])
-        sampled = named(triples.withColumnRenamed("name", "first"), ["first", *keys[1:]], "name").select("uid", "t", "name")
-    return rows.join(sampled.withColumnRenamed("name", "rank"), ["uid", "t"], "left")
+        sampled = named(triples.withColumnRenamed("name", "first"), ["first", *keys[1:]], "name")
+        sampled = written(sampled.select("uid", "t", "name"), "sampled")
+    return sampled.withColumnRenamed("name", "rank")
 
 
-def adjacent_equal(rows: DataFrame) -> DataFrame:
-    """(uid, t) of suffixes whose neighbour in one of the three merged lists has an equal prefix."""
-    ranked = _following(rows, "rank", (1, 2)).filter("open").select("uid", "t", "s0", "s1", "prefix", "rank", "rank_1", "rank_2")
-    none = F.lit(0).cast("long")
+def adjacent_equal(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(uid, t) of suffixes whose neighbour in one of the three merged lists has an equal prefix.
+
+    ``rows`` has uid, t, s0, s1, prefix of the suffixes asked for, ``ranks`` the sampled ranks.
+    """
     own = ["uid", "t", "prefix"]
+    none = F.lit(0).cast("long")
+    after = lambda shift: ranks.select("uid", (F.col("t") - shift).alias("t"), "rank")
+    last = F.coalesce("rank", F.lit(-1).cast("long"))
     part = F.col("t") % 3
     lists = [
-        ranked.filter(part > 0).select(F.lit(0).alias("list"), F.col("rank").alias("a"), none.alias("b"), none.alias("c"), *own),
-        ranked.filter(part < 2).select(F.lit(1).alias("list"), F.col("s0").alias("a"), F.coalesce("rank_1", none - 1).alias("b"), none.alias("c"), *own),
-        ranked.filter(part != 1).select(F.lit(2).alias("list"), F.col("s0").alias("a"), F.col("s1").alias("b"), F.coalesce("rank_2", none - 1).alias("c"), *own),
+        rows.filter(part > 0).select(*own).join(ranks, ["uid", "t"]).select(last.alias("a"), none.alias("b"), none.alias("c"), *own),
+        rows.filter(part < 2).select("s0", *own).join(after(1), ["uid", "t"], "left").select(F.col("s0").alias("a"), last.alias("b"), none.alias("c"), *own),
+        rows.filter(part != 1).select("s0", "s1", *own).join(after(2), ["uid", "t"], "left").select(F.col("s0").alias("a"), F.col("s1").alias("b"), last.alias("c"), *own),
     ]
-    # The row's own place ends the order, so equal suffixes may fall into several partitions.
-    merged = reduce(DataFrame.unionByName, lists).orderBy("list", "a", "b", "c", "prefix", "uid", "t")
+    # One list after the other, so that only one is on the disks at a time.
+    return reduce(DataFrame.unionByName, [written(_compared(merged), "whole") for merged in lists]).distinct()
+
+
+def _compared(merged: DataFrame) -> DataFrame:
+    """(uid, t) of rows next to one of equal prefix in the order of (a, b, c). The row's own place
+    ends the order, so equal suffixes may fall into several partitions; a pair cut apart there
+    is left to the edges."""
+    merged = merged.orderBy("a", "b", "c", "prefix", "uid", "t")
 
     def compare(batches):
         last = None
         for batch in batches:
-            which, prefix = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            uid, t = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            prefix, uid, t = (batch.column(i).to_numpy() for i in range(3))
             if last is not None:
-                which, prefix, uid, t = (np.concatenate([[x], y]) for x, y in zip(last, (which, prefix, uid, t)))
+                prefix, uid, t = (np.concatenate([[x], y]) for x, y in zip(last, (prefix, uid, t)))
             if not len(t):
                 continue
-            same = (which[1:] == which[:-1]) & (prefix[1:] == prefix[:-1])
+            same = prefix[1:] == prefix[:-1]
             equal = np.zeros(len(t), bool)
             equal[1:] |= same
             equal[:-1] |= same
-            last = (which[-1], prefix[-1], uid[-1], t[-1])
+            last = (prefix[-1], uid[-1], t[-1])
             yield pa.RecordBatch.from_arrays([pa.array(uid[equal]), pa.array(t[equal].astype(np.int32))], ["uid", "t"])
 
-    return merged.select("list", "prefix", "uid", "t").mapInArrow(compare, "uid long, t int").distinct()
+    return merged.select("prefix", "uid", "t").mapInArrow(compare, "uid long, t int")
 
 
 # --- the operator ------------------------------------------------------------------------
@@ -256,14 +268,14 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     each = after.select("uid", F.posexplode("after").alias("t", "after"))
     twice = each.groupBy("after").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("after")
     wanted = each.join(materialize(twice, "twice"), "after", "left_semi").groupBy("uid").agg(F.collect_list("t").alias("wanted"))
-    wanted = materialize(wanted, "wanted")
+    wanted = written(wanted, "wanted")
     some = lookup(texts, wanted.select("uid"), "uid", "left_semi")
     rows = some.join(wanted, "uid").select("uid", "text", "wanted").mapInArrow(_suffixes, _SUFFIXES)
-    rows = materialize(rows, "suffixes")
-    ranked = materialize(sorted_suffixes(rows.select("uid", "t", "s0", "s1", "s2", "open", "prefix")), "ranked")
-    whole = materialize(adjacent_equal(ranked), "whole")
+    rows = written(rows, "suffixes")
+    ranks = sorted_suffixes(rows.select("uid", "t", "s0", "s1", "s2"))
+    whole = adjacent_equal(rows.filter("open").select("uid", "t", "s0", "s1", "prefix"), ranks)
     marked = rows.filter("open").drop("open").join(whole.withColumn("whole", F.lit(True)), ["uid", "t"], "left")
-    marked = materialize(marked.select("uid", "begin", "end", "prefix", "after", F.col("whole").isNull().alias("open")), "marked")
+    marked = written(marked.select("uid", "begin", "end", "prefix", "after", F.col("whole").isNull().alias("open")), "marked")
     spans = marked.filter("not open").select("uid", "begin", "end")
 
     # Edges: open phrases, and one phrase of each repeated kind that ends like an open one.
@@ -274,7 +286,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     asked = materialize(asked.groupBy("uid").agg(F.collect_list(F.struct("begin", "end", "open")).alias("wanted")), "asked")
     source = lookup(texts, asked.select("uid"), "uid", "left_semi").join(asked, "uid").select("uid", "text", "wanted")
-    strings = materialize(source.mapInArrow(_strings, "low long, high long, uid long, begin int, open boolean"), "strings")
+    strings = written(source.mapInArrow(_strings, "low long, high long, uid long, begin int, open boolean"), "strings")
     equal = strings.groupBy("low", "high").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("low", "high")
     edges = strings.filter("open").join(equal, ["low", "high"], "left_semi")
     return spans.unionByName(edges.select("uid", "begin", (F.col("begin") + LENGTH).alias("end")))
