@@ -49,6 +49,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables once what was made of them is written and nothing reads them any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def carried(keep: list[str] | None) -> Column:
     """The input's columns, or those asked for, as one struct ``row`` that no own column can clash with."""
     return F.struct(*(keep if keep else ["*"])).alias("row")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import lookup, mix, numbered, text_blocks, text_of, written
+from quarry.llm.common import discard, lookup, mix, numbered, text_blocks, text_of, written
 from quarry.scale import materialize
 
 LENGTH = 200
@@ -182,13 +182,16 @@ def _strings(batches):
 # --- the suffix array --------------------------------------------------------------------
 
 def named(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """``rows`` with the sorted keys' number in ``name``: equal keys share it, it grows with the key.
+    """(uid, t) of ``rows`` with the sorted keys' number in ``name``: equal keys share it, it grows with the key.
 
     Distinct keys are sorted over all partitions; a key that fills a third of the rows is one
     row there, and the join back splits it.
     """
     sorted_keys = rows.select(*keys).distinct().orderBy(*keys).withColumn(name, F.monotonically_increasing_id())
-    return rows.join(materialize(sorted_keys, "names"), keys)
+    names = materialize(sorted_keys, "names")
+    out = written(rows.join(names, keys).select("uid", "t", name), "sampled")
+    discard(names)
+    return out
 
 
 def _following(rows: DataFrame, column: str, shifts: tuple[int, ...]) -> DataFrame:
@@ -205,15 +208,14 @@ def sorted_suffixes(rows: DataFrame, levels: int = LEVELS) -> DataFrame:
     whose neighbours are three times as far apart.
     """
     sampled = named(rows.filter("t % 3 > 0").select("uid", "t", "s0", "s1", "s2"), ["s0", "s1", "s2"], "name")
-    sampled = written(sampled.select("uid", "t", "name"), "sampled")
     for level in range(1, levels):
         step = 3**level
         triples = _following(sampled, "name", (step, 2 * step))
         # Past a text's end nothing follows; minus one sorts first and equals no name.
         keys = ["name", f"name_{step}", f"name_{2 * step}"]
         triples = triples.fillna(-1, subset=keys[1:])
-        sampled = named(triples.withColumnRenamed("name", "first"), ["first", *keys[1:]], "name")
-        sampled = written(sampled.select("uid", "t", "name"), "sampled")
+        before, sampled = sampled, named(triples.withColumnRenamed("name", "first"), ["first", *keys[1:]], "name")
+        discard(before)
     return sampled.withColumnRenamed("name", "rank")
 
 
@@ -269,6 +271,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     twice = each.groupBy("after").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("after")
     wanted = each.join(materialize(twice, "twice"), "after", "left_semi").groupBy("uid").agg(F.collect_list("t").alias("wanted"))
     wanted = written(wanted, "wanted")
+    discard(after)
     some = lookup(texts, wanted.select("uid"), "uid", "left_semi")
     rows = some.join(wanted, "uid").select("uid", "text", "wanted").mapInArrow(_suffixes, _SUFFIXES)
     rows = written(rows, "suffixes")
@@ -276,6 +279,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     whole = adjacent_equal(rows.filter("open").select("uid", "t", "s0", "s1", "prefix"), ranks)
     marked = rows.filter("open").drop("open").join(whole.withColumn("whole", F.lit(True)), ["uid", "t"], "left")
     marked = written(marked.select("uid", "begin", "end", "prefix", "after", F.col("whole").isNull().alias("open")), "marked")
+    discard(wanted, rows, ranks, whole)
     spans = marked.filter("not open").select("uid", "begin", "end")
 
     # Edges: open phrases, and one phrase of each repeated kind that ends like an open one.
