@@ -5,8 +5,8 @@ whole sequences and a rest. Rests are packed by the sum-of-squares rule: N(g) is
 of open sequences with gap g; a piece goes where the sum over all gaps below the capacity of
 N(g)^2 becomes smallest, a new sequence being one of the choices. Large pieces come first.
 Pieces are dealt by hash over bounded bins of work; sequences that a bin leaves far from full
-are dealt again, all together, until one bin of work holds them, so waste does not grow with
-the number of bins.
+are dealt again, all together, until one bin of work holds them or no further two of them are
+put together, so waste does not grow with the number of bins.
 
 Defined results: a null or empty text is the end id alone; rows that repeat an id are packed
 each; an empty table gives no rows; extra columns are not read.
@@ -172,28 +172,36 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY, rows: int = PACK_ROWS, op
     """unit, sequence_id and offset for every (unit, length, draw), lengths from 1 to ``capacity``.
 
     Every round packs bins of work of about ``rows`` units. What a round leaves in sequences
-    that are nearly full is final; an open sequence's pieces travel on as one unit.
+    that are nearly full is final, and so is one too full for even the shortest open one; the
+    pieces of any other travel on as one unit, dealt anew. A round after which no fewer units
+    travel on is the last one.
     """
-    placed = None
-    units = lengths
+    placed, turn = None, 0
+    units, n = lengths, lengths.count()
     while True:
-        work = max(1, -(-units.count() // rows))
+        turn += 1
+        work = max(1, -(-n // rows))
         final = work == 1
         binned = units.withColumn("work", F.pmod("draw", F.lit(work)))
         packed = materialize(binned.groupBy("work").applyInPandas(_pack_bin(capacity, open_below, final), _PLACED), "packed")
         # A unit of this round holds the pieces that an earlier round put into its sequence.
         if placed is None:
-            placed = packed.select("unit", F.col("sequence").alias("sequence_id"), "offset", "done")
+            placed = packed.select("unit", F.col("sequence").alias("sequence_id"), "offset")
         else:
-            moved = packed.select(F.col("unit").alias("sequence_id"), "sequence", F.col("offset").alias("shift"), F.col("done").alias("now"))
+            moved = packed.select(F.col("unit").alias("sequence_id"), "sequence", F.col("offset").alias("shift"))
             placed = placed.join(moved, "sequence_id", "left").select(
                 "unit", F.coalesce("sequence", "sequence_id").alias("sequence_id"),
-                (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"), F.lit(True).alias("done"),
+                (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"),
             )
         if final:
-            return placed.drop("done")
+            return placed
         units = packed.filter("not done").groupBy(F.col("sequence").alias("unit")).agg(F.first("fill").alias("length"))
-        units = materialize(units.withColumn("draw", F.xxhash64("unit")), "open")
+        units = materialize(units.withColumn("draw", F.xxhash64("unit", F.lit(turn))), "open")
+        shortest = units.agg(F.min("length")).first()[0] or 0
+        units = units.filter(F.col("length") <= capacity - shortest)
+        before, n = n, units.count()
+        if not 0 < n < before:
+            return placed
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, **options) -> DataFrame:

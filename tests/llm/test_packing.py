@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from corpus_data import awkward, empty
 from tokenizers import Tokenizer
 
@@ -58,3 +59,25 @@ def test_packs_tightly_in_several_rounds(spark):
             at += length
         assert at <= pk.CAPACITY
     assert len(sequences) <= 1.02 * sum(r.length for r in rows) / pk.CAPACITY + 1
+
+
+@pytest.mark.parametrize("small", [0, 1, 30])
+def test_ends_when_units_do_not_fit_together(spark, monkeypatch, small):
+    tables = []
+
+    def bounded(df, name):
+        tables.append(name)
+        assert len(tables) <= 12, "rounds without end"
+        return materialize(df, name)
+
+    materialize = pk.materialize
+    monkeypatch.setattr(pk, "materialize", bounded)
+    lengths = spark.range(200 + small).selectExpr("id as unit", "if(id < 200, 2500L, 1500L) as length", "xxhash64(id, 1) as draw")
+    rows = pk.pack(lengths, rows=50).join(lengths, "unit").collect()
+    assert sorted(r.unit for r in rows) == list(range(200 + small))
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for members in sequences.values():
+        assert sorted(members) in ([(0, 2500)], [(0, 2500), (2500, 1500)])
+    assert len(sequences) == 200
