@@ -6,9 +6,10 @@ times for sure and once more with the fractional part as inclusion probability.
 phase walks the probabilities of three documents at a time along the direction that keeps the
 expected number of documents and of words, until at most two of a block are still fractional.
 Blocks are bounded and dealt by hash within a source; what they leave over is blocked again,
-until one block per source remains, whose last two documents are the landing problem: of their
+until one block of the source remains, whose last two documents are the landing problem: of their
 four outcomes the one whose word total is nearest wins, and single documents of that last block
-make good the rest.
+make good the rest. Every earlier block keeps a bounded reserve of short documents out of its
+flight for that, about as many words as the rounding of its longest document can miss.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order;
 sources of no words have target 0; rows that repeat are sampled each; reruns agree, because
@@ -30,6 +31,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
 BLOCK_ROWS = 10_000
+RESERVE = 8  # longest rows of a source that its blocks together keep words for
 _LEFT = "source_no long, uid long, size double, rate double, prob double, draw long, done boolean"
 
 
@@ -124,15 +126,41 @@ def landing(size: np.ndarray, start: np.ndarray, prob: np.ndarray) -> np.ndarray
     return p
 
 
-def _fly(last: bool):
+def reserve(size: np.ndarray, prob: np.ndarray, rate: float, source_part: float, block_rows: int) -> np.ndarray:
+    """Places of the short rows that a block keeps out of its flight for the last block; sizes fall.
+
+    Of a row's words a share can turn either way, the rate's fractional part or what that lacks
+    to 1. The shortest rows stay whose share makes up half the longest row and half of
+    ``source_part``, the block's part of what the source's longest rows want from all blocks.
+    Where a quarter of the block's rows is not enough, it is each second or third short row.
+    """
+    usable = np.flatnonzero((prob > 0) & (prob < 1) & (size > 0))[::-1]
+    most = min(len(size), block_rows) // 4
+    if not len(usable) or not most:
+        return usable[:0]
+    need = (size[usable[-1]] + source_part) / (2 * max(min(rate % 1, 1 - rate % 1), 1e-3))
+    for step in (1, 2, 3):
+        stay = usable[::step][:most]
+        words = np.cumsum(size[stay])
+        if words[-1] >= need:
+            break
+    return stay[: int(np.searchsorted(words, need)) + 1]
+
+
+def _fly(block_rows: int):
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        # Large documents first: those left for the landing are then the smallest.
+        last = bool(part["blocks"].iloc[0] == 1)
+        # Large documents first: short ones come late, when few others are left to balance them.
         part = part.sort_values(["size", "draw", "uid"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         size, draw = part["size"].to_numpy(np.float64), part["draw"].to_numpy(np.int64)
         start = part["prob"].to_numpy(np.float64)
-        p = flight(size, start, draw)
         if last:
-            p = landing(size, start, p)
+            p = landing(size, start, flight(size, start, draw))
+        else:
+            p, flies = start.copy(), np.ones(len(part), bool)
+            source_part = RESERVE * float(part["longest"].iloc[0] / part["blocks"].iloc[0])
+            flies[reserve(size, start, float(part["rate"].iloc[0]), source_part, block_rows)] = False
+            p[flies] = flight(size[flies], start[flies], draw[flies])
         part["prob"] = p
         part["draw"] = mix(draw.view(np.uint64)).view(np.int64)
         part["done"] = (p <= 0) | (p >= 1)
@@ -148,10 +176,12 @@ def _sampled(rows: DataFrame, block_rows: int) -> DataFrame:
     while True:
         most = pending.groupBy("source_no").count().agg(F.max("count")).first()[0] or 0
         last = most <= block_rows
-        # Enough blocks for the largest source; a small source has one row or more in each.
-        per_source = pending.groupBy("source_no").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("long").alias("blocks"))
-        blocked = lookup(pending, per_source, "source_no").withColumn("block", F.pmod("draw", F.col("blocks"))).drop("blocks")
-        flown = materialize(blocked.groupBy("source_no", "block").applyInPandas(_fly(last), _LEFT), "flown")
+        # A source whose rows make one block lands in this round, whatever the others' sizes.
+        per_source = pending.groupBy("source_no").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("long").alias("blocks"), F.max("size").alias("longest")
+        )
+        blocked = lookup(pending, per_source, "source_no").withColumn("block", F.pmod("draw", F.col("blocks")))
+        flown = materialize(blocked.groupBy("source_no", "block").applyInPandas(_fly(block_rows), _LEFT), "flown")
         finished.append(flown.filter("done"))
         pending = flown.filter("not done")
         if last:

@@ -71,3 +71,17 @@ def test_flight_keeps_both_totals():
     assert ((p > 0) & (p < 1)).sum() <= 2
     landed = mx.landing(size, prob, p)
     assert set(landed) <= {0.0, 1.0} and abs((landed * size).sum() - (prob * size).sum()) <= 5
+
+
+def test_long_documents_are_made_good_beside_a_larger_source(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for source, n, most in (("s1", 450, 60), ("s2", 450, 60), ("hot", 4000, 20)):  # none at its cap
+        rows += [(len(rows) + i, words(rng, rng.randrange(1, most)), None, source, None, None, None) for i in range(n)]
+        rows += [(len(rows) + i, words(rng, 1001 + 700 * i), None, source, None, None, None) for i in range(3)]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(4)
+    _, taken, want, _ = check(docs, block_rows=500)
+    assert all(want[s] / sum(len(r[1].split()) for r in rows if r[3] == s) % 1 > 0.1 for s in want)
+    assert all(abs(taken[s] - want[s]) <= 3 for s in want), {s: (taken[s], want[s]) for s in want}
