@@ -51,7 +51,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packed),
 ]
 
-# Training, sampling and tokenising have no SQL form; the stages are tested against plain Python.
+# Training, sampling and tokenising have no SQL form; tests compare columns and counts.
 ORACLE_SQL = None
 
 

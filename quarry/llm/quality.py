@@ -9,7 +9,7 @@ document's cosines with all of them are computed in exact blocks, and the ``neig
 similar ones vote with their similarity to the power ``sharpness``.
 
 Defined results: null and empty texts have no terms and get the sample's share of label 1;
-without labels every score is 0.5; a document with several labels counts once per label; rows
+without usable labels every score is 0.5 and ``passed`` keeps every document; a document with several labels counts once per label; rows
 that repeat score alike; extra columns are carried along in ``row``.
 """
 
@@ -190,4 +190,7 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text", thres
 
 def passed(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents the classifier does not reject."""
-    return score(docs, fit(docs, labels, **options)).filter("predicted = 1").select("row.*")
+    model = fit(docs, labels, **options)
+    if model is None:
+        return docs
+    return score(docs, model).filter("predicted = 1").select("row.*")

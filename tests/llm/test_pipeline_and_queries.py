@@ -8,6 +8,7 @@ from corpus_data import awkward
 
 import __spark_entry__
 import corpus_pipeline
+from quarry.llm import quality
 from quarry.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +55,11 @@ def test_stages_take_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() >= 0
+
+
+def test_without_usable_labels_no_document_is_dropped(spark):
+    docs = awkward(spark)
+    rows = lambda df: sorted(map(str, df.collect()))
+    for labels in ([], [(None, 1), (3, None), (4, 7)]):
+        kept = quality.passed(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+        assert kept.columns == docs.columns and rows(kept) == rows(docs)
