@@ -16,7 +16,7 @@ needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="supplied data not
 
 
 def test_all_are_registered():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
@@ -24,7 +24,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_agrees_with_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[key](spark, SF).toPandas()
     want = con.execute(ORACLES[key]).df()
