@@ -25,14 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.llm.common import carried, text_of, written
-from quarry.scale import fits, materialize
+from quarry.scale import materialize
 
 MIN_POINTS = 20
 MIN_DOCUMENTS = 3
 SAMPLE_ROWS = 200_000
 FREQUENT = 100  # rows of the sample from which a key is cut, so at most SAMPLE_ROWS / FREQUENT keys are
 SLICES = 64
-BROADCAST_BYTES = 8 << 20
 _WHITE = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD_BITS = 6
@@ -114,9 +113,7 @@ def drop_repeated_lines(
     found = bitmaps(repeated_lines(lines, min_documents))
     found = materialize(found, "bitmaps").withColumnsRenamed({"id": "_id", "twin": "_twin"})
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("twin") == F.col("_twin"))
-    # Few bitmaps go to the texts; many meet them in one exchange, the texts streaming past.
-    found = F.broadcast(found) if fits(found, max_bytes=BROADCAST_BYTES) else found.hint("shuffle_hash")
-    met = source.join(found, same, "left")
+    met = source.join(found.hint("shuffle_hash"), same, "left")  # the texts stream past the bitmaps
     # One word per 64 lines, so that a line's bit is one step away.
     spread = F.expr(
         "flatten(transform(keep, (w, i) -> concat("

@@ -1,7 +1,6 @@
 import hashlib
 import random
 
-import pytest
 from corpus_data import awkward, empty
 from pyspark.sql import functions as F
 
@@ -62,12 +61,6 @@ def test_cut_keys_give_the_same(spark, monkeypatch):
     check(spark, lines_table(spark))
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 30])
-def test_both_ways_to_meet_the_bitmaps(spark, monkeypatch, limit):
-    monkeypatch.setattr(ld, "BROADCAST_BYTES", limit)
-    check(spark, lines_table(spark))
-
-
 def test_no_python_runs(spark):
     plan = ld.drop_repeated_lines(lines_table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
