@@ -2,8 +2,8 @@
 
 Base spans are the leftmost non-overlapping matches of each kind's pattern that pass its test.
 The field's nodes are all base spans, held at their kind, and every looser candidate (a run of
-seven digits or more with usual separators, a name joined to a domain by @ or a written "at")
-that overlaps none of them, free to be any kind or nothing. Neighbouring nodes share a
+7 to 19 digits with usual separators, a name of up to 64 characters joined by @ or a written "at"
+to a domain of parts of up to 63) that overlaps none of them, free to be any kind or nothing. Neighbouring nodes share a
 transition potential; nodes that repeat the same digits or the same address, anywhere in the
 document, share a skip potential that rewards equal labels. Loopy message passing over both
 gives marginals; a free node whose likeliest label is a kind becomes an added span. All other
@@ -83,7 +83,7 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     found: list[list[tuple[int, int]]] = [emails(text) if "@" in text else [], [], [], []]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
                 found[1].append(m.span())
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 13:
@@ -142,7 +142,7 @@ def _keys(piece: str, address: bool) -> list[str]:
 def nodes(text: str, base: list[list[tuple[int, int]]]) -> Nodes | None:
     """The document's nodes in order, or None where no candidate is free."""
     taken = sorted((b, e, k) for k, spans in enumerate(base) for b, e in spans)
-    starts = [b for b, _, _ in taken]
+    starts = np.array([b for b, _, _ in taken], np.int64)
     reach = np.maximum.accumulate([e for _, e, _ in taken]) if taken else np.zeros(0, int)
 
     def clear(b: int, e: int) -> bool:

@@ -64,3 +64,18 @@ def test_awkward_rows(spark):
     assert pii.spans_of(empty(spark), pii.fit(empty(spark))).count() == 0
     nothing = hashlib.sha256(b"").hexdigest()
     assert nothing.startswith("e3b0c442")
+
+
+def test_long_runs_of_zeros():
+    for text in ("0" * 5000 + ".1.1.1", "1.1." + "0" * 9000 + "7.255", "x" + "0" * 6000 + "256.1.1.1", "9" * 5000 + ".1.1.1"):
+        spans = pii.base_spans(text)[1]
+        assert len(spans) == (0 if "256" in text or "9" in text else 1)
+
+
+def test_many_nodes_in_one_text_take_proportional_time():
+    import time
+
+    text = "a@b.c 555 123 4567 " * 10_000
+    begin = time.perf_counter()
+    found = pii.nodes(text, pii.base_spans(text))
+    assert len(found.spans) == 20_000 and time.perf_counter() - begin < 20
