@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import lookup, mix, numbered, span_hashes, text_blocks, text_of, words, written
+from quarry.llm.common import lookup, mix, numbered, text_blocks, text_of, word_hashes, words, written
 from quarry.llm.components import components
 from quarry.scale import materialize
 
@@ -51,14 +51,14 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple
     starts, ends, owner = words(lower, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    each = span_hashes(lower, starts, ends)
+    each = word_hashes(lower, starts, ends)
     total = np.bincount(owner, minlength=len(offsets) - 1)
     short = total[owner] < width
     place = np.arange(len(owner)) - (np.cumsum(total) - total)[owner]
     value = np.zeros(len(each), np.uint64)
     for j in range(width):
         follows = np.zeros(len(each), np.uint64)
-        follows[: len(each) - j or None] = each[j:]
+        follows[: max(len(each) - j, 0)] = each[j:]
         use = place + j < total[owner]  # words of the same text only
         value = np.where(use, mix(value + follows + np.uint64(j + 1)), value)
     begins = np.where(short, place == 0, place + width <= total[owner])

@@ -96,3 +96,16 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 300: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_few_short_texts_a_partition(spark):
+    for texts in (["one two"], ["x"], ["a b", "a b", "b a", "", None]):
+        rows = [(i, t, None, None, None, None, None) for i, t in enumerate(texts)]
+        check(spark.createDataFrame(rows, COLUMNS).repartition(5))
+
+
+def test_words_that_a_polynomial_confuses_are_different(spark):
+    thue = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    swapped = thue.translate(str.maketrans("ab", "ba"))
+    rows = [(i, t, None, None, None, None, None) for i, t in enumerate([thue, swapped, f"{thue} b c d e f", f"{swapped} b c d e f"])]
+    check(spark.createDataFrame(rows, COLUMNS))
