@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,13 +161,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_col
                 )
 
     counted = texts.select("order", "quality", "text").mapInArrow(count, "order long, quality int, terms array<int>, counts array<float>")
-    rows = counted.orderBy("order", "quality").limit(train_rows).collect()
-    if not rows:
+    found = counted.orderBy("order", "quality").limit(train_rows).toArrow().combine_chunks()
+    if not found.num_rows:
         return None
-    counts = np.zeros((len(rows), _TERMS), np.float32)
-    for i, r in enumerate(rows):
-        counts[i, r.terms] = r.counts
-    return train(counts, np.array([r.quality for r in rows], np.float64))
+    counts = np.zeros((found.num_rows, _TERMS), np.float32)
+    sizes = pc.list_value_length(found["terms"]).to_numpy()
+    counts[np.repeat(np.arange(found.num_rows), sizes), pc.list_flatten(found["terms"]).to_numpy()] = pc.list_flatten(found["counts"]).to_numpy()
+    return train(counts, found["quality"].to_numpy().astype(np.float64))
 
 
 def score(docs: DataFrame, model: Model | None, text_column: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
