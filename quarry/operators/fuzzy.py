@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import auto_edits, edit_distance_upto_two
-from quarry.operators.index import FIELD
-from quarry.scale import fits, lookup_join, materialize
+from quarry.scale import lookup_join, pushed_values, settle
 
+FIELD = ["entity_type_id", "property_id"]
 LONG = 16
 SEGMENTS = 5
 
@@ -49,6 +49,10 @@ def _deletions(w: str, exact: Column, one: Column, two: Column) -> Column:
     )
 
 
+def _hashed(signatures: Column) -> Column:
+    return F.transform(signatures, lambda s: F.xxhash64(s))
+
+
 def vocabulary_signatures(w: str = "term") -> Column:
     """Signatures under which a vocabulary word can be found."""
     n = F.length(w)
@@ -58,7 +62,7 @@ def vocabulary_signatures(w: str = "term") -> Column:
         f" s*length({w}) div {SEGMENTS} - (s-1)*length({w}) div {SEGMENTS})))"
     )
     short = _deletions(w, n <= 2, n.between(2, 6), n.between(4, LONG))
-    return F.array_distinct(F.when(n > LONG, segments).otherwise(short))
+    return F.array_distinct(_hashed(F.when(n > LONG, segments).otherwise(short)))
 
 
 def token_signatures(w: str = "token") -> Column:
@@ -72,36 +76,28 @@ def token_signatures(w: str = "token") -> Column:
         f" s*n div {SEGMENTS} - (s-1)*n div {SEGMENTS})))))))"
     )
     short = _deletions(w, n <= 2, n.between(3, 5), n.between(6, LONG + 2))
-    return F.array_distinct(
-        F.concat(short, F.when(n >= LONG - 1, probes).otherwise(_none()))
-    )
+    return F.array_distinct(_hashed(F.concat(short, F.when(n >= LONG - 1, probes).otherwise(_none()))))
 
 
-def expand(tokens: DataFrame, vocabulary: DataFrame, small: bool | None = None) -> DataFrame:
+def signature_table(vocabulary: DataFrame) -> DataFrame:
+    """entity_type_id, property_id, sig, term, df: under which signatures each term is found.
+
+    Built once with the index and stored by signature, so a search reads what its tokens probe.
+    """
+    return vocabulary.select(*FIELD, F.explode(vocabulary_signatures()).alias("sig"), "term", "df")
+
+
+def expand(tokens: DataFrame, signatures: DataFrame) -> DataFrame:
     """Vocabulary terms within the allowed edits of each token of the same field.
 
-    ``tokens`` has entity_type_id, property_id, token; ``vocabulary`` has
-    entity_type_id, property_id, term, df. Every such pair is returned.
+    ``tokens`` has entity_type_id, property_id, token; ``signatures`` is a ``signature_table``.
+    Every such pair is returned, with df and distance.
     """
     wanted = tokens.select(*FIELD, "token").distinct()
-    n = F.length("token")
-    fields = wanted.groupBy(*FIELD).agg((F.min(n) - 2).alias("shortest"), (F.max(n) + 2).alias("longest"))
-    probes = wanted.withColumn("sig", F.explode(token_signatures())).select(
-        *FIELD, "token", F.xxhash64("sig").alias("sig")
-    )
-    # A token has up to some 170 signatures, so these are measured themselves.
-    probes = materialize(probes, "probes")
-    entries = (
-        lookup_join(vocabulary, fields, FIELD, ["term"], small_fits=small)
-        .where(F.length("term").between(F.col("shortest"), F.col("longest")))
-        .select(*FIELD, "term", "df", F.explode(vocabulary_signatures()).alias("sig"))
-    )
-    entries = entries.withColumn("sig", F.xxhash64("sig"))
-    pairs = (
-        lookup_join(entries, probes, [*FIELD, "sig"], ["term"], small_fits=fits(probes))
-        .select(*FIELD, "token", "term", "df")
-        .distinct()
-    )
-    return pairs.withColumn("distance", edit_distance_upto_two("token", "term")).where(
-        F.col("distance") <= auto_edits(F.col("token"))
-    )
+    # A token has up to some 170 signatures, so the probes are measured themselves.
+    probes, few = settle(wanted.select(*FIELD, "token", F.explode(token_signatures()).alias("sig")), "probes")
+    pushed = pushed_values(probes, [*FIELD, "sig"]) if few else None
+    asked = signatures if pushed is None else signatures.where(pushed)
+    met = lookup_join(asked, probes, [*FIELD, "sig"], ["term"], small_fits=few)
+    close = met.where(F.abs(F.length("token") - F.length("term")) <= auto_edits(F.col("token"))).select(*FIELD, "token", "term", "df").distinct()
+    return close.withColumn("distance", edit_distance_upto_two("token", "term")).where(F.col("distance") <= auto_edits(F.col("token")))

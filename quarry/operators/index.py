@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text
 from quarry.functions.phonetic import metaphone_code
+from quarry.operators.fuzzy import FIELD, signature_table
 from quarry.operators.typing_ops import typed_key
 from quarry.scale import lookup_join, materialize
 
 LINKED = "(linked)"
 ELEMENT = ["entity_type_id", "scope", "doc_id", "ord"]
-FIELD = ["entity_type_id", "property_id"]
 # Positions of different values of one property are far apart: phrases never span values.
 VALUE_GAP = 1 << 31
 
@@ -31,6 +31,7 @@ class Index:
     ``postings``    entity_type_id, scope, property_id, term, doc_id, ord, tf, len, positions
     ``typed_terms`` entity_type_id, scope, property_id, term, doc_id, ord
     ``term_stats``  entity_type_id, property_id, term, df
+    ``signatures``  entity_type_id, property_id, sig, term, df (fuzzy expansion)
     ``field_stats`` entity_type_id, property_id, n_elements, avg_len
     ``points``      entity_type_id, scope, property_id, doc_id, ord, lat, lon
     ``values``      typed long-form values (sorting)
@@ -45,6 +46,7 @@ class Index:
     term_stats: DataFrame
     field_stats: DataFrame
     points: DataFrame
+    signatures: DataFrame
     phonetic: bool = False
 
 
@@ -174,12 +176,20 @@ def clustered(table: DataFrame, name: str, files: int | None = None) -> DataFram
     Row groups and pages of a searched term, point, write time or property are found by their
     minimum and maximum; a hot value spreads over files because a further column is part of the range.
     """
+    if name == "signatures":
+        # Some fifty rows a term, so files are sorted each for itself: their pages' minima and maxima need no exchange.
+        return table.sortWithinPartitions("sig")
     if name not in CLUSTER_KEYS:
         return table
     keys = ["entity_type_id", *CLUSTER_KEYS[name]]
     return table.repartitionByRange(*([files] if files else []), *keys).sortWithinPartitions(*keys)
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """A table of few bytes and much work a row over all cores: read by its bytes it would be one task."""
+    return table.repartition(max(table.sparkSession.sparkContext.defaultParallelism, len(table.inputFiles())))
+
+
 def build_index(
     typed_values: DataFrame,
     elements: DataFrame,
@@ -193,13 +203,19 @@ def build_index(
     """
     spoken = property_types.where(F.col("analyzer") == text.METAPHONE).select("property_id")
     phonetic = not spoken.isEmpty()
-    postings = build_postings(typed_values, spoken if phonetic else None)
     if keep:
-        postings = materialize(postings, "unsorted")
-    tables = {
-        "postings": postings, "term_stats": term_stats(postings), "field_stats": field_stats(postings),
-        "typed_terms": typed_terms(typed_values), "points": points(typed_values),
-    }
+        # Typed once; every other table reads the stored values.
+        typed_values = materialize(clustered(typed_values, "values"), "values")
+        elements = materialize(clustered(elements, "elements"), "elements")
+    postings = build_postings(typed_values, spoken if phonetic else None)
+    tables = {"typed_terms": typed_terms(typed_values), "points": points(typed_values)}
     if keep:
+        postings = materialize(clustered(materialize(postings, "unsorted"), "postings"), "postings")
         tables = {name: materialize(clustered(table, name), name) for name, table in tables.items()}
+    stats = term_stats(postings)
+    if keep:
+        stats = materialize(clustered(stats, "term_stats"), "term_stats")
+    tables |= {"postings": postings, "term_stats": stats, "field_stats": field_stats(postings), "signatures": signature_table(_spread(stats) if keep else stats)}
+    if keep:
+        tables |= {name: materialize(clustered(tables[name], name), name) for name in ("signatures", "field_stats")}
     return Index(values=typed_values, elements=elements, property_types=property_types, phonetic=phonetic, **tables)

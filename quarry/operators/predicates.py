@@ -85,7 +85,7 @@ def fuzzy_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFr
 
     A match weighs its BM25 score by one minus its edits per character.
     """
-    expanded = expand(tokens, index.term_stats, small)
+    expanded = expand(tokens, index.signatures)
     weighted = (
         lookup_join(expanded, tokens, [*FIELD, "token"], ["term"], small_fits=small)
         .join(index.field_stats, FIELD)
@@ -228,19 +228,28 @@ def polygon_matches(req: Requests, index: Index) -> DataFrame:
 def lists_with_all(asked: DataFrame, lists: DataFrame) -> DataFrame:
     """(search_id, entity_set_id) where the set's nested ids contain every id asked for.
 
-    ``asked`` has search_id, property_ids; ``lists`` has entity_set_id, property_ids.
-    An equi-join on single ids, then a count: no search is paired with every set.
+    ``asked`` has search_id, property_ids; ``lists`` has entity_set_id, property_ids. A search
+    enters by the one of its ids that the fewest sets hold; only those sets are then tested for the
+    rest. An id that every set holds thus pairs no search with all sets, unless it asks for nothing rarer.
     """
-    wanted = asked.select(
-        "search_id", F.size(F.array_distinct("property_ids")).alias("n_ids"),
-        F.explode(F.array_distinct("property_ids")).alias("property_id"),
-    )
-    held = lists.select("entity_set_id", F.explode(F.array_distinct("property_ids")).alias("property_id"))
-    met = lookup_join(held, wanted, ["property_id"], ["entity_set_id"])
-    return (
-        met.groupBy("search_id", "entity_set_id", "n_ids").agg(F.count(F.lit(1)).alias("n_met"))
-        .where("n_met = n_ids").select("search_id", "entity_set_id")
+    wanted = asked.select("search_id", F.array_distinct("property_ids").alias("ids")).where(F.size("ids") > 0)
+    wanted = materialize(wanted, "asked_ids")
+    lists = lists.select("entity_set_id", F.array_distinct("property_ids").alias("listed"))
+    held = lists.select("entity_set_id", F.explode("listed").alias("property_id"))
+    each = wanted.select("search_id", F.explode("ids").alias("property_id"))
+    asked_ids = materialize(each.select("property_id").distinct(), "ids")
+    few = fits(asked_ids)
+    # Counts are partial before they are exchanged, so a hot id is one row per task.
+    counts = lookup_join(held, asked_ids, ["property_id"], ["entity_set_id"], few, "left_semi").groupBy("property_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "id_counts")
+    rarest = lookup_join(each, counts, ["property_id"], ["search_id"], few, "left").groupBy("search_id").agg(
+        F.min_by("property_id", F.struct(F.coalesce("n", F.lit(0)), "property_id")).alias("property_id"), F.min(F.coalesce("n", F.lit(0))).alias("n")
     )
+    entry = materialize(rarest.where("n > 0").join(wanted, "search_id").select("search_id", "property_id", "ids"), "entries")
+    met = lookup_join(held, entry, ["property_id"], ["entity_set_id"]).select("search_id", "entity_set_id", "ids")
+    alone = met.where(F.size("ids") == 1).select("search_id", "entity_set_id")
+    more = met.where(F.size("ids") > 1).join(lists, "entity_set_id")
+    return alone.unionByName(more.where(F.size(F.array_except("ids", "listed")) == 0).select("search_id", "entity_set_id")).distinct()
 
 
 # --- write time ------------------------------------------------------------
@@ -270,14 +279,51 @@ def _any_window(windows: DataFrame) -> Column:
     return condition
 
 
+# Seconds of the buckets of time: an hour, and eight times more at each level.
+BUCKETS = [3600 * 8**level for level in range(9)]
+WINDOW_BUCKETS = 9
+
+
+def _bucketed(windows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Windows by the buckets of time they touch: each uses the finest level at which it touches few.
+
+    Bounds are held to the times elements have (``first``, ``last``, in seconds), so an open
+    window touches few buckets as well. What a bucket holds beside the window is a small share
+    of it, and the exact test follows.
+    """
+    start = F.greatest(F.coalesce(F.unix_seconds(F.col("start_date").cast("timestamp")), first), first)
+    end = F.least(F.coalesce(F.unix_seconds(F.col("end_date").cast("timestamp")), last), last)
+    level = F.lit(len(BUCKETS) - 1)
+    for n in range(len(BUCKETS) - 2, -1, -1):
+        touched = F.floor(end / BUCKETS[n]) - F.floor(start / BUCKETS[n]) + 1
+        level = F.when(touched <= WINDOW_BUCKETS, F.lit(n)).otherwise(level)
+    size = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in BUCKETS]), F.col("level") + 1)
+    buckets = F.sequence(F.floor(start / size), F.floor(end / size))
+    return windows.where(start <= end).withColumn("level", level).withColumn("bucket", F.explode(buckets))
+
+
 def write_time_matches(req: Requests, index: Index) -> DataFrame:
+    """Elements written within a window, by an equi-join on buckets of time and the exact test.
+
+    An element has one bucket per level and a window uses one level, so they meet at most once.
+    """
     windows = (
         req.constraints.where(F.col("search_type") == "writeDateTimeFilter")
         .join(scopes(req.searches), "search_id")
         .select(*CONSTRAINT, *SCOPE, "start_date", "end_date")
     )
+    seconds = F.unix_seconds(F.col("last_write").cast("timestamp"))
+    times = index.elements.agg(F.min(seconds).alias("first"), F.max(seconds).alias("last")).first()
+    if times["first"] is None:
+        bucketed = windows.where("false").withColumns({"level": F.lit(0), "bucket": F.lit(0).cast("bigint")})
+    else:
+        bucketed = _bucketed(windows, F.lit(times["first"]), F.lit(times["last"]))
+    bucketed, few = settle(bucketed, "windows")
+    levels = sorted(r.level for r in bucketed.select("level").distinct().collect())
+    own = F.array(*[F.struct(F.lit(n).alias("level"), F.floor(seconds / BUCKETS[n]).alias("bucket")) for n in levels])
     elements = index.elements.where(_any_window(windows)).withColumn("scope", scope_of(F.col("entity_set_id")))
-    written = lookup_join(elements, windows, SCOPE, ["doc_id", "ord"], small_fits=req.small).where(
+    placed = elements.select("*", F.inline(own)) if levels else elements.where("false").withColumns({"level": F.lit(0), "bucket": F.lit(0).cast("bigint")})
+    written = lookup_join(placed, bucketed, [*SCOPE, "level", "bucket"], ["doc_id", "ord"], small_fits=few).where(
         written_between(F.col("last_write"), F.col("start_date"), F.col("end_date"))
     )
     return _constant(written)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text
 from quarry.functions.phonetic import metaphone_code
 from quarry.functions.score import edit_boost, idf, tf_norm
-from quarry.operators.fuzzy import expand
+from quarry.operators.fuzzy import expand, signature_table
 from quarry.operators.index import FIELD, build_postings
 from quarry.scale import lookup_join, materialize
 
@@ -65,7 +65,7 @@ def question_expansions(questions: DataFrame, terms: DataFrame, fields: DataFram
         F.posexplode(text.analyze(F.col("term"), F.col("analyzer"))).alias("token_no", "token"),
     )
     sizes = tokens.groupBy(*QUESTION).agg(F.count(F.lit(1)).alias("n_tokens"))
-    near = expand(tokens, terms)
+    near = expand(tokens, signature_table(terms))
     if phonetic:
         heard = (
             tokens.where(F.col("analyzer") == text.METAPHONE).select(*FIELD, "token").distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from quarry.operators.rank import page, sort_keys, totals
 from quarry.operators.requests import Requests
 from quarry.operators.typing_ops import type_values
 from quarry.plans.entity_search import find
-from quarry.scale import local_table, lookup_join, materialize
+from quarry.scale import fits, local_table, lookup_join, materialize
 
 ENTITY_SET_FIELDS = ["id", "name", "title", "description"]
 # Names of entity sets are written with underscores, so they are heard letter by letter: runs of
@@ -125,14 +125,64 @@ def rejected_names(asked: DataFrame) -> DataFrame:
     return asked.where(~valid).select("search_id", F.lit("invalid pattern").alias("reason"))
 
 
+GRAM = 3
+# A pattern with alternatives, groups, classes or escapes may do without any of its letters.
+_UNCLEAR = r"[|()\[\]\\]"
+# A letter that may be absent: one before ?, * or a count.
+_OPTIONAL = r".(?:[?*]|\{[^}]*\}?)[?+]?"
+_RUN = r"[\p{L}\p{N}_]{3,}"
+
+
+def _grams(value: Column) -> Column:
+    """Every run of three characters of ``value``."""
+    n = F.length(value) - (GRAM - 1)
+    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(value, i, F.lit(GRAM))))
+
+
+def required_grams(pattern: Column) -> Column:
+    """Grams that every token the pattern matches must hold; none where that is not plain to see."""
+    sure = F.regexp_replace(pattern, _OPTIONAL, ".")
+    runs = F.regexp_extract_all(sure, F.lit(_RUN), F.lit(0))
+    grams = F.array_distinct(F.flatten(F.transform(runs, _grams)))
+    return F.when(pattern.rlike(_UNCLEAR), F.array().cast("array<string>")).otherwise(grams)
+
+
+def pattern_tokens(tokens: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(kind, field, token, pattern) where the pattern matches somewhere in the token.
+
+    ``tokens`` has kind, field, token and ``patterns`` kind, field, pattern, both distinct. A
+    pattern enters by the one of its required grams that the fewest tokens hold, and is tried on
+    those tokens only. Patterns without such a gram (shorter literals, alternatives, groups,
+    classes, escapes) are tried on every token of their kind and field: there is no exact way
+    round it.
+    """
+    place = ["kind", "field"]
+    patterns = materialize(patterns.withColumn("grams", required_grams(F.col("pattern"))), "patterns")
+    open_ones = patterns.where(F.size("grams") == 0).select(*place, "pattern")
+    each = materialize(patterns.select(*place, "pattern", F.explode("grams").alias("gram")), "grams")
+    asked = materialize(each.select(*place, "gram").distinct(), "asked_grams")
+    few = fits(asked)
+    held = lookup_join(tokens.select(*place, "token", F.explode(_grams(F.col("token"))).alias("gram")), asked, [*place, "gram"], ["token"], few, "left_semi")
+    held = materialize(held, "held_grams")
+    counts = held.groupBy(*place, "gram").agg(F.count(F.lit(1)).alias("n"))
+    # A gram that no token holds leaves its pattern without any match.
+    known = each.join(counts, [*place, "gram"], "left").groupBy(*place, "pattern").agg(
+        F.min(F.coalesce("n", F.lit(0))).alias("n"), F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram")
+    )
+    entry = known.where("n > 0").select(*place, "gram", "pattern")
+    by_gram = lookup_join(held, entry, [*place, "gram"], ["token"]).select(*place, "token", "pattern")
+    by_all = lookup_join(tokens, open_ones, place, ["token"]).select(*place, "token", "pattern")
+    return by_gram.unionByName(by_all).where(F.rlike("token", _whole(F.col("pattern"))))
+
+
 def name_hits(names: DataFrame, asked: DataFrame) -> DataFrame:
     """Objects with a namespace token and a name token that the input matches as a whole, ``.*``
     before and after it.
 
     ``names`` has kind, doc_id, namespace, name. The input is a pattern and is not lowercased;
-    tokens are. Searches with an invalid pattern find nothing (``rejected_names``). Each pattern
-    is tried once per distinct token of its kind and field; documents and searches meet by
-    equality afterwards.
+    tokens are. Searches with an invalid pattern find nothing (``rejected_names``). Patterns meet
+    distinct tokens (``pattern_tokens``); documents and searches meet by equality afterwards.
     """
     asked = asked.join(rejected_names(asked), "search_id", "left_anti")
     fields = ["namespace", "name"]
@@ -142,8 +192,7 @@ def name_hits(names: DataFrame, asked: DataFrame) -> DataFrame:
     patterns = reduce(DataFrame.unionByName, [
         asked.select("kind", F.lit(f).alias("field"), F.col(f).alias("pattern")) for f in fields
     ]).distinct()
-    met = lookup_join(tokens, patterns, ["kind", "field"], ["token"]).where(F.rlike("token", _whole(F.col("pattern"))))
-    met = materialize(met, "patterns")
+    met = materialize(pattern_tokens(materialize(tokens, "tokens"), patterns), "matched_tokens")
 
     def matching(field: str) -> DataFrame:
         """(search_id, doc_id) by one field; distinct, as several tokens may match."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.index import Index, clustered
 
-TABLES = ["values", "elements", "property_types", "postings", "typed_terms", "term_stats", "field_stats", "points"]
+TABLES = ["values", "elements", "property_types", "postings", "typed_terms", "term_stats", "signatures", "field_stats", "points"]
 
 
 def write_index(index: Index, path: str, files_per_table: int | None = None) -> None:

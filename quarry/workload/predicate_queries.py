@@ -76,7 +76,7 @@ def fuzzy_terms(spark, sf_dir):
     tokens = m.table(spark, sf_dir, "benchmark").select(
         F.lit("document").alias("entity_type_id"), F.lit("text").alias("property_id"),
         F.explode(text.standard_tokens(F.col("text"))).alias("token"))
-    return expand(tokens, index.term_stats).select("token", "term", "distance")
+    return expand(tokens, index.signatures).select("token", "term", "distance")
 
 
 @query("D4_phrase_search", f"""

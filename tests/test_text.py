@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quarry import schemas
 from quarry.functions import text
 from quarry.functions.phonetic import metaphone
-from quarry.operators.fuzzy import expand
+from quarry.operators.fuzzy import expand, signature_table
 from quarry.scale import local_table
 
 
@@ -55,7 +55,7 @@ def test_fuzzy_expansion_misses_nothing(spark, small):
     terms = spark.createDataFrame(
         [("t", "p", v, 1) for v in vocabulary], "entity_type_id string, property_id string, term string, df long")
     asked = spark.createDataFrame([("t", "p", t) for t in tokens], "entity_type_id string, property_id string, token string")
-    found = {(r.token, r.term): r.distance for r in expand(asked, terms, small).collect()}
+    found = {(r.token, r.term): r.distance for r in expand(asked, signature_table(terms)).collect()}
     assert found == expected
 
 
