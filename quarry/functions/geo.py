@@ -20,8 +20,9 @@ UNIT_METRES = {
     "nauticalmiles": 1852.0,
 }
 
-FINE, COARSE = 1.0, 16.0
-FINE_MAX_CELLS = 64
+# Degrees of the cells of each level, a quarter of those of the level before.
+CELL_DEGREES = [16.0 / 4**level for level in range(8)]
+BOX_CELLS = 12  # a box uses the finest level at which it touches no more
 
 
 def metres(radius: Column, unit: Column) -> Column:
@@ -43,8 +44,9 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 def circle_box(lat: Column, lon: Column, radius_m: Column) -> dict[str, Column]:
     """Smallest latitude/longitude box around a circle.
 
-    A circle that reaches a pole or crosses the date line gets the whole
-    longitude range; the exact distance test follows anyway.
+    Of a circle across the date line the box runs from ``west`` over 180 degrees to a smaller
+    ``east``. One that reaches a pole gets the whole longitude range; the exact distance test
+    follows anyway.
     """
     dlat = F.degrees(radius_m / EARTH_RADIUS_M) + 1e-9
     south, north = lat - dlat, lat + dlat
@@ -52,15 +54,23 @@ def circle_box(lat: Column, lon: Column, radius_m: Column) -> dict[str, Column]:
     dlon = F.when((F.abs(lat) + dlat < 90) & (ratio < 1), F.degrees(F.asin(ratio)) + 1e-9).otherwise(
         360.0
     )
-    wraps = (lon - dlon < -180) | (lon + dlon > 180)
+    whole = (dlon >= 180) | (F.abs(lon) > 180)
+    west, east = lon - dlon, lon + dlon
     return {
         "south": F.greatest(south, F.lit(-90.0)),
         "north": F.least(north, F.lit(90.0)),
-        "west": F.when(wraps, -180.0).otherwise(lon - dlon),
-        "east": F.when(wraps, 180.0).otherwise(lon + dlon),
+        "west": F.when(whole, -180.0).when(west < -180, west + 360).otherwise(west),
+        "east": F.when(whole, 180.0).when(east > 180, east - 360).otherwise(east),
     }
 
 
+def in_box(lat: Column, lon: Column) -> Column:
+    """Whether a point lies in the box of columns south, north, west, east; west may lie beyond the date line."""
+    south, north, west, east = (F.col(c) for c in ("south", "north", "west", "east"))
+    across = F.when(west <= east, lon.between(west, east)).otherwise((lon >= west) | (lon <= east))
+    return lat.between(south, north) & across
+
+
 def zone_box(zone: Column) -> dict[str, Column]:
     """Bounding box of a ring of [lon, lat] pairs."""
     lons = F.transform(zone, lambda p: F.get(p, 0))
@@ -86,32 +96,51 @@ def point_in_zone(lat: Column, lon: Column, zone: Column) -> Column:
     return (F.size(zone) >= 3) & (F.size(F.filter(edges, crosses)) % 2 == 1)
 
 
-def cell_of(lat: Column, lon: Column, step: Column) -> Column:
-    """Grid cell of a point as a struct (step, row, col)."""
-    return F.named_struct(
-        F.lit("step"), step,
-        F.lit("row"), F.floor((lat + 90) / step).cast("int"),
-        F.lit("col"), F.floor((lon + 180) / step).cast("int"),
-    )
+def _row(lat: Column, step) -> Column:
+    return F.floor((lat + 90) / step).cast("int")
+
+
+def _col(lon: Column, step) -> Column:
+    return F.floor((lon + 180) / step).cast("int")
 
 
-def cells_of_box(south: Column, north: Column, west: Column, east: Column) -> Column:
-    """Cells a box touches: the fine grid for small boxes, the coarse one for large."""
+def cells_of_point(lat: Column, lon: Column, levels: list[int]) -> Column:
+    """The point's cell at each level asked for."""
+    return F.array(*[
+        F.named_struct(F.lit("level"), F.lit(n), F.lit("row"), _row(lat, CELL_DEGREES[n]), F.lit("col"), _col(lon, CELL_DEGREES[n])) for n in levels
+    ])
 
-    def first(v: Column, off: int, step: Column) -> Column:
-        return F.floor((v + off) / step).cast("int")
 
-    fine_cells = ((north - south) / FINE + 2) * ((east - west) / FINE + 2)
-    step = F.when(fine_cells <= FINE_MAX_CELLS, F.lit(FINE)).otherwise(F.lit(COARSE))
-    rows = F.sequence(first(south, 90, step), first(north, 90, step))
-    cols = F.sequence(first(west, 180, step), first(east, 180, step))
+def _n_cells(south: Column, north: Column, west: Column, east: Column, step) -> Column:
+    columns = _col(east, step) - _col(west, step) + 1
+    across = columns + F.ceil(F.lit(360.0) / step).cast("int") + 1
+    rows = (_row(north, step) - _row(south, step) + 1).cast("bigint")
+    return rows * F.when(west <= east, columns).otherwise(across)
+
+
+def level_of_box(south: Column, north: Column, west: Column, east: Column) -> Column:
+    """The finest level at which a box touches few cells, the coarsest for the largest boxes."""
+    level = F.lit(0)
+    for n, step in enumerate(CELL_DEGREES):
+        level = F.when(_n_cells(south, north, west, east, step) <= BOX_CELLS, F.lit(n)).otherwise(level)
+    return level
+
+
+def cells_of_box(south: Column, north: Column, west: Column, east: Column, level: Column) -> Column:
+    """The cells of its level that a box touches, on both sides of the date line where it lies across."""
+    step = F.element_at(F.array(*[F.lit(d) for d in CELL_DEGREES]), level + 1)
+    rows = F.sequence(_row(south, step), _row(north, step))
+    last = _col(F.lit(180.0), step)
+    cols = F.when(west <= east, F.sequence(_col(west, step), _col(east, step))).otherwise(
+        F.array_union(F.sequence(_col(west, step), last), F.sequence(F.lit(0), _col(east, step)))
+    )
     return F.flatten(
         F.transform(
             rows,
             lambda r: F.transform(
                 cols,
                 lambda c: F.named_struct(
-                    F.lit("step"), step, F.lit("row"), r, F.lit("col"), c
+                    F.lit("level"), level, F.lit("row"), r, F.lit("col"), c
                 ),
             ),
         )

@@ -167,24 +167,26 @@ def all_tokens(matches: DataFrame, tokens: DataFrame, keys: list[str], small: bo
 
 
 def _shape_cells(shapes: DataFrame, box: dict[str, Column]) -> DataFrame:
-    boxed = shapes.withColumns(box)
-    cells = geo.cells_of_box(F.col("south"), F.col("north"), F.col("west"), F.col("east"))
-    return boxed.withColumn("cell", F.explode(cells))
+    """A row per cell; a shape uses the finest level at which it touches few."""
+    sides = [F.col(c) for c in ("south", "north", "west", "east")]
+    levelled = shapes.withColumns(box).withColumn("level", geo.level_of_box(*sides))
+    return levelled.withColumn("cell", F.explode(geo.cells_of_box(*sides, F.col("level"))))
 
 
 def _at_points(shapes: DataFrame, index_points: DataFrame, small: bool | None) -> DataFrame:
-    """Points inside the bounding box of each shape, by an equi-join on grid cells.
+    """Points inside the bounding box of each shape, by an equi-join on cells of several levels.
 
-    A point has one fine and one coarse cell, a shape uses one of the two grids,
-    so a (shape, point) pair meets at most once.
+    A point has one cell per level and a shape uses one level, so a pair meets at most once; only
+    levels that some shape uses are looked at.
     """
     lat, lon = F.col("lat"), F.col("lon")
-    cells = F.array(*[geo.cell_of(lat, lon, F.lit(step)) for step in (geo.FINE, geo.COARSE)])
+    levels = sorted(r.level for r in shapes.select("level").distinct().where("level is not null").collect())
+    cells = geo.cells_of_point(lat, lon, levels) if levels else F.lit(None).cast("array<struct<level:int,row:int,col:int>>")
     gridded = index_points.withColumn("cell", F.explode(cells))
     met = lookup_join(
         gridded, shapes, [*SCOPE, "property_id", "cell"], ["doc_id", "ord"], small_fits=small
     )
-    return met.where(lat.between(F.col("south"), F.col("north")) & lon.between(F.col("west"), F.col("east")))
+    return met.where(geo.in_box(lat, lon))
 
 
 def distance_matches(req: Requests, index: Index) -> DataFrame:

@@ -80,3 +80,19 @@ def test_polygons_match_brute_force(spark):
 def test_units(spark):
     row = spark.sql("select 2d r").select(*[geo.metres(F.col("r"), F.lit(u.upper())).alias(u) for u in geo.UNIT_METRES]).first()
     assert row.asDict() == {u: 2 * m for u, m in geo.UNIT_METRES.items()}
+
+
+def test_small_circles_meet_only_points_of_their_cells(spark, monkeypatch):
+    rng = random.Random(8)
+    pts = [(str(i), rng.uniform(47, 49), rng.choice([rng.uniform(10, 12), rng.uniform(179, 180), rng.uniform(-180, -179)])) for i in range(6000)]
+    df = spark.createDataFrame([("t", "s", "p", i, "0", la, lo) for i, la, lo in pts],
+                               "entity_type_id string, scope string, property_id string, doc_id string, ord string, lat double, lon double")
+    circles = [(rng.uniform(47, 49), rng.choice([rng.uniform(10, 12), 179.999, -179.99])) for _ in range(60)]
+    rows = [{"search_type": "geoDistance", "lat": a, "lon": b, "radius": 1.0, "unit": "KILOMETERS"} for a, b in circles]
+    met = []
+    plain = P.lookup_join
+    monkeypatch.setattr(P, "lookup_join", lambda *a, **k: met.append(plain(*a, **k)) or met[-1])
+    found = {tuple(r) for r in P.distance_matches(requests(spark, rows), Points(df)).select("search_id", "doc_id").collect()}
+    assert found == {(str(n), i) for n, (a, b) in enumerate(circles) for i, la, lo in pts if metres(la, lo, a, b) <= 1000}
+    # A circle of 1 km lies in at most a dozen cells of some two kilometres: less than a fiftieth of the points each.
+    assert met[-1].count() < 60 * len(pts) / 50
