@@ -62,10 +62,12 @@ class WordTokenizer(dict):
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, word: str) -> bytes:
-        found = self._encode(word)
-        if len(self) < CACHE_WORDS and len(word) <= _LONG_WORD:
-            self[word] = found
+    def __missing__(self, chunk: str) -> bytes:
+        """``chunk``: lower case, no white space. What stands apart in it is looked up by itself."""
+        parts = _APART.sub(r" \1 ", chunk).split()
+        found = self._encode(chunk) if parts == [chunk] else b"".join(map(self.__getitem__, parts))
+        if len(self) < CACHE_WORDS and len(chunk) <= _LONG_WORD:
+            self[chunk] = found
         return found
 
     def _encode(self, text: str) -> bytes:
@@ -73,8 +75,7 @@ class WordTokenizer(dict):
 
     def ids(self, text: str) -> np.ndarray:
         if _PLAIN.fullmatch(text) and "<|" not in text:
-            words = _APART.sub(r" \1 ", text.lower()).split()
-            raw = b"".join(map(self.__getitem__, words))
+            raw = b"".join(map(self.__getitem__, text.lower().split()))
         else:
             raw = self._encode(text)
         return np.frombuffer(raw, "<u4")
