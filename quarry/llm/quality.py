@@ -117,7 +117,8 @@ class Model:
 
 
 def weighted(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts) * weights
+    x = np.log1p(counts)
+    x *= weights
     for kind in _KINDS:
         x[:, kind] /= np.maximum(np.linalg.norm(x[:, kind], axis=1, keepdims=True), 1e-9)
     return x
@@ -127,18 +128,23 @@ def train(counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS)
     seen = (counts > 0).sum(0)
     weights = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + 1
     x = weighted(counts, weights)
-    d = min(dimensions, *x.shape)
-    # The leading right singular vectors, from the smaller of the two product matrices.
-    if x.shape[0] < x.shape[1]:
-        values, left = np.linalg.eigh(x @ x.T)
-        top = np.argsort(-values)[:d]
-        projection = x.T @ (left[:, top] / np.sqrt(np.maximum(values[top], 1e-9)))
-    else:
-        values, right = np.linalg.eigh(x.T @ x)
-        projection = right[:, np.argsort(-values)[:d]]
-    model = Model(weights, projection.astype(np.float32), np.zeros((0, d), np.float32), labels, float(labels.mean()))
-    model.vectors = model.latent(counts)
-    return model
+    projection = _leading(x, min(dimensions, *x.shape))
+    vectors = x @ projection
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    return Model(weights, projection, vectors, labels, float(labels.mean()))
+
+
+def _leading(x: np.ndarray, d: int, more: int = 16, rounds: int = 8) -> np.ndarray:
+    """The leading ``d`` right singular vectors, by iterating a subspace a little larger.
+
+    Nothing as large as a product of ``x`` with itself is held.
+    """
+    q = np.random.default_rng(0).standard_normal((x.shape[1], min(d + more, *x.shape))).astype(np.float32)
+    for _ in range(rounds):
+        q = np.linalg.qr(x.T @ (x @ q))[0]
+    inner = x @ q
+    values, turn = np.linalg.eigh(inner.T @ inner)
+    return (q @ turn[:, np.argsort(-values)[:d]]).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_column: str = "doc_id", text_column: str = "text") -> Model | None:
