@@ -160,7 +160,25 @@ def blocking(spark, sf_dir):
     return block(*_part_blocks(spark, sf_dir, STANDARD), size=5)
 
 
-@query("F2_blocking_phonetic")
+@query("F2_blocking_phonetic", f"""
+    WITH {CODE_TABLE}, {PHONETIC_TOK},
+      len AS (SELECT doc_id, len(t) AS len FROM w), fs AS (SELECT count(*) AS n, avg(len) AS al FROM len WHERE len > 0),
+      tf AS (SELECT doc_id, term, count(*) AS tf FROM ptok GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+      sc AS (SELECT doc_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf, tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / al)) AS tfn
+        FROM tf JOIN len USING (doc_id) JOIN df USING (term), fs),
+      q AS (SELECT p_name, unnest({letters('p_name')}) AS token FROM (SELECT DISTINCT p_name FROM part)),
+      k AS (SELECT DISTINCT token FROM q),
+      x AS (SELECT token, term, min(d) AS d FROM (
+          SELECT token, term, damerau_levenshtein(token, term) AS d FROM k, df WHERE damerau_levenshtein(token, term) <=
+            CASE WHEN length(token) < 3 THEN 0 WHEN length(token) <= 5 THEN 1 ELSE 2 END
+          UNION ALL SELECT token, code, 0 FROM k JOIN code ON code.term = token) GROUP BY ALL),
+      t AS (SELECT q.p_name, doc_id, token, max(idf * (1 - d / least(length(token), length(term))) * tfn) AS s
+        FROM q JOIN x USING (token) JOIN sc USING (term) GROUP BY ALL),
+      n AS (SELECT p_name, count(*) AS n FROM q GROUP BY ALL),
+      h AS (SELECT p_name, doc_id, round(sum(s), 6) AS score FROM t JOIN n USING (p_name) GROUP BY p_name, doc_id, n HAVING count(*) = n),
+      r AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY score DESC, doc_id) AS rn FROM h)
+    SELECT CAST(p.p_partkey AS VARCHAR) AS block_id, CAST(rn AS INT) AS rn, o.p_brand AS entity_set_id, doc_id, score
+    FROM part p JOIN r USING (p_name) JOIN part o ON CAST(o.p_partkey AS VARCHAR) = doc_id WHERE rn <= 5""")
 def blocking_phonetic(spark, sf_dir):
     return block(*_part_blocks(spark, sf_dir, METAPHONE), size=5)
 
