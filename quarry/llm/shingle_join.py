@@ -10,10 +10,12 @@ chosen, provided all documents choose in the same order. Blocks that many docume
 size band.
 
 Documents with equal sets are one class and travel once. Of documents that share a block all
-are compared with one pivot; where a block still holds more than one component, members of its
-smaller components become pivots round by round, until every pair of different components that
-shares a block was compared. A pair is verified by a dense parity sketch of its size band
-first, whose Hamming distance bounds the difference from below, then exactly.
+are compared with one pivot, in large blocks the rows left outside the largest component with a
+second one. Where a block then still holds more than one component, its rows are dealt over cells
+of bounded size with their dense parity sketches, and each row outside the largest component is
+compared with all rows of other components. A dense sketch of the size band bounds the difference
+from below by its Hamming distance; only pairs that it does not rule out become rows, and their
+sets decide.
 
 Defined results: A-Z are lower-cased; fewer words than five are one shingle; null, empty and
 blank texts have no shingles and link with nothing; rows that repeat are members of one class;
@@ -25,7 +27,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,8 +41,11 @@ PERCENT = 75
 BLOCK_BITS = 6
 BAND_BITS = 2  # sizes within a factor of 4 share a band
 COMMON_BLOCKS = 1 << 16
-PIVOTS_PER_ROUND = 32
-ASK_ALL_PAIRS = 200_000  # remaining pairs that may be asked at once; more only in proportion to the members
+LARGE_BLOCK = 64  # only above it a second pivot is worth a round; every pair is compared either way
+CELL_ROWS = 1024
+CELL_WORDS = 128
+_BANDS = 31  # the low bits of a block name its band
+_COMPARED_WORDS = 1 << 20
 _SEEN_OFTEN = 3
 
 
@@ -110,8 +116,9 @@ def chosen_blocks(value: np.ndarray, owner: np.ndarray, sizes: np.ndarray, commo
     own = band(sizes)
     upper = np.left_shift(1, (own + 1) * BAND_BITS)
     near = 100 * sizes >= PERCENT * upper  # its larger partners may be in the next band
-    low = mix(signature + own[who].astype(np.uint64))
-    high = mix(signature + (own[who] + 1).astype(np.uint64))[near[who]]
+    named = lambda b: (mix(signature + b) & ~np.uint64(_BANDS)) | b
+    mine = own[who].astype(np.uint64)
+    low, high = named(mine), named(mine + np.uint64(1))[near[who]]
     return np.concatenate([low, high]), np.concatenate([who, who[near[who]]])
 
 
@@ -205,17 +212,21 @@ def _common_blocks(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return common[order], rank[order]
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough: by their sketches first, then by their sets."""
+def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, band) that their sketches of that band do not rule out, as (a, b)."""
     side = lambda name: sketches.select(F.col("uid").alias(name), "band", *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch")])
-    met = pairs.join(side("a"), "a").join(side("b"), ["b", "band"])
+    met = pairs.join(side("a"), ["a", "band"]).join(side("b"), ["b", "band"])
     apart = F.aggregate(
         F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x
     )
     # (n + m)(1 - s)/(1 + s) is the most two linked sets may differ.
     near = met.filter((apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)))
-    near = near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
-    near = written(near, "near")
+    return near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
+
+
+def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+    near = written(near.distinct(), "near")
     ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     own = lookup(texts, materialize(ends, "ends"), "uid", "left_semi")
     sets = materialize(own.mapInArrow(_emit_sets, "uid long, set array<long>"), "sets")
@@ -225,44 +236,129 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, percent:
     return written(exact.filter(100 * shared >= percent * union).select("a", "b"), "links")
 
 
+def _asked(pairs: DataFrame) -> DataFrame:
+    """Each pair once, by one band that both ends have."""
+    ends = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("block").bitwiseAND(_BANDS).alias("band"))
+    return written(ends.groupBy("a", "b").agg(F.min("band").alias("band")), "asked")
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of blocks of more than two members and more than one component, with their component
+    ``root``, the block's largest one ``main``, its number of rows ``n`` and of rows outside main ``askers``."""
+    root = F.coalesce("root", "uid").alias("root")
+    rooted = members.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select("block", "uid", root)
+    per_root = rooted.groupBy("block", "root").agg(F.count(F.lit(1)).alias("n"))
+    blocks = per_root.groupBy("block").agg(
+        F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n")
+    ).filter("roots > 1 and n > 2")
+    blocks = blocks.select("block", F.col("largest.root").alias("main"), "n", (F.col("n") - F.col("largest.n")).alias("askers"))
+    return written(rooted.join(materialize(blocks, "mixed"), "block"), "open")
+
+
+def _cells(rows: DataFrame, cell_rows: int) -> DataFrame:
+    """Rows of ``_mixed`` dealt over cells (block, slice, chunk) of bounded size.
+
+    The rows of a block are cut into slices, those that ask into chunks, and every chunk meets
+    every slice. A block that fits is one cell, in which every row stands once.
+    """
+    slices, chunks = F.ceil(F.col("n") / cell_rows), F.ceil(F.col("askers") / cell_rows)
+    asks = F.col("root") != F.col("main")
+    cell = lambda s, c, a: F.struct(s.cast("int").alias("slice"), c.cast("int").alias("chunk"), a.alias("asks"))
+    mine, part = F.pmod(F.xxhash64("uid"), slices), F.pmod(F.xxhash64("uid", F.lit(1)), chunks)
+    stands = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: cell(mine, c, F.lit(False)))
+    calls = F.transform(F.sequence(F.lit(0).cast("long"), slices - 1), lambda s: cell(s, part, F.lit(True)))
+    dealt = F.when((slices == 1) & (chunks == 1), F.array(cell(F.lit(0), F.lit(0), asks))).when(asks, F.concat(stands, calls)).otherwise(stands)
+    # The sketch comes last: rows travel to their cells with it, each once per cell.
+    return rows.withColumn("cell", F.explode(dealt)).select("block", "cell.slice", "cell.chunk", "cell.asks", "uid", "root", "size", "sketch")
+
+
+def _runs(batches):
+    """Record batches of whole cells; rows come sorted by cell."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        keys = [rows.column(c).to_numpy() for c in ("block", "slice", "chunk")]
+        new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        last = int(new[-1]) if len(new) else 0
+        if last:
+            yield rows.slice(0, last), np.concatenate([[0], new])
+        held = rows.slice(last)
+    if held is not None and held.num_rows:
+        yield held, np.array([0, held.num_rows])
+
+
+def _compare(percent: int):
+    """Of every cell the pairs of an asking row and a row of another component that sketches do not rule out."""
+
+    def pairs(uid, root, size, sketch, asks, first, end):
+        askers = np.flatnonzero(asks)
+        reach = np.cumsum(end[askers] - first[askers])
+        lo, most = 0, max(1, _COMPARED_WORDS // sketch.shape[1])
+        while lo < len(askers):
+            hi = max(lo + 1, int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + most, side="right")))
+            some = askers[lo:hi]
+            met = end[some] - first[some]
+            i = np.repeat(some, met)
+            j = np.arange(len(i)) - np.repeat(np.cumsum(met) - met, met) + first[i]
+            i, j = (x[(root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))] for x in (i, j))
+            apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+            near = apart * (100 + percent) <= (size[i] + size[j]) * (100 - percent)
+            ends = np.sort(np.stack([uid[i[near]], uid[j[near]]], axis=1), axis=1)
+            yield np.unique(ends, axis=0)
+            lo = hi
+
+    def run(batches):
+        for rows, cuts in _runs(batches):
+            first, end = (np.repeat(x, np.diff(cuts)) for x in (cuts[:-1], cuts[1:]))
+            uid, root, size, asks = (rows.column(c).to_numpy() for c in ("uid", "root", "size", "asks"))
+            lists = rows.column("sketch").combine_chunks()
+            lengths, words_ = pc.list_value_length(lists).to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+            begins = np.cumsum(lengths) - lengths
+            for width in np.unique(lengths):  # one width per cell
+                at = np.flatnonzero(lengths == width)
+                sketch = words_[(begins[at][:, None] + np.arange(width))]
+                place = np.zeros(len(lengths), np.int64)
+                place[at] = np.arange(len(at))
+                own_first = place[first[at]]
+                for ends in pairs(uid[at], root[at], size[at], sketch, asks[at], own_first, own_first + end[at] - first[at]):
+                    yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    return run
+
+
+def _folded(sketch: Column) -> Column:
+    """A sketch of at most CELL_WORDS words: halves laid over each other flip no more bits than before."""
+    words_ = F.lit(CELL_WORDS)
+    laid = F.transform(F.sequence(F.lit(1), words_), lambda w: F.aggregate(
+        F.sequence(w, F.size(sketch), words_), F.lit(0).cast("long"), lambda x, at: x.bitwiseXOR(F.element_at(sketch, at))))
+    return F.when(F.size(sketch) <= words_, sketch).otherwise(laid)
+
+
 def _links(members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links that join all similar documents of ``members`` (block, uid), and their components."""
-    pivot = members.groupBy("block").agg(F.min("uid").alias("a"))
-    star = members.join(materialize(pivot, "pivots"), "block").filter("uid <> a").select("a", F.col("uid").alias("b")).distinct()
-    links = _verified(written(star, "star"), texts, sketches, percent)
-    roots = materialize(components(links), "roots")
-    open_rows, n_members = members, members.count()
-    while True:
-        root = F.coalesce("root", "uid").alias("root")
-        rooted = open_rows.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select("block", "uid", root)
-        per_root = rooted.groupBy("block", "root").agg(F.count(F.lit(1)).alias("n"))
-        mixed = per_root.groupBy("block").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("largest")).filter("roots > 1")
-        mixed = materialize(mixed.select("block", F.col("largest.root").alias("main")), "mixed")
-        if mixed.isEmpty():
-            return links, roots
-        open_rows = materialize(rooted.join(mixed, "block"), "open")
-        # Members outside a block's largest component ask. If they are few they all ask at once, else
-        # a bounded number of each block does, so a round's pairs stay in proportion to the members.
-        sizes = open_rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("root") != F.col("main")).alias("askers"))
-        most = sizes.agg(F.sum(F.col("n") * F.col("askers"))).first()[0]
-        asking = open_rows.filter("root <> main").select("block", F.col("uid").alias("a"), F.col("root").alias("root_a"))
-        whole = most <= max(ASK_ALL_PAIRS, n_members // 4)
-        if not whole:
-            turn = F.row_number().over(Window.partitionBy("block").orderBy("root_a", "a"))
-            asking = asking.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS_PER_ROUND).drop("turn")
-            asking = materialize(asking, "asking")
-        asked = open_rows.join(asking, "block").filter("root <> root_a")
-        pairs = asked.select(F.least("a", "uid").alias("a"), F.greatest("a", "uid").alias("b")).distinct()
-        more = _verified(materialize(pairs, "asked"), texts, sketches, percent)
-        if not more.isEmpty():
-            links = materialize(links.unionByName(more), "links")
-            roots = materialize(components(links), "roots")
-        if whole:
-            return links, roots
-        open_rows = open_rows.select("block", "uid").join(
-            asking.select("block", F.col("a").alias("uid")), ["block", "uid"], "left_anti"
-        )
-        open_rows = written(open_rows, "open")
+
+    def joined(links, near):
+        more = _linked(near, texts, percent)
+        links = more if links is None else materialize(links.unionByName(more), "links")
+        return links, materialize(components(links), "roots")
+
+    # First everyone meets the first row of its blocks.
+    pivot = materialize(members.groupBy("block").agg(F.min("uid").alias("a")), "pivots")
+    star = members.join(pivot, "block").select("block", "a", F.col("uid").alias("b"))
+    links, roots = joined(None, _alike(_asked(star), sketches, percent))
+    # In large blocks the rows outside the largest component then meet one row of it, another in each block.
+    large = _mixed(members, roots).filter(F.col("n") > LARGE_BLOCK)
+    drawn = large.filter("root = main").groupBy("block").agg(F.min_by("uid", F.xxhash64("uid", "block")).alias("a"))
+    met = large.filter("root <> main").join(materialize(drawn, "pivots"), "block").select("block", "a", F.col("uid").alias("b"))
+    near = _alike(_asked(met), sketches, percent)
+    links, roots = joined(links, near)
+    # What is left is compared inside cells; only pairs that sketches do not rule out leave them.
+    kept = sketches.select("uid", "band", F.col("n").alias("size"), _folded(F.col("sketch")).alias("sketch"))
+    rows = _mixed(members, roots).withColumn("band", F.col("block").bitwiseAND(_BANDS))
+    cells = _cells(rows.join(kept, ["uid", "band"]), CELL_ROWS)
+    key = ["block", "slice", "chunk"]
+    near = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare(percent), "a long, b long")
+    return joined(links, near)
 
 
 def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

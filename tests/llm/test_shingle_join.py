@@ -71,8 +71,8 @@ def test_near_copies_of_all_sizes(spark):
     check(docs.repartition(3))
 
 
-def test_pivots_go_on_until_all_pairs_met(spark):
-    """One block shared by many texts of several groups: one pivot a round must still link all."""
+def test_rows_in_many_cells_still_meet(spark):
+    """One block shared by many texts of several groups, cut into cells of a few rows and folded sketches, must link all."""
     rng = random.Random(4)
     common = [f"c{i}" for i in range(20)]
     texts = []
@@ -83,12 +83,13 @@ def test_pivots_go_on_until_all_pairs_met(spark):
             edited[rng.randrange(30)] = f"z{rng.randrange(10**6)}"
             texts.append(" ".join(common + edited))
     docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in enumerate(texts)], COLUMNS)
-    kept = sj.PIVOTS_PER_ROUND, sj.ASK_ALL_PAIRS
-    sj.PIVOTS_PER_ROUND, sj.ASK_ALL_PAIRS = 1, -1
-    try:
-        check(docs)
-    finally:
-        sj.PIVOTS_PER_ROUND, sj.ASK_ALL_PAIRS = kept
+    kept = sj.LARGE_BLOCK, sj.CELL_ROWS, sj.CELL_WORDS
+    for own in ((4, 3, 1), (1000, 5, 2)):
+        sj.LARGE_BLOCK, sj.CELL_ROWS, sj.CELL_WORDS = own
+        try:
+            check(docs)
+        finally:
+            sj.LARGE_BLOCK, sj.CELL_ROWS, sj.CELL_WORDS = kept
 
 
 def test_components(spark):
