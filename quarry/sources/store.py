@@ -1,50 +1,35 @@
-"""Stored entity documents: a base snapshot plus replayable batches, compacted by rebuild."""
+"""Stored entity documents: one Parquet partition per batch, the last version of a key counts."""
 
 from __future__ import annotations
 
-import time
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.ingest import latest, split_rejects
-from quarry.scale import lookup_join
 
-_COMMITS = "kind string, number bigint, path string, at bigint"
+_PARTITIONS = ["batch_id", "rebuilt"]
 
 
 class DocumentStore:
     """Documents by key under a folder.
 
-    Every write goes to a folder of its own and counts once a row of the ``commits`` table
-    names it, so readers never see a half-written batch and no write touches files that a
-    running job reads. A batch written again replaces its earlier write. The snapshot keeps
-    sequence and deletion marks, so a late old version never hides a newer one, compacted or not.
+    Every batch is a partition of one Parquet table, overwritten when the batch is written again,
+    so a replay changes nothing. Readers take the version with the greatest sequence value of every
+    key, deletions included, so a late old version never hides a newer one. A rebuild is a partition
+    that hides all batches up to its own; readers skip their files.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], seq: str):
         self.spark, self.path, self.schema, self.keys, self.seq = spark, path, schema, keys, seq
-        self._logged = T.StructType(schema.fields + [T.StructField("deleted", T.BooleanType())])
-        spark.createDataFrame([], _COMMITS).write.mode("append").parquet(f"{path}/commits")
-
-    def _commits(self) -> tuple[int, list[str], list[tuple[int, str]]]:
-        """Number and folder of the newest snapshot, and of the batches after it."""
-        rows = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").collect()
-        newest: dict[tuple[str, int], tuple[int, str]] = {}
-        for r in rows:
-            key = (r.kind, r.number)
-            newest[key] = max(newest.get(key, (0, "")), (r.at, r.path))
-        through = max((n for k, n in newest if k == "base"), default=-1)
-        base = [newest["base", through][1]] if through >= 0 else []
-        return through, base, sorted((n, p) for (k, n), (_, p) in newest.items() if k == "log" and n > through)
+        extra = [T.StructField("deleted", T.BooleanType()), T.StructField("batch_id", T.LongType()), T.StructField("rebuilt", T.BooleanType())]
+        self._stored = T.StructType(schema.fields + extra)
+        spark.createDataFrame([], self._stored).write.mode("append").partitionBy(*_PARTITIONS).parquet(path)
 
-    def _put(self, kind: str, number: int, rows: DataFrame) -> None:
-        folder = f"{self.path}/{kind}/{number}-{uuid.uuid4().hex}"
-        rows.select(self._logged.fieldNames()).write.parquet(folder)
-        commit = self.spark.createDataFrame([(kind, number, folder, time.time_ns())], _COMMITS)
-        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+    def _put(self, rows: DataFrame, batch_id: int, rebuilt: bool) -> None:
+        named = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("rebuilt", F.lit(rebuilt))
+        named.select(self._stored.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *_PARTITIONS).parquet(self.path)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Add or replace documents."""
@@ -56,31 +41,18 @@ class DocumentStore:
         self.append(doomed.select("*", *empty).withColumn("deleted", F.lit(True)), batch_id)
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        self._put("log", batch_id, rows)
-
-    def _versions(self) -> tuple[DataFrame, int]:
-        """The last version of every key, deleted ones included, and the last batch they hold."""
-        through, base, batches = self._commits()
-        read = self.spark.read.schema(self._logged)
-        snapshot = read.parquet(*base) if base else self.spark.createDataFrame([], self._logged)
-        if not batches:
-            return snapshot, through
-        logged = read.parquet(*[p for _, p in batches])
-        touched = logged.select(*self.keys).distinct()
-        untouched = lookup_join(snapshot, touched, self.keys, self.keys, how="left_anti")
-        contested = lookup_join(snapshot, touched, self.keys, self.keys, how="left_semi")
-        newest = latest(contested.unionByName(logged), self.keys, self.seq)
-        return untouched.unionByName(newest.select(self._logged.fieldNames())), batches[-1][0]
+        """Versions with a column ``deleted``."""
+        self._put(rows, batch_id, rebuilt=False)
 
     def read(self) -> DataFrame:
         """Current documents."""
-        return self._versions()[0].where("not deleted").select(self.schema.fieldNames())
-
-    def compact(self) -> None:
-        """Fold the log into a new snapshot; without newer batches there is nothing to do."""
-        through, _, batches = self._commits()
-        if batches:
-            self._put("base", batches[-1][0], self._versions()[0])
+        versions = self.spark.read.schema(self._stored).parquet(self.path)
+        # One number, as a literal, so that files of earlier batches are not read.
+        through = versions.where("rebuilt").agg(F.max("batch_id")).first()[0]
+        if through is not None:
+            versions = versions.where((F.col("batch_id") > through) | (F.col("rebuilt") & (F.col("batch_id") == through)))
+        newest = latest(versions.drop(*_PARTITIONS), self.keys, self.seq)
+        return newest.where("not deleted").select(self.schema.fieldNames())
 
     def rebuild(self, documents: DataFrame, through: int) -> DataFrame:
         """Replace everything up to batch ``through`` by ``documents`` (last version per key).
@@ -89,5 +61,9 @@ class DocumentStore:
         """
         rules = {f"no {c}": F.col(c).isNull() for c in [*self.keys, self.seq]}
         accepted, rejected = split_rejects(documents, rules)
-        self._put("base", through, latest(accepted, self.keys, self.seq).withColumn("deleted", F.lit(False)))
+        kept = latest(accepted, self.keys, self.seq).withColumn("deleted", F.lit(False))
+        # A deleted row without a key marks the rebuild even where no document is left.
+        marker = self.spark.range(1).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema], F.lit(True).alias("deleted"))
+        self._put(kept.unionByName(marker), through, rebuilt=True)
         return rejected

@@ -84,7 +84,7 @@ def store(spark):
     return DocumentStore(spark, shared_path(spark, "store"), schema, ["k"], "seq")
 
 
-def test_store_replays_deletes_and_compacts(spark):
+def test_store_replays_deletes_and_rebuilds(spark):
     s = store(spark)
     batch = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], s.schema)
     s.write(batch, 0)
@@ -92,24 +92,36 @@ def test_store_replays_deletes_and_compacts(spark):
     s.write(spark.createDataFrame([("a", 2, 2), ("c", 1, 2)], s.schema), 1)
     expected = {("a", 2, 2), ("b", 1, 1), ("c", 1, 2)}
     assert as_set(s.read()) == expected
-    s.compact()
-    assert as_set(s.read()) == expected
     s.remove(spark.createDataFrame([("b", 3), ("zzz", 3)], "k string, seq int"), 2)
     assert as_set(s.read()) == expected - {("b", 1, 1)}
     s.rebuild(spark.createDataFrame([("n", 1, 1), ("n", 2, 2)], s.schema), 2)
     assert as_set(s.read()) == {("n", 2, 2)}
+    s.write(spark.createDataFrame([("n", 0, 1), ("p", 1, 1)], s.schema), 3)  # "n" comes too late
+    assert as_set(s.read()) == {("n", 2, 2), ("p", 1, 1)}
+    s.rebuild(spark.createDataFrame([], s.schema), 2)  # batch 3 is newer than the rebuild
+    assert as_set(s.read()) == {("n", 0, 1), ("p", 1, 1)}
+    s.rebuild(spark.createDataFrame([], s.schema), 3)
+    assert as_set(s.read()) == set()
+
+
+def test_read_skips_batches_before_a_rebuild(spark):
+    s = store(spark)
+    s.write(spark.createDataFrame([("a", 1, 1)], s.schema), 0)
+    s.rebuild(spark.createDataFrame([("b", 1, 1)], s.schema), 1)
+    s.write(spark.createDataFrame([("c", 1, 1)], s.schema), 2)
+    read = s.read()
+    assert as_set(read) == {("b", 1, 1), ("c", 1, 1)}
+    scan = next(line for line in read._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "batch_id" in scan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
 
 
-def test_late_versions_stay_hidden_after_compaction(spark):
+def test_late_versions_stay_hidden(spark):
     s = store(spark)
     s.write(spark.createDataFrame([("a", 2, 2), ("b", 2, 2)], s.schema), 0)
     s.remove(spark.createDataFrame([("c", 5)], "k string, seq int"), 1)
-    s.compact()
-    s.compact()  # nothing newer: nothing to do
     s.write(spark.createDataFrame([("a", 1, 1), ("c", 4, 4), ("b", 3, 3)], s.schema), 2)
     assert as_set(s.read()) == {("a", 2, 2), ("b", 3, 3)}
     s.remove(spark.createDataFrame([("b", 2)], "k string, seq int"), 3)  # a late delete
-    s.compact()
     assert as_set(s.read()) == {("a", 2, 2), ("b", 3, 3)}
     rejected = s.rebuild(spark.createDataFrame([("z", 1, 1), (None, 1, 1), ("y", 1, None)], s.schema), 3)
     assert as_set(s.read()) == {("z", 1, 1)} and {r.reason for r in rejected.collect()} == {"no k", "no seq"}
