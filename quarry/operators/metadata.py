@@ -97,6 +97,20 @@ def patch(
     return patched, rejected
 
 
+ENTITY_SET_FIELDS = ["title", "description", "property_ids"]
+
+
+def patch_entity_sets(entity_sets: DataFrame, patches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Patch title, description and the list of property types, which is replaced as a whole.
+
+    ``patches`` has entity_set_id, seq and for each field it may change the field and its flag
+    ``has_<field>``. A list set to null becomes empty. Patches of unknown sets are rejected.
+    """
+    fields = [f for f in ENTITY_SET_FIELDS if f"has_{f}" in patches.columns]
+    patched, rejected = patch(entity_sets, patches, "entity_set_id", fields)
+    return patched.withColumn("property_ids", F.coalesce("property_ids", F.array().cast("array<string>"))), rejected
+
+
 def entity_set_catalog(entity_sets: DataFrame, property_types: DataFrame) -> DataFrame:
     """Entity sets with their property types in list order; an unknown id keeps a null place."""
     wanted = entity_sets.select("entity_set_id", F.posexplode("property_ids").alias("pos", "property_id"))

@@ -168,6 +168,30 @@ def partial_update(spark, sf_dir):
         rejected.select(F.col("reason").alias("outcome"), "id", "title", "description"))
 
 
+@query("C8_entity_set_patch", """
+    WITH t AS (SELECT l_orderkey AS k, l_returnflag AS title FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+          ORDER BY l_linenumber DESC, l_partkey DESC, l_returnflag DESC) AS r FROM lineitem WHERE l_returnflag <> 'N') WHERE r = 1),
+      p AS (SELECT l_orderkey AS k, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+          ORDER BY l_linenumber DESC, l_partkey DESC) AS r FROM lineitem WHERE l_returnflag = 'R') WHERE r = 1),
+      old AS (SELECT l_orderkey AS k, l_partkey,
+          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) - 1 AS pos FROM lineitem),
+      listed AS (SELECT k, pos, l_partkey FROM old WHERE k NOT IN (SELECT k FROM p)
+        UNION ALL SELECT k, 0, l_partkey FROM p UNION ALL SELECT k, 1, NULL FROM p)
+    SELECT CAST(o_orderkey AS VARCHAR) AS entity_set_id, coalesce(title, o_orderpriority) AS title, CAST(pos AS INT) AS pos, p_name AS name
+    FROM orders LEFT JOIN t ON t.k = o_orderkey LEFT JOIN listed ON listed.k = o_orderkey
+      LEFT JOIN (SELECT * FROM part WHERE p_type <> 'PROMO') ON p_partkey = l_partkey""")
+def entity_set_patch(spark, sf_dir):
+    """Every line patches its order: flagged lines its title, returned ones its list of property types, last line last."""
+    patches = m.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("entity_set_id"), F.struct("l_linenumber", "l_partkey", "l_returnflag").alias("seq"),
+        F.col("l_returnflag").alias("title"), (F.col("l_returnflag") != "N").alias("has_title"),
+        F.array(F.col("l_partkey").cast("string"), F.lit("no such type")).alias("property_ids"), (F.col("l_returnflag") == "R").alias("has_property_ids"))
+    sets, _ = metadata.patch_entity_sets(m.order_sets(spark, sf_dir), patches)
+    catalog = metadata.entity_set_catalog(sets, m.part_types(spark, sf_dir))
+    return catalog.select("entity_set_id", "title", F.posexplode_outer("property_types").alias("pos", "p")).select(
+        "entity_set_id", "title", "pos", F.col("p.name").alias("name"))
+
+
 SAVED = """
     SELECT 'EntityType' AS kind, CAST(p_partkey AS VARCHAR) AS id, p_name AS title FROM part
     UNION ALL SELECT 'AssociationType', 'a' || s_suppkey, s_name FROM supplier WHERE s_acctbal >= 0

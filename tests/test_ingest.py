@@ -79,6 +79,22 @@ def test_objects_are_keyed_by_kind(spark):
         ("accepted", 2), ("association without entity type", 1), ("unknown kind", 1), ("no id", 1)}
 
 
+def test_entity_set_patches_replace_whole_lists(spark):
+    sets = spark.createDataFrame(
+        [(i, "old", "d", ["a", "b"]) for i in ("s1", "s2", "s3", "s4")], "entity_set_id string, title string, description string, property_ids array<string>")
+    patches = spark.createDataFrame(
+        [("s1", 1, ["x"], True, "t", False), ("s1", 2, ["c", "a"], True, "new", True), ("s1", 3, ["z"], False, "late", False),
+         ("s2", 1, [], True, None, False), ("s3", 1, None, True, None, True), ("zzz", 1, ["q"], True, "t", True)],
+        "entity_set_id string, seq int, property_ids array<string>, has_property_ids boolean, title string, has_title boolean")
+    patched, rejected = metadata.patch_entity_sets(sets, patches)
+    got = {r.entity_set_id: (r.title, r.description, r.property_ids) for r in patched.collect()}
+    assert got == {"s1": ("new", "d", ["c", "a"]), "s2": ("old", "d", []), "s3": (None, "d", []), "s4": ("old", "d", ["a", "b"])}
+    assert [(r.entity_set_id, r.reason) for r in rejected.collect()] == [("zzz", "unknown id")]
+    types = spark.createDataFrame([("a", "A"), ("c", "C")], "property_id string, name string")
+    listed = {r.entity_set_id: [p and p.name for p in r.property_types] for r in metadata.entity_set_catalog(patched, types).collect()}
+    assert listed["s1"] == ["C", "A"] and listed["s2"] == [] and listed["s4"] == ["A", None]
+
+
 def store(spark):
     schema = spark.createDataFrame([], "k string, v int, seq int").schema
     return DocumentStore(spark, shared_path(spark, "store"), schema, ["k"], "seq")
