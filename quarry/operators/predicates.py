@@ -114,19 +114,16 @@ def phrase_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataF
     )
     sizes = tokens.groupBy(*CLAUSE, "property_id").agg(F.count(F.lit(1)).alias("n_tokens"))
     weighted = lookup_join(weighted, sizes, [*CLAUSE, "property_id"], ["term"], small_fits=small)
+    occurrence = [*CLAUSE, "property_id", "doc_id", "ord", "len", "avg_len", "n_tokens"]
+    begins = F.transform("positions", lambda p: p - F.col("token_no"))
     placed = lookup_join(
         index.postings.where(pushed), weighted, [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small
-    ).select(
-        *CLAUSE, "property_id", "doc_id", "ord", "len", "avg_len", "n_tokens", "weight",
-        F.explode("positions").alias("pos"), "token_no",
-    )
-    occurrence = [*CLAUSE, "property_id", "doc_id", "ord", "len", "avg_len", "n_tokens"]
-    whole = (
-        placed.withColumn("begin", F.col("pos") - F.col("token_no"))
-        .groupBy(*occurrence, "begin")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
-        .where("n = n_tokens")
-    )
+    ).select(*occurrence, "weight", F.struct(F.size("positions").alias("n"), "token_no", begins.alias("begins")).alias("word"))
+    # Positions stay in their lists; those of the rarest word lead, so a common word's are only looked up.
+    words = placed.groupBy(*occurrence).agg(F.sort_array(F.collect_list("word")).alias("words"), F.sum("weight").alias("weight"))
+    lists = F.transform(F.col("words"), lambda w: w.getField("begins"))
+    shared = F.aggregate(F.slice(lists, 2, F.col("n_tokens").cast("int")), F.element_at(lists, 1), lambda left, x: F.array_intersect(left, x))
+    whole = words.where(F.size("words") == F.col("n_tokens")).select(*occurrence, "weight", F.explode(shared).alias("begin"))
     return (
         whole.groupBy(*occurrence)
         .agg(F.count(F.lit(1)).alias("tf"), F.max("weight").alias("weight"))
