@@ -14,8 +14,10 @@ each; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,9 @@ _PIECES = "doc_id long, uid long, piece int, start long, length long, ids_crc32
 _PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 # What stands by itself even without white space around it: endings, marks, single digits.
 _APART = re.compile("('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u024f]+)")
+_WORD_END = "</w>"  # fixed value: how the tokenizer marks tokens at the end of a word
 _LONG_WORD = 64
+_TOGETHER = 512
 
 
 def default_tokenizer() -> str:
@@ -49,36 +53,59 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer(dict):
-    """Token ids of whole texts, looked up word by word once a word is known.
+    """Token ids of whole texts, looked up chunk by chunk between white space once a chunk is known.
 
     The tokenizer drops white space and never joins tokens across words, so a text's ids are
-    those of its words in order. Ids are kept as little-endian bytes. Texts with characters
-    outside the plain ones, or with marks of special tokens, go to the tokenizer whole.
+    those of its chunks in order. Ids are kept as little-endian bytes. The new chunks of a run of
+    texts are read together, without the normalizer, which changes nothing in them; the tokens that
+    end a word tell where a chunk's ids end. Texts with characters outside the plain ones, or with
+    marks of special tokens, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer, self._chunks = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self._chunks.normalizer = None
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self._new: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        """``chunk``: lower case, no white space. What stands apart in it is looked up by itself."""
-        parts = _APART.sub(r" \1 ", chunk).split()
-        found = self._encode(chunk) if parts == [chunk] else b"".join(map(self.__getitem__, parts))
-        if len(self) < CACHE_WORDS and len(chunk) <= _LONG_WORD:
-            self[chunk] = found
-        return found
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            raw = b"".join(map(self.__getitem__, text.lower().split()))
-        else:
-            raw = self._encode(text)
-        return np.frombuffer(raw, "<u4")
+        return self._new[chunk]
+
+    def _encode(self, tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, chunks: list[str]) -> None:
+        """``chunks``: lower case, no white space, not known yet."""
+        self._new = {}
+        for at in range(0, len(chunks), _TOGETHER):
+            some = chunks[at : at + _TOGETHER]
+            ids = self._encode(self._chunks, " ".join(some))
+            parts = np.array([1 if chunk.isalpha() else len(_APART.sub(r" \1 ", chunk).split()) for chunk in some])
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) == parts.sum():
+                cuts = np.concatenate([[0], ends[np.cumsum(parts) - 1]]) * ids.itemsize
+                raw = ids.tobytes()
+                found = [raw[lo:hi] for lo, hi in zip(cuts.tolist(), cuts[1:].tolist())]
+            else:
+                found = [self._encode(self._chunks, chunk).tobytes() for chunk in some]
+            self._new.update(zip(some, found))
+        room = CACHE_WORDS - len(self)
+        short = (item for item in self._new.items() if len(item[0]) <= _LONG_WORD)
+        self.update(itertools.islice(short, max(room, 0)))
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        chunked = [text.lower().split() if _PLAIN.fullmatch(text) and "<|" not in text else None for text in texts]
+        self._learn(list({chunk for chunks in chunked for chunk in chunks or () if chunk not in self}))
+        for text, chunks in zip(texts, chunked):
+            if chunks is None:
+                yield self._encode(self._tokenizer, text)
+            else:
+                yield np.frombuffer(b"".join(map(self.__getitem__, chunks)), "<u4")
 
 
 _CODERS: dict[str, WordTokenizer] = {}
@@ -101,8 +128,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             columns = [batch.column(n).to_pylist() for n in ("doc_id", "uid", "text")]
             for lo, hi, _, _ in text_blocks(batch.column(2)):
                 rows = []
-                for doc_id, uid, text in zip(*[c[lo:hi] for c in columns]):
-                    ids = np.append(coder(path).ids(text), np.array([end_id], "<u4"))
+                doc_ids, uids, texts = (c[lo:hi] for c in columns)
+                for doc_id, uid, ids in zip(doc_ids, uids, coder(path).ids(texts)):
+                    ids = np.append(ids, np.array([end_id], "<u4"))
                     for piece, start in enumerate(range(0, len(ids), capacity)):
                         part = ids[start : start + capacity]
                         rows.append((doc_id, uid, piece, start, len(part), zlib.crc32(part)))

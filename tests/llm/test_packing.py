@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -8,13 +9,17 @@ from tokenizers import Tokenizer
 from quarry.llm import packing as pk
 
 
-def test_tokens_are_the_tokenizers():
+def test_tokens_are_the_tokenizers(monkeypatch):
     path = pk.default_tokenizer()
     tokenizer = Tokenizer.from_file(path)
     texts = ["", "   ", "Don't STOP, it's 3.14!", "İstanbul Σας ²x a_b", "a\x1cb c\x85d\xa0e", "<|endoftext|> x",
              "été Straße", "日本語 ｆｕｌｌ é", "x" * 300, "!!'s'll ''re 12a3"]
-    for text in texts:
-        assert pk.coder(path).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    draw = random.Random(3)
+    texts += ["".join(draw.choices("ab éÉß's'll.d,;01</w><|x\t\n ÀŸİz-_#", k=draw.randint(0, 60))) for _ in range(2000)]
+    want = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in pk.WordTokenizer(path).ids(texts)] == want
+    monkeypatch.setattr(pk, "CACHE_WORDS", 5)
+    assert [ids.tolist() for ids in pk.WordTokenizer(path).ids(texts)] == want
 
 
 def check(rows, docs, capacity=pk.CAPACITY):
