@@ -1,89 +1,90 @@
-"""Metaphone codes (published rules of Lawrence Philips, 1990), at most four symbols.
+"""Metaphone codes (published rules of Lawrence Philips, 1990) as column functions.
 
-Spark has ``soundex`` but no ``metaphone``. The codes are computed once per distinct
-vocabulary term, in Arrow batches, and joined back by the caller.
+Spark has ``soundex`` but no ``metaphone``. A letter's sound depends on the original letters
+around it only, so every position is decided by itself and the sounds are joined. The caller
+codes each distinct vocabulary term once. Null stays null; a term without A-Z has an empty code.
 """
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_CODE = 4
+_VOWELS, _FRONT = list("AEIOU"), list("EIY")
+
+
+def _started(text: Column) -> Column:
+    """Word starts that are rewritten first."""
+    return (
+        F.when(F.substring(text, 1, 2).isin("KN", "GN", "PN", "WR"), F.substr(text, F.lit(2)))
+        .when(text.startswith("AE"), F.substr(text, F.lit(2)))
+        .when(text.startswith("X"), F.concat(F.lit("S"), F.substr(text, F.lit(2))))
+        .when(text.startswith("WH"), F.concat(F.lit("W"), F.substr(text, F.lit(3))))
+        .otherwise(text)
+    )
+
+
+def _sound(padded: Column, at: Column) -> Column:
+    """The sound of the letter at ``at``; ``padded`` has two blanks before the word and after it."""
+    def letter(offset: int) -> Column:
+        return F.substr(padded, at + offset, F.lit(1))
 
-# The published letter rules, tried in this order at each letter.
-# Text left of the letter is seen by look-behind, right of it by look-ahead.
-LETTER_RULES = [
-    ("repeated letter other than C", r"(?<=(?P<same>[^C]))(?P=same)", ""),
-    ("vowel at the start", r"(?<![A-Z])[AEIOU]", None),
-    ("other vowel", r"[AEIOU]", ""),
-    ("B after a final M", r"(?<=M)B(?![A-Z])", ""),
-    ("SCI, SCE, SCY", r"(?<=S)C(?=[EIY])", ""),
-    ("CIA", r"C(?=IA)", "X"),
-    ("soft C", r"C(?=[EIY])", "S"),
-    ("SCH", r"(?<=S)C(?=H)", "K"),
-    ("CH before a consonant at the start", r"(?<![A-Z])C(?=H[^AEIOU])", "K"),
-    ("CH", r"C(?=H)", "X"),
-    ("hard C", r"C", "K"),
-    ("DGE, DGI, DGY", r"DG(?=[EIY])", "J"),
-    ("D", r"D", "T"),
-    ("final GH", r"G(?=H(?![A-Z]))", ""),
-    ("GH before a consonant", r"G(?=H[^AEIOU])", ""),
-    ("final GN or GNED inside a word", r"(?<=[A-Z])G(?=N(?:ED)?(?![A-Z]))", ""),
-    ("soft G", r"(?<!G)G(?=[EIY])", "J"),
-    ("hard G", r"G", "K"),
-    ("H at the end or after C, G, P, S, T", r"H(?![A-Z])|(?<=[CGPST])H", ""),
-    ("H before a vowel", r"H(?=[AEIOU])", "H"),
-    ("other H", r"H", ""),
-    ("K after C", r"(?<=C)K", ""),
-    ("PH", r"P(?=H)", "F"),
-    ("Q", r"Q", "K"),
-    ("SH, SIO, SIA", r"S(?=H|IO|IA)", "X"),
-    ("TIA, TIO", r"T(?=IA|IO)", "X"),
-    ("TCH", r"T(?=CH)", ""),
-    ("TH", r"T(?=H)", "0"),
-    ("V", r"V", "F"),
-    ("W or Y before a vowel", r"[WY](?=[AEIOU])", None),
-    ("other W or Y", r"[WY]", ""),
-    ("X", r"X", "KS"),
-    ("Z", r"Z", "S"),
-    ("letters that stand for themselves", r"[FJKLMNPRST]|B", None),
-]
-# Word starts that are rewritten first.
-START_RULES = [
-    (r"^(?:KN|GN|PN|WR)", lambda m: m.group()[1]),
-    (r"^AE", "E"),
-    (r"^X", "S"),
-    (r"^WH", "W"),
-]
+    def pair() -> Column:
+        return F.substr(padded, at + 1, F.lit(2))
 
-_LETTERS = [(re.compile(pattern), out) for _, pattern, out in LETTER_RULES]
+    own, before, after, second = letter(0), letter(-1), letter(1), letter(2)
+    vowel, front, h = after.isin(_VOWELS), after.isin(_FRONT), after == "H"
+    h_consonant = h & ~second.isin(_VOWELS) & (second != " ")
+    silent = F.lit("")
+    c = (
+        F.when((before == "S") & front, silent)
+        .when(pair() == "IA", "X")
+        .when(front, "S")
+        .when((before == "S") & h, "K")
+        .when((before == " ") & h_consonant, "K")
+        .when(h, "X")
+        .otherwise("K")
+    )
+    g = (
+        F.when((before == "D") & (letter(-2) != "D") & front, silent)  # DGE, DGI, DGY: told by the D
+        .when(h & (second == " "), silent)
+        .when(h_consonant, silent)
+        .when((before != " ") & F.rtrim(F.substr(padded, at + 1)).isin("N", "NED"), silent)
+        .when(front, "J")
+        .otherwise("K")
+    )
+    t = F.when(pair().isin("IA", "IO"), "X").when(pair() == "CH", silent).when(h, "0").otherwise("T")
+    return (
+        F.when((own == before) & (own != "C"), silent)
+        .when(own.isin(_VOWELS), F.when(before == " ", own).otherwise(silent))
+        .when(own.isin(list("FJLMNR")), own)
+        .when(own == "B", F.when((before == "M") & (after == " "), silent).otherwise("B"))
+        .when(own == "C", c)
+        .when(own == "D", F.when((after == "G") & second.isin(_FRONT), "J").otherwise("T"))
+        .when(own == "G", g)
+        .when(own == "H", F.when(vowel & ~before.isin(list("CGPST")), "H").otherwise(silent))
+        .when(own == "K", F.when(before == "C", silent).otherwise("K"))
+        .when(own == "P", F.when(h, "F").otherwise("P"))
+        .when(own == "Q", "K")
+        .when(own == "S", F.when(h | pair().isin("IO", "IA"), "X").otherwise("S"))
+        .when(own == "T", t)
+        .when(own == "V", "F")
+        .when(own.isin("W", "Y"), F.when(vowel, own).otherwise(silent))
+        .when(own == "X", "KS")
+        .otherwise("S")  # Z
+    )
 
 
-def metaphone(word: str) -> str:
-    """Code of one word; characters outside A-Z carry no sound."""
-    text = re.sub(r"[^A-Z]", "", word.upper())
-    if len(text) == 1:
-        return text
-    for pattern, out in START_RULES:
-        rewritten = re.sub(pattern, out, text)
-        if rewritten != text:
-            text = rewritten
-            break
-    code, at = "", 0
-    while at < len(text) and len(code) < MAX_CODE:
-        for pattern, out in _LETTERS:
-            hit = pattern.match(text, at)
-            if hit:
-                code += hit.group() if out is None else out
-                at = hit.end()
-                break
-    return code[:MAX_CODE]
+def metaphone_code(term: str | Column, max_code: int = MAX_CODE) -> Column:
+    """Code of one word of at most ``max_code`` symbols; characters outside A-Z carry no sound."""
+    term = F.col(term) if isinstance(term, str) else term
+    text = F.regexp_replace(F.upper(term), "[^A-Z]", "")
+    padded = F.concat(F.lit("  "), _started(text), F.lit("  "))
 
+    def code(word: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(3), F.length(word) - 2), lambda at: _sound(word, at)), "")
 
-@F.pandas_udf(T.StringType())
-def metaphone_code(terms: pd.Series) -> pd.Series:
-    return terms.map(metaphone)
+    # As a lambda variable the padded word is evaluated once, not once per look at a letter.
+    coded = F.element_at(F.transform(F.array(padded), code), 1)
+    return F.when(F.length(text) < 2, text).otherwise(F.substring(coded, 1, max_code))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.functions import text
-from quarry.functions.phonetic import metaphone
+from quarry.functions.phonetic import metaphone_code
 from quarry.operators.fuzzy import expand, signature_table
 from quarry.scale import local_table
 
@@ -88,8 +88,18 @@ def test_tokens(spark):
     ("judge", "JJ"), ("xavier", "SFR"), ("nation", "NXN"), ("match", "MX"), ("physics", "FSKS"), ("white", "WT"),
     ("wright", "RT"), ("christmas", "KRST"), ("sign", "SN"), ("bigger", "BKR"), ("quick", "KK"), ("aeon", "EN"), ("a", "A"),
 ])
-def test_metaphone(word, code):
-    assert metaphone(word) == code
+def test_metaphone(spark, word, code):
+    words = spark.createDataFrame([(word,)], "w string")
+    assert words.select(metaphone_code("w")).first()[0] == code
+
+
+def test_metaphone_of_awkward_words(spark):
+    words = [None, "", "123", "é", "x", "dge", "ddge", "o'hara", "signed", "catherinegn", "Knightsbridge"]
+    coded = spark.createDataFrame([(w,) for w in words], "w string").select("w", metaphone_code("w").alias("c"), metaphone_code("w", 8).alias("long"))
+    assert [r.c for r in coded.collect()] == [None, "", "", "", "X", "J", "TJ", "OHR", "SNT", "K0RN", "NTSB"]
+    assert coded.where("w = 'Knightsbridge'").first().long == "NTSBRJ"
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_values_of_one_property_do_not_join_into_phrases(spark):
