@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.index import Index, scope_of
@@ -12,7 +12,26 @@ from quarry.operators.requests import CONSTRAINT, SCOPE, Requests, scopes
 from quarry.scale import lookup_join, materialize
 
 
-def clause_scores(matches: DataFrame) -> DataFrame:
+# What a reason tells: where a match was found, and what its score is made of.
+REASON = ["group_no", "constraint_no", "property_id", "ord", "term", "tf", "len", "df", "n_elements", "avg_len"]
+_NONE = "array<struct<group_no int, constraint_no int, property_id string, ord string, term string, tf bigint, len bigint, df bigint, n_elements bigint, avg_len double, contribution double>>"
+
+
+def _all(explain: bool) -> list[Column]:
+    """Reasons of rows whose scores add up."""
+    return [F.flatten(F.collect_list("why")).alias("why")] if explain else []
+
+
+def _why(explain: bool) -> list[str]:
+    return ["why"] if explain else []
+
+
+def _best(explain: bool, *ties: str) -> list[Column]:
+    """Reasons of the row with the best score."""
+    return [F.max_by("why", F.struct("score", *ties)).alias("why")] if explain else []
+
+
+def clause_scores(matches: DataFrame, explain: bool = False) -> DataFrame:
     """Fold match rows to one row per (constraint, element).
 
     Best vocabulary term per token, sum over the tokens of a clause, best property
@@ -22,31 +41,35 @@ def clause_scores(matches: DataFrame) -> DataFrame:
     element = ["doc_id", "ord"]
     detail = [*CONSTRAINT, "detail_no", "exact", "n_exact"]
     clause = [*detail, "item_no"]
-    tokens = matches.groupBy(*clause, "property_id", "token_no", *element).agg(F.max("score").alias("score"))
-    fields = tokens.groupBy(*clause, "property_id", *element).agg(F.sum("score").alias("score"))
-    best = fields.groupBy(*clause, *element).agg(F.max("score").alias("score"))
-    details = best.groupBy(*detail, *element).agg(F.sum("score").alias("score"))
+    if explain:
+        reason = F.struct(*REASON, F.col("score").alias("contribution"))
+        matches = matches.withColumn("why", F.array(reason).cast(_NONE))
+    tokens = matches.groupBy(*clause, "property_id", "token_no", *element).agg(
+        F.max("score").alias("score"), *_best(explain, *(["term"] if explain else [])))
+    fields = tokens.groupBy(*clause, "property_id", *element).agg(F.sum("score").alias("score"), *_all(explain))
+    best = fields.groupBy(*clause, *element).agg(F.max("score").alias("score"), *_best(explain, "property_id"))
+    details = best.groupBy(*detail, *element).agg(F.sum("score").alias("score"), *_all(explain))
     return (
         details.groupBy(*CONSTRAINT, "n_exact", *element)
-        .agg(F.sum("exact").alias("n_met"), F.sum("score").alias("score"))
+        .agg(F.sum("exact").alias("n_met"), F.sum("score").alias("score"), *_all(explain))
         .where("n_met >= n_exact")
-        .select(*CONSTRAINT, *element, "score")
+        .select(*CONSTRAINT, *element, "score", *_why(explain))
     )
 
 
-def group_hits(scored: DataFrame, groups: DataFrame, small: bool | None) -> DataFrame:
+def group_hits(scored: DataFrame, groups: DataFrame, small: bool | None, explain: bool = False) -> DataFrame:
     """Elements that meet enough constraints of one group, folded to documents.
 
     All counted constraints hold on the same element. At least one is needed even
     when the minimum is zero. Scores of the elements add up.
     """
     elements = scored.groupBy("search_id", "group_no", "doc_id", "ord").agg(
-        F.count_distinct("constraint_no").alias("n_met"), F.sum("score").alias("score")
+        F.count_distinct("constraint_no").alias("n_met"), F.sum("score").alias("score"), *_all(explain)
     )
     enough = lookup_join(
         elements, groups, ["search_id", "group_no"], ["doc_id"], small_fits=small
     ).where(F.col("n_met") >= F.greatest("minimum_matches", F.lit(1)))
-    return enough.groupBy("search_id", "group_no", "doc_id").agg(F.sum("score").alias("score"))
+    return enough.groupBy("search_id", "group_no", "doc_id").agg(F.sum("score").alias("score"), *_all(explain))
 
 
 FOLDS = {"sum": F.sum, "max": F.max, "mean": F.avg}
@@ -57,16 +80,16 @@ def fold_scores(matches: DataFrame, fold: str = "sum") -> DataFrame:
     return matches.groupBy("search_id", "doc_id").agg(F.round(FOLDS[fold]("score"), 6).alias("score"))
 
 
-def search_hits(grouped: DataFrame, live: DataFrame, small: bool | None) -> DataFrame:
+def search_hits(grouped: DataFrame, live: DataFrame, small: bool | None, explain: bool = False) -> DataFrame:
     """Documents that every group of a live search accepts, possibly on different elements."""
     docs = grouped.groupBy("search_id", "doc_id").agg(
-        F.count(F.lit(1)).alias("n_met"), F.sum("score").alias("score")
+        F.count(F.lit(1)).alias("n_met"), F.sum("score").alias("score"), *_all(explain)
     )
     wanted = live.where("n_groups > 0").select("search_id", "n_groups")
     return (
         lookup_join(docs, wanted, ["search_id"], ["doc_id"], small_fits=small)
         .where("n_met = n_groups")
-        .select("search_id", "doc_id", "score")
+        .select("search_id", "doc_id", "score", *_why(explain))
     )
 
 
@@ -105,19 +128,22 @@ def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     return normal.unionByName(kept)
 
 
-def compose(matches: DataFrame | None, req: Requests, live: DataFrame, index: Index) -> DataFrame:
-    """Hits (search_id, doc_id, score) of all searches.
+def compose(matches: DataFrame | None, req: Requests, live: DataFrame, index: Index, explain: bool = False) -> DataFrame:
+    """Hits (search_id, doc_id, score) of all searches; with ``explain`` also ``why``, the matches that made the score.
 
     The match rows are exchanged once, by search and document; every grouping
     above them reuses that partitioning.
     """
     parts = []
     if matches is not None:
+        if explain:  # searches without any text clause have no statistics
+            matches = matches.withColumns({c: F.lit(None) for c in REASON if c not in matches.columns})
         placed = matches.repartition("search_id", "doc_id")
-        grouped = group_hits(clause_scores(placed), req.groups, req.small)
-        parts.append(search_hits(grouped, live, req.small))
+        grouped = group_hits(clause_scores(placed, explain), req.groups, req.small, explain)
+        parts.append(search_hits(grouped, live, req.small, explain))
     if matches is None or "open" in req.features:
-        parts.append(all_of_set(live, index, req.small))
+        whole = all_of_set(live, index, req.small)
+        parts.append(whole.withColumn("why", F.array().cast(_NONE)) if explain else whole)
     hits = reduce(DataFrame.unionByName, parts)
     if "linking" in req.features:
         hits = within_linking(hits, req, index)

@@ -80,7 +80,7 @@ def normalized(clauses: DataFrame) -> DataFrame:
     )
 
 
-def fuzzy_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFrame:
+def fuzzy_matches(tokens: DataFrame, index: Index, small: bool | None, explain: bool = False) -> DataFrame:
     """Matches of every vocabulary term within the allowed edits of a token.
 
     A match weighs its BM25 score by one minus its edits per character.
@@ -103,7 +103,7 @@ def fuzzy_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFr
         [*SCOPE, "property_id", "term"], ["doc_id", "ord"], small_fits=small,
     )
     score = F.col("weight") * tf_norm(F.col("tf"), F.col("len"), F.col("avg_len"))
-    return hits.withColumn("score", score).select(*MATCH)
+    return hits.withColumn("score", score).select(*MATCH, *(EXPLAIN if explain else []))
 
 
 def phrase_matches(tokens: DataFrame, index: Index, small: bool | None) -> DataFrame:

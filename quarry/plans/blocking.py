@@ -9,7 +9,7 @@ the cuts below keep every row that can be among the best ``size``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -91,8 +91,16 @@ def question_expansions(questions: DataFrame, terms: DataFrame, fields: DataFram
     )
 
 
-def question_matches(expanded: DataFrame, postings: DataFrame) -> DataFrame:
-    """(question, profile, score) for contents that hold all tokens of a question."""
+def _why(explain: bool) -> list[str]:
+    return ["why"] if explain else []
+
+
+def _reasons(explain: bool) -> list[Column]:
+    return [F.flatten(F.collect_list("why")).alias("why")] if explain else []
+
+
+def question_matches(expanded: DataFrame, postings: DataFrame, explain: bool = False) -> DataFrame:
+    """(question, profile, score) for contents that hold all tokens of a question; with ``explain`` also ``why``."""
     entry = expanded.where("token_no = rarest").select(*QUESTION, "term", "n_tokens")
     candidates = (
         lookup_join(
@@ -104,27 +112,31 @@ def question_matches(expanded: DataFrame, postings: DataFrame) -> DataFrame:
     words = candidates.join(postings, [*FIELD, "profile"]).select(
         *QUESTION, "n_tokens", "profile", "term", "tf", "len"
     )
-    weights = expanded.select(*QUESTION, "term", "token_no", "weight", "avg_len")
+    weights = expanded.select(*QUESTION, "term", "token_no", "token", "distance", "weight", "avg_len")
+    reason = F.struct("property_id", "token", "term", "distance", "tf", "len", F.col("score").alias("contribution"))
+    best = F.max_by(F.array(reason), F.struct("score", "term")).alias("why")
     tokens = (
         words.join(weights, [*QUESTION, "term"])
         .withColumn("score", F.col("weight") * tf_norm(F.col("tf"), F.col("len"), F.col("avg_len")))
         .groupBy(*QUESTION, "n_tokens", "profile", "token_no")
-        .agg(F.max("score").alias("score"))
+        .agg(F.max("score").alias("score"), *([best] if explain else []))
     )
     return (
         tokens.groupBy(*QUESTION, "n_tokens", "profile")
-        .agg(F.count(F.lit(1)).alias("n_found"), F.sum("score").alias("score"))
+        .agg(F.count(F.lit(1)).alias("n_found"), F.sum("score").alias("score"), *_reasons(explain))
         .where("n_found = n_tokens")
-        .select(*QUESTION, "profile", "score")
+        .select(*QUESTION, "profile", "score", *_why(explain))
     )
 
 
-def block(blocks: DataFrame, typed_values: DataFrame, property_types: DataFrame, size: int) -> DataFrame:
+def block(blocks: DataFrame, typed_values: DataFrame, property_types: DataFrame, size: int, explain: bool = False) -> DataFrame:
     """Best ``size`` documents of each block.
 
     ``blocks`` has block_id, entity_type_id, property_id, term, any number of rows
     per block: terms and properties are alternatives and their scores add up. Blocks
-    without a term find nothing. Result: block_id, rn, entity_set_id, doc_id, score.
+    without a term find nothing. Result: block_id, rn, entity_set_id, doc_id, score; with
+    ``explain`` also ``why``: property, token, the term it matched, edits, tf, len and
+    contribution of every match that made the score.
     """
     kinds = property_types.where(F.col("datatype") == "String").select("property_id", "analyzer")
     spoken = kinds.where(F.col("analyzer") == text.METAPHONE).select("property_id")
@@ -157,12 +169,12 @@ def block(blocks: DataFrame, typed_values: DataFrame, property_types: DataFrame,
         .agg(F.sum("n").alias("n_elements"), (F.sum(F.col("len") * F.col("n")) / F.sum("n")).alias("avg_len"))
     )
     expanded = materialize(question_expansions(questions, terms, fields, phonetic), "question_terms")
-    matched = question_matches(expanded, postings)
+    matched = question_matches(expanded, postings, explain)
 
     answered = (
         matched.join(forms.select("questionnaire", *QUESTION), QUESTION)
         .groupBy("entity_type_id", "questionnaire", "profile")
-        .agg(F.round(F.sum("score"), 6).alias("score"))
+        .agg(F.round(F.sum("score"), 6).alias("score"), *_reasons(explain))
     )
     # A content beyond rank ``size`` has that many better contents, each with a better document.
     best = W.partitionBy("entity_type_id", "questionnaire").orderBy(F.desc("score"), "first_doc")
@@ -170,7 +182,7 @@ def block(blocks: DataFrame, typed_values: DataFrame, property_types: DataFrame,
         answered.join(shared.select("entity_type_id", "profile", "first_doc"), ["entity_type_id", "profile"])
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= size)
-        .select("entity_type_id", "questionnaire", "profile", "score")
+        .select("entity_type_id", "questionnaire", "profile", "score", *_why(explain))
     )
     # Within one content only its first ``size`` documents can be returned.
     first = W.partitionBy("entity_type_id", "profile").orderBy("doc_id")
@@ -185,13 +197,13 @@ def block(blocks: DataFrame, typed_values: DataFrame, property_types: DataFrame,
         ranked.join(members, ["entity_type_id", "profile"])
         .withColumn("rn", F.row_number().over(top))
         .where(F.col("rn") <= size)
-        .select("entity_type_id", "questionnaire", "rn", "entity_set_id", "doc_id", "score")
+        .select("entity_type_id", "questionnaire", "rn", "entity_set_id", "doc_id", "score", *_why(explain))
     )
     answers = materialize(answers, "answers")
     return lookup_join(
         asked.select("block_id", "entity_type_id", "questionnaire"), answers,
         ["entity_type_id", "questionnaire"], ["block_id"],
-    ).select("block_id", "rn", "entity_set_id", "doc_id", "score")
+    ).select("block_id", "rn", "entity_set_id", "doc_id", "score", *_why(explain))
 
 
 def per_entity_set(found: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ from quarry.operators.typing_ops import type_values
 from quarry.plans import catalog_search as cs
 from quarry.plans import property_tables as pt
 from quarry.plans.blocking import block
-from quarry.plans.entity_search import search
+from quarry.plans.entity_search import explained, search
 from quarry.scale import local_table, materialize, shared_path
 from quarry.workload import model as m
 from quarry.workload.ingesting import saved_objects
-from quarry.workload.predicate_queries import CUSTOMER_FIELDS, DOCUMENT_FIELDS, SEGMENTS, constraint_rows, linking_sets, simple
+from quarry.workload.predicate_queries import (
+    CUSTOMER_FIELDS, DOCUMENT_FIELDS, PART_FIELDS, SEGMENTS, constraint_rows, linking_sets, simple,
+)
 from quarry.workload.registry import query
 from quarry.workload.sql import (
     BM25, CUSTOMER_TOK, DOC_SET, DOC_TOK, ELEMENTS, auto, haversine, letters, osa, part_tok, words,
@@ -55,6 +57,24 @@ def entity_search(spark, sf_dir):
     return search(req, m.document_index(spark, sf_dir)).select("search_id", "rn", "doc_id", "score", "total_hits")
 
 
+@query("E13_explain_search", f"""
+    WITH {part_tok(kind_standard=True)}, {BM25},
+      f AS (SELECT doc_id, property_id, sum(s) AS fs FROM sc WHERE term IN ('small', 'ring') GROUP BY ALL),
+      b AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY fs DESC, property_id DESC) = 1),
+      h AS (SELECT p_brand AS search_id, doc_id, round(fs, 6) AS score FROM b JOIN part ON CAST(p_partkey AS VARCHAR) = doc_id),
+      {_page('h', 10)}
+    SELECT search_id, rn, doc_id, score, property_id, term, CAST(tf AS BIGINT) AS tf, CAST(len AS BIGINT) AS len, CAST(df AS BIGINT) AS df,
+      CAST(n AS BIGINT) AS n_elements, round(al, 6) AS avg_len, round(s, 6) AS contribution
+    FROM p JOIN b USING (doc_id) JOIN sc USING (doc_id, property_id) WHERE term IN ('small', 'ring')""")
+def explain_search(spark, sf_dir):
+    """Why each hit of a page has its score: only the better of name and type counts."""
+    searches = m.sets_of(spark, sf_dir, "part", "p_brand", "part").withColumn("max_hits", F.lit(10))
+    req = m.requests(searches, PART_FIELDS, constraints=[simple("small ring")])
+    return explained(req, m.part_index(spark, sf_dir, kind=STANDARD)).select(
+        "search_id", "rn", "doc_id", "score", "property_id", "term", "tf", "len", "df", "n_elements",
+        F.round("avg_len", 6).alias("avg_len"), F.round("contribution", 6).alias("contribution"))
+
+
 NATION_ROWS = "(SELECT CAST(n_nationkey AS VARCHAR) AS search_id, n_nationkey FROM nation)"
 
 
@@ -201,6 +221,29 @@ def blocking_customers(spark, sf_dir):
     return block(blocks, type_values(m.customer_values(spark, sf_dir), props), props, size=3)
 
 
+@query("E13_explain_blocking", f"""
+    WITH {part_tok(kind=False)}, {BM25},
+      q AS (SELECT p_name, unnest({words('p_name')}) AS token FROM (SELECT DISTINCT p_name FROM part)),
+      v AS (SELECT DISTINCT term FROM sc), k AS (SELECT DISTINCT token FROM q),
+      x AS (SELECT token, term, damerau_levenshtein(token, term) AS d FROM k JOIN v ON damerau_levenshtein(token, term) <=
+        CASE WHEN length(token) < 3 THEN 0 WHEN length(token) <= 5 THEN 1 ELSE 2 END),
+      m AS (SELECT q.p_name, doc_id, token, term, d, tf, len, idf * (1 - d / least(length(token), length(term))) * tfn AS s
+        FROM q JOIN x USING (token) JOIN sc USING (term)),
+      t AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY p_name, doc_id, token ORDER BY s DESC, term DESC) = 1),
+      n AS (SELECT p_name, count(*) AS n FROM q GROUP BY ALL),
+      h AS (SELECT p_name, doc_id, round(sum(s), 6) AS score FROM t JOIN n USING (p_name) GROUP BY p_name, doc_id, n HAVING count(*) = n),
+      r AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY score DESC, doc_id) AS rn FROM h)
+    SELECT CAST(p.p_partkey AS VARCHAR) AS block_id, CAST(rn AS INT) AS rn, doc_id, score, token, term, CAST(d AS INT) AS distance,
+      tf, CAST(len AS BIGINT) AS len, round(s, 6) AS contribution
+    FROM part p JOIN r USING (p_name) JOIN t USING (p_name, doc_id) WHERE rn <= 5""")
+def explain_blocking(spark, sf_dir):
+    """Why each of the best five was found: the term that every word of the asked name met."""
+    found = block(*_part_blocks(spark, sf_dir, STANDARD), size=5, explain=True)
+    return found.select("block_id", "rn", "doc_id", "score", F.inline("why")).select(
+        "block_id", "rn", "doc_id", "score", "token", "term", F.col("distance").cast("int").alias("distance"),
+        F.col("tf").cast("long").alias("tf"), F.col("len").cast("long").alias("len"), F.round("contribution", 6).alias("contribution"))
+
+
 # --- catalog --------------------------------------------------------------------------
 
 

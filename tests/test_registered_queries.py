@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="supplied data not present")
 # One of each family; all of them are compared by the driver.
 SAMPLE = ["A1_typed_values", "B4_shingles", "B8_analyzer_per_property", "C3_upsert_entities", "C12_rebuild_entity_set_catalog",
-          "D4_phrase_search", "D9_geo_polygon", "D16_boolean_composition", "E5_sort_by_distance", "E9_sub_searches",
+          "D4_phrase_search", "D9_geo_polygon", "D16_boolean_composition", "E5_sort_by_distance", "E9_sub_searches", "E13_explain_search",
           "F1_linked_entity_search", "F2_blocking", "J6_filters_above_join"]
 IDS = ([f"A{n}" for n in range(1, 5)] + [f"B{n}" for n in range(1, 9)] + [f"C{n}" for n in range(1, 19)]
        + [f"D{n}" for n in range(1, 25)] + [f"E{n}" for n in range(1, 14)] + [f"F{n}" for n in range(1, 7)]
