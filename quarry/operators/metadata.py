@@ -194,3 +194,12 @@ OTHER_FIELDS = ["type.name", "type.namespace"]
 
 def searched_fields(kind: str) -> list[str]:
     return COMMON_FIELDS + KIND_FIELDS.get(kind, OTHER_FIELDS)
+
+
+def searched_fields_of(kind: Column) -> Column:
+    """``searched_fields`` of a column of kinds."""
+    fields = {k: F.array(*map(F.lit, searched_fields(k))) for k in KIND_FIELDS}
+    chosen = F.array(*map(F.lit, COMMON_FIELDS + OTHER_FIELDS))
+    for k, named in fields.items():
+        chosen = F.when(kind == k, named).otherwise(chosen)
+    return chosen

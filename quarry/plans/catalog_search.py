@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quarry import schemas
 from quarry.functions import text
 from quarry.operators.index import Index, build_index
-from quarry.operators.metadata import field_values, searched_fields
+from quarry.operators.metadata import field_values, searched_fields, searched_fields_of
 from quarry.operators.rank import page, sort_keys, totals
 from quarry.operators.requests import Requests
 from quarry.operators.typing_ops import type_values
@@ -69,21 +69,47 @@ def _constraint(sid: str, number: int, search_type: str, term: str | None, fuzzy
     return tuple(given.get(name) for name in schemas.CONSTRAINTS.fieldNames())
 
 
-def object_requests(spark: SparkSession, asked: list[tuple[str, str, str, int, int]], fields=None) -> Requests:
-    """(search id, kind, term, start, size) searches: the marked term in any field of the kind."""
+OBJECT_SEARCH = T.StructType(
+    [
+        T.StructField("search_id", T.StringType()), T.StructField("kind", T.StringType()),
+        T.StructField("term", T.StringType()),
+        T.StructField("start", T.IntegerType()), T.StructField("max_hits", T.IntegerType()),
+    ]
+)
+
+
+def _filled(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, null where ``df`` has none."""
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ])
+
+
+def object_requests_of(asked: DataFrame, fields: list[str] | None = None) -> Requests:
+    """A table of searches (``OBJECT_SEARCH``), any kinds together: the marked term in any field of its kind."""
+    allowed = F.array(*map(F.lit, fields)) if fields else searched_fields_of(F.col("kind"))
+    group = asked.select("search_id", F.lit(0).alias("group_no"), F.lit(1).alias("minimum_matches"))
+    terms = asked.select(
+        "search_id", F.col("term").alias("search_term"), F.lit(0).alias("group_no"), F.lit(0).alias("constraint_no"),
+        F.lit("simple").alias("search_type"), F.lit(True).alias("fuzzy"))
+    searches = asked.withColumns({
+        "request_id": F.col("search_id"), "request_no": F.lit(0), "entity_set_id": F.col("kind"), "entity_type_id": F.col("kind"),
+        "linking": F.lit(False), "sort_type": F.lit("score"), "descending": F.lit(True),
+    })
     return Requests.of(
-        spark,
-        searches=_searches(spark, [(s, k, b, n) for s, k, _, b, n in asked]),
-        authorized=local_table(
-            spark, [(s, f) for s, k, *_ in asked for f in (fields or searched_fields(k))], schemas.AUTHORIZED
-        ),
-        groups=local_table(spark, [(s, 0, 1) for s, *_ in asked], schemas.SEARCH_GROUPS),
-        constraints=local_table(
-            spark, [_constraint(s, 0, "simple", t, True) for s, _, t, *_ in asked], schemas.CONSTRAINTS
-        ),
+        asked.sparkSession,
+        searches=_filled(searches, schemas.SEARCHES),
+        authorized=asked.select("search_id", F.explode(allowed).alias("property_id")),
+        groups=group,
+        constraints=_filled(terms, schemas.CONSTRAINTS),
     )
 
 
+def object_requests(spark: SparkSession, asked: list[tuple[str, str, str, int, int]], fields=None) -> Requests:
+    """(search id, kind, term, start, size) searches: the marked term in any field of the kind."""
+    return object_requests_of(local_table(spark, asked, OBJECT_SEARCH), fields)
+
+
 def _with_documents(hits: DataFrame, req: Requests, index: Index | None, docs: DataFrame) -> DataFrame:
     """Pages joined to the documents they name (``docs`` has doc_id and source columns)."""
     hits = materialize(hits, "hits")

@@ -270,6 +270,67 @@ def object_search(spark, sf_dir):
         "search_id", "rn", "doc_id", "score", "total_hits", F.get_json_object("doc", "$.title").alias("title"))
 
 
+# Objects of all other kinds, made of the smaller tables.
+OTHER_OBJECTS = f"""
+    doc AS (
+      SELECT 'App' AS kind, c_mktsegment AS id, {{'id': [c_mktsegment], 'title': [max_by(c_name, c_custkey)], 'name': [c_mktsegment]}} AS f
+        FROM customer WHERE c_acctbal >= 0 GROUP BY c_mktsegment),
+    coll AS (
+      SELECT 'EntityTypeCollection' AS kind, CAST(r_regionkey AS VARCHAR) AS id, r_name AS title, r_name AS type_name,
+        list(CAST(n_nationkey AS VARCHAR)) AS t_id, list(n_name) AS t_name
+        FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL),
+    cell AS (
+      SELECT kind, id, 'id' AS p, id AS v FROM doc UNION ALL SELECT kind, id, 'title', f.title[1] FROM doc UNION ALL SELECT kind, id, 'name', f.name[1] FROM doc
+      UNION ALL SELECT kind, id, 'id', id FROM coll UNION ALL SELECT kind, id, 'title', title FROM coll UNION ALL SELECT kind, id, 'type.name', type_name FROM coll
+      UNION ALL SELECT kind, id, 'template.id', unnest(t_id) FROM coll UNION ALL SELECT kind, id, 'template.name', unnest(t_name) FROM coll
+      UNION ALL SELECT 'EntitySetCollection', CAST(n_nationkey AS VARCHAR), p, v FROM (SELECT n_nationkey,
+        unnest(['id', 'name', 'contacts', 'contacts', 'organizationId']) AS p,
+        unnest([CAST(n_nationkey AS VARCHAR), n_name, 'desk', r_name, CAST(r_regionkey AS VARCHAR)]) AS v
+        FROM nation JOIN region ON n_regionkey = r_regionkey)),
+    tok AS (SELECT kind || ' ' || id AS doc_id, '0' AS ord, kind || ' ' || p AS property_id, unnest({words('v')}) AS term FROM cell)"""
+
+
+@query("F3_search_of_kinds", f"""
+    WITH {OTHER_OBJECTS}, {BM25},
+      q AS (SELECT DISTINCT 'App' AS kind, 'app ' || c_mktsegment AS search_id, lower(substr(c_mktsegment, 2)) AS token FROM customer
+        UNION ALL SELECT kind, lower(kind) || ' ' || r_name, lower(split_part(substr(r_name, 2), ' ', 1)) FROM region,
+          (VALUES ('EntityTypeCollection'), ('EntitySetCollection')) v(kind)
+        UNION ALL SELECT 'EntityTypeCollection', 'nation ' || n_name, lower(split_part(n_name, ' ', 1)) FROM nation),
+      x AS (SELECT search_id, doc_id, property_id, max(idf * (1 - damerau_levenshtein(token, term) / least(length(token), length(term))) * tfn) AS s
+        FROM q JOIN sc ON starts_with(property_id, kind || ' ') AND damerau_levenshtein(token, term) <=
+          CASE WHEN length(token) < 3 THEN 0 WHEN length(token) <= 5 THEN 1 ELSE 2 END GROUP BY ALL),
+      h AS (SELECT search_id, split_part(doc_id, ' ', 2) AS doc_id, round(max(s), 6) AS score FROM x GROUP BY ALL), {_page('h', 4)}
+    SELECT * FROM p""")
+def search_of_kinds(spark, sf_dir):
+    """Apps and collections, asked by a table of searches of several kinds at once."""
+    region, nation = m.table(spark, sf_dir, "region"), m.table(spark, sf_dir, "nation")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    text_of = lambda c: F.col(c).cast("string")
+    of_types = places.groupBy("r_regionkey", "r_name").agg(F.collect_list(
+        F.struct(text_of("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("template"))
+    of_types = of_types.select(
+        F.lit("EntityTypeCollection").alias("kind"), text_of("r_regionkey").alias("id"),
+        F.to_json(F.struct(text_of("r_regionkey").alias("id"), F.col("r_name").alias("title"),
+                           F.struct(F.col("r_name").alias("name")).alias("type"), "template")).alias("doc"))
+    of_sets = places.select(
+        F.lit("EntitySetCollection"), text_of("n_nationkey"),
+        F.to_json(F.struct(text_of("n_nationkey").alias("id"), F.col("n_name").alias("name"),
+                           F.array(F.lit("desk"), "r_name").alias("contacts"), text_of("r_regionkey").alias("organizationId"))))
+    apps = saved_objects(spark, sf_dir).where("kind = 'App'").select("kind", "id", "doc")
+    objects = materialize(apps.union(of_types).union(of_sets), "objects_of_kinds")
+
+    segments = m.table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+    cut = F.split(F.substr(F.col("r_name"), F.lit(2)), " ")[0]
+    asked = segments.select(
+        F.concat(F.lit("app "), "c_mktsegment").alias("search_id"), F.lit("App").alias("kind"), F.expr("substr(c_mktsegment, 2)").alias("term"))
+    for kind in ("EntityTypeCollection", "EntitySetCollection"):
+        asked = asked.union(region.select(F.concat(F.lit(kind.lower() + " "), "r_name"), F.lit(kind), cut))
+    asked = asked.union(nation.select(
+        F.concat(F.lit("nation "), "n_name"), F.lit("EntityTypeCollection"), F.split("n_name", " ")[0]))
+    req = cs.object_requests_of(asked.withColumns({"start": F.lit(0), "max_hits": F.lit(4)}))
+    return cs.object_search(req, cs.catalog_index(objects), objects).select("search_id", "rn", "doc_id", "score", "total_hits")
+
+
 @query("F4_name_search", f"""
     WITH h AS (SELECT q AS search_id, CAST(p_partkey AS VARCHAR) AS doc_id, 2.0 AS score FROM part, (VALUES ('a', '13', 'wid|bol'), ('b', 'ran', 'gi.m')) v(q, ns, nm)
       WHERE len(list_filter({words('p_brand')}, lambda t: regexp_full_match(t, '.*' || ns || '.*'))) > 0
