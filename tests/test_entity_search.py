@@ -3,7 +3,7 @@
 import pytest
 from fixture_data import SET1, SET2, index, request, simple
 
-from quarry.plans.entity_search import find, search
+from quarry.plans.entity_search import explained, find, search
 
 
 @pytest.fixture(scope="module")
@@ -152,3 +152,15 @@ def test_large_request_tables_give_the_same_hits(spark, idx):
     expected = docs(req, idx)
     req.small = False
     assert docs(req, idx) == expected == {"e1", "e2", "e3"}
+
+
+@pytest.mark.parametrize("constraints", [
+    [simple("polcie", fuzzy=True)], [GEO], [simple('police "police officer"'), {**GEO, "constraint_no": 1}], [],
+])
+def test_reasons_add_up_to_the_score(spark, idx, constraints):
+    req = request(spark, constraints, groups=((0, 1),) if constraints else ())
+    pages, rows = search(req, idx).collect(), explained(req, idx).collect()
+    assert {(r.search_id, r.rn, r.doc_id, r.score) for r in rows} == {(r.search_id, r.rn, r.doc_id, r.score) for r in pages}
+    for hit in pages:
+        parts = [r.contribution or 0.0 for r in rows if (r.search_id, r.doc_id) == (hit.search_id, hit.doc_id)]
+        assert sum(parts) == pytest.approx(hit.score, abs=1e-6)
