@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry import schemas
 from quarry.functions import text
 from quarry.operators.index import LINKED
-from quarry.scale import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, local_table
+from quarry.scale import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, local_table, shuffled
 
 CONSTRAINT = ["search_id", "group_no", "constraint_no"]
 CLAUSE = [*CONSTRAINT, "detail_no", "exact", "n_exact", "item_no"]
@@ -108,10 +108,18 @@ class Requests:
             measured["n"] <= BROADCAST_MAX_ROWS and (measured["bytes"] or 0) <= BROADCAST_MAX_BYTES
         )
         self.max_rank = measured["rank"] or 0
+        if not self.small:
+            # Rows unfolded per search are far more than Spark guesses from the searches' files.
+            for name in ("searches", "groups", "constraints", "details", "authorized", "linking"):
+                setattr(self, name, self.sized(getattr(self, name)))
         # Pages cannot hold more rows than were asked for.
         self.small_pages = self.small and (measured["page_rows"] or 0) <= BROADCAST_MAX_ROWS
         self.features = {word for mix in measured["features"] for word in mix.split()}
 
+    def sized(self, df: DataFrame) -> DataFrame:
+        """A table made of the request tables: never broadcast where those are large."""
+        return df if self.small else shuffled(df)
+
 
 def sub_searches(requests: DataFrame, entity_types: DataFrame) -> DataFrame:
     """One search per entity set of a request, numbered in request order.
@@ -180,7 +188,7 @@ def live_searches(req: Requests) -> DataFrame:
     dead = req.groups.join(alive, ["search_id", "group_no"], "left_anti").select("search_id")
     counts = req.groups.groupBy("search_id").agg(F.size(F.collect_set("group_no")).cast("bigint").alias("n_groups"))
     return (
-        allowed.join(dead, "search_id", "left_anti")
+        allowed.join(req.sized(dead), "search_id", "left_anti")
         .join(counts, "search_id", "left")
         .withColumn("n_groups", F.coalesce("n_groups", F.lit(0).cast("bigint")))
     )
@@ -208,7 +216,7 @@ def text_clauses(req: Requests, live: DataFrame, property_types: DataFrame) -> D
         needed = mine.groupBy(*CONSTRAINT).agg(F.count_if("exact_match").alias("n_exact"))
         details = (
             req.constraints.where(F.col("search_type") == "advanced").select(*CONSTRAINT)
-            .join(mine, CONSTRAINT).join(needed, CONSTRAINT)
+            .join(mine, CONSTRAINT).join(req.sized(needed), CONSTRAINT)
             .select(
                 *CONSTRAINT, "detail_no", F.col("exact_match").cast("int").alias("exact"), "n_exact",
                 "property_id", F.col("search_term").alias("query"),

@@ -75,11 +75,11 @@ def settle(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     """Compute a request-side table once; say whether it is small.
 
     It is written, measured as written, and only then fetched: up to the broadcast bounds it
-    becomes a local table of known size.
+    becomes a local table of known size. A larger one is never broadcast.
     """
     written = materialize(df, name)
     if not fits(written):
-        return written, False
+        return shuffled(written), False
     return df.sparkSession.createDataFrame(written.toArrow(), df.schema), True
 
 
@@ -106,6 +106,11 @@ def pushed_values(lookup: DataFrame, columns: list[str]) -> Column | None:
     return condition
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for joins that must not broadcast it, whatever Spark guesses of its size."""
+    return df.hint("merge")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -122,7 +127,9 @@ def lookup_join(
     per key: rows of ``big`` go to a slice by the hash of ``spread_by`` and the lookup rows are
     repeated per slice, so a key that holds a third of ``big`` is shared by ``salts`` tasks.
     Where ``spread_by`` lies inside the keys a slice would not split anything: then the plain
-    join does, and adaptive execution splits what is skewed.
+    join does, and adaptive execution splits what is skewed. Both are held to a merge join: Spark
+    guesses a table's size from its compressed files and takes no notice of the slices, so it would
+    fetch millions of lookup rows to the driver to broadcast them.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti`` (seen from ``big``).
     """
     if small_fits is None:
@@ -131,8 +138,8 @@ def lookup_join(
     if small_fits:
         return big.join(F.broadcast(small), keys, how)
     if set(spread_by) <= set(keys):
-        return big.join(small, keys, how)
-    sliced = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return big.join(shuffled(small), keys, how)
+    sliced = shuffled(small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     spread = big.withColumn("_slice", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     return spread.join(sliced, [*keys, "_slice"], how).drop("_slice")
 

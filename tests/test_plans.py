@@ -145,3 +145,24 @@ def test_many_searches_with_different_questions(spark, idx):
                   for n in names) for s, t in terms.items()], schemas.CONSTRAINTS))
     got = {r.search_id: (r.doc_id, r.total_hits) for r in search(req, idx).collect()}
     assert got["a"] == ("e2", 2) and got["b"] == ("e1", 1) and got["d"][1] == 2 and "c" not in got
+
+
+@pytest.mark.parametrize("spread_by", [["n"], ["k"]])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_lookup_measured_as_large_is_never_broadcast(spark, spread_by, how):
+    # Spark guesses both files to be far below its own bound, slices or not.
+    big = materialize(spark.range(400).selectExpr("id % 40 as k", "id as n"), "big")
+    small = materialize(spark.range(30).selectExpr("id as k"), "small")
+    joined = lookup_join(big, small, ["k"], spread_by, small_fits=False, how=how)
+    assert "Broadcast" not in plan(joined) and "SortMergeJoin" in plan(joined)
+    assert joined.count() == {"inner": 300, "left": 400, "left_semi": 300, "left_anti": 100}[how]
+
+
+def test_large_request_tables_are_not_broadcast(spark, idx, monkeypatch):
+    from quarry.operators import requests
+
+    monkeypatch.setattr(requests, "BROADCAST_MAX_ROWS", 0)
+    req = request(spark, [simple("police officer")])
+    assert "Broadcast" not in plan(requests.live_searches(req))
+    # Property types are a small table of their own.
+    assert plan(requests.text_clauses(req, req.searches, idx.property_types)).count("BroadcastHashJoin") == 1
