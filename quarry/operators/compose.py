@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.index import Index, scope_of
 from quarry.operators.requests import CONSTRAINT, SCOPE, Requests, scopes
-from quarry.scale import lookup_join, materialize
+from quarry.scale import lookup_join, materialize, shuffled
 
 
 # What a reason tells: where a match was found, and what its score is made of.
@@ -115,7 +115,8 @@ def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
         .groupBy("entity_type_id", "doc_id")
         .agg(F.collect_set("elem_entity_set_id").alias("sets"))
     )
-    within = linked.join(sources, ["entity_type_id", "doc_id"]).select(
+    # They grow with the elements, whose stored file says little of their size.
+    within = linked.join(shuffled(sources), ["entity_type_id", "doc_id"]).select(
         *hits.columns, F.explode("sets").alias("normal_entity_set_id")
     )
     kept = (

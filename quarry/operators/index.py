@@ -88,11 +88,28 @@ def with_codes(postings: DataFrame, phonetic_properties: DataFrame) -> DataFrame
     return postings.unionByName(coded)
 
 
-def build_postings(typed_values: DataFrame, phonetic_properties: DataFrame | None = None) -> DataFrame:
+# Text and values of one task while postings are built: tokens take many times the room of their text.
+TASK_BYTES, TASK_VALUES = 4 << 20, 100_000
+
+
+def posting_tasks(typed_values: DataFrame) -> int:
+    """Over how many tasks the stored values are dealt, so that none gets more the more there are."""
+    measured = typed_values.where(F.col("datatype") == "String").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes")
+    ).first()
+    cores = typed_values.sparkSession.sparkContext.defaultParallelism
+    return max(cores, -(-measured["bytes"] // TASK_BYTES), -(-measured["n"] // TASK_VALUES))
+
+
+def build_postings(
+    typed_values: DataFrame, phonetic_properties: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
     """Postings of all text properties.
 
     The raw values are exchanged once, by element; lengths, term counts and
     positions are then computed inside the partitions without another shuffle.
+    ``tasks`` (see ``posting_tasks``) bounds what a partition holds: left to its bytes it would
+    grow with the table, and its tokens would be sorted on disk.
     """
     values = (
         typed_values.where(F.col("datatype") == "String")
@@ -100,7 +117,7 @@ def build_postings(typed_values: DataFrame, phonetic_properties: DataFrame | Non
             "entity_type_id", scope_of(F.col("entity_set_id")).alias("scope"), "doc_id", "ord",
             "property_id", "value_no", "value", "datatype", "analyzer",
         )
-        .repartition("doc_id", "ord")
+        .repartition(*([tasks] if tasks else []), "doc_id", "ord")
     )
     tokens = base_tokens(values, phonetic_properties is not None)
     at = F.col("value_no") * F.lit(VALUE_GAP)
@@ -207,15 +224,16 @@ def build_index(
         # Typed once; every other table reads the stored values.
         typed_values = materialize(clustered(typed_values, "values"), "values")
         elements = materialize(clustered(elements, "elements"), "elements")
-    postings = build_postings(typed_values, spoken if phonetic else None)
+    postings = build_postings(typed_values, spoken if phonetic else None, posting_tasks(typed_values) if keep else None)
     tables = {"typed_terms": typed_terms(typed_values), "points": points(typed_values)}
     if keep:
-        postings = materialize(clustered(materialize(postings, "unsorted"), "postings"), "postings")
+        by_element = materialize(postings, "unsorted")
+        postings = materialize(clustered(by_element, "postings"), "postings")
         tables = {name: materialize(clustered(table, name), name) for name, table in tables.items()}
     stats = term_stats(postings)
     if keep:
         stats = materialize(clustered(stats, "term_stats"), "term_stats")
-    tables |= {"postings": postings, "term_stats": stats, "field_stats": field_stats(postings), "signatures": signature_table(_spread(stats) if keep else stats)}
+    tables |= {"postings": postings, "term_stats": stats, "field_stats": field_stats(by_element if keep else postings), "signatures": signature_table(_spread(stats) if keep else stats)}
     if keep:
         tables |= {name: materialize(clustered(tables[name], name), name) for name in ("signatures", "field_stats")}
     return Index(values=typed_values, elements=elements, property_types=property_types, phonetic=phonetic, **tables)

@@ -166,3 +166,17 @@ def test_large_request_tables_are_not_broadcast(spark, idx, monkeypatch):
     assert "Broadcast" not in plan(requests.live_searches(req))
     # Property types are a small table of their own.
     assert plan(requests.text_clauses(req, req.searches, idx.property_types)).count("BroadcastHashJoin") == 1
+
+
+def test_tasks_of_the_index_build_follow_the_text(spark, monkeypatch):
+    from quarry.operators import index as ix
+
+    keys = {"entity_type_id": "'t'", "entity_set_id": "'s'", "ord": "'0'", "property_id": "'p'", "datatype": "'String'", "analyzer": f"'{ix.text.STANDARD}'"}
+    values = materialize(spark.range(600).selectExpr(
+        "cast(id as string) as doc_id", "0 as value_no", "concat('word', id, ' of many') as value", *[f"{v} as {k}" for k, v in keys.items()]), "values")
+    monkeypatch.setattr(ix, "TASK_VALUES", 20)
+    tasks = ix.posting_tasks(values)
+    assert tasks == max(30, spark.sparkContext.defaultParallelism)
+    built = ix.build_postings(values, tasks=tasks)
+    assert built.rdd.getNumPartitions() == tasks
+    assert built.exceptAll(ix.build_postings(values)).isEmpty() and built.count() == 1800
