@@ -107,7 +107,8 @@ def build_postings(
     """Postings of all text properties.
 
     The raw values are exchanged once, by element; lengths, term counts and
-    positions are then computed inside the partitions without another shuffle.
+    positions are then computed inside the partitions without another shuffle
+    and without a row per token.
     ``tasks`` (see ``posting_tasks``) bounds what a partition holds: left to its bytes it would
     grow with the table, and its tokens would be sorted on disk.
     """
@@ -124,21 +125,28 @@ def build_postings(
     placed = F.transform(
         "terms",
         lambda t: F.named_struct(
-            F.lit("pos"), at + t.getField("pos"), F.lit("term"), t.getField("term")
+            F.lit("term"), t.getField("term"), F.lit("pos"), at + t.getField("pos")
         ),
     )
     fields = tokens.groupBy(*ELEMENT, "property_id").agg(
         F.sum(F.size("tokens")).cast("int").alias("len"),
-        F.flatten(F.collect_list(placed)).alias("terms"),
+        F.sort_array(F.flatten(F.collect_list(placed))).alias("placed"),
     )
-    postings = (
-        fields.select(*ELEMENT, "property_id", "len", F.inline("terms"))
-        .groupBy(*ELEMENT, "property_id", "len", "term")
-        .agg(
-            F.count(F.lit(1)).alias("tf"),
-            F.array_sort(F.collect_list("pos")).alias("positions"),
-        )
+    # An element's tokens are sorted in its own list and cut where the term changes: no row per token is grouped.
+    first = F.filter(
+        F.sequence(F.lit(1), F.size("placed")),
+        lambda i: (i == 1) | ~F.get("placed", i - 1).getField("term").eqNullSafe(F.get("placed", i - 2).getField("term")),
     )
+    cut = fields.where(F.size("placed") > 0).withColumn("first", first)
+
+    def word(i: Column, n: Column) -> Column:
+        tf = F.coalesce(F.get("first", n + 1), F.size("placed") + 1) - i
+        return F.named_struct(
+            F.lit("term"), F.get("placed", i - 1).getField("term"), F.lit("tf"), tf.cast("bigint"),
+            F.lit("positions"), F.slice("placed", i, tf).getField("pos"),
+        )
+
+    postings = cut.select(*ELEMENT, "property_id", "len", F.inline(F.transform("first", word)))
     if phonetic_properties is None:
         return postings
     return with_codes(postings, phonetic_properties)
@@ -202,9 +210,34 @@ def clustered(table: DataFrame, name: str, files: int | None = None) -> DataFram
     return table.repartitionByRange(*([files] if files else []), *keys).sortWithinPartitions(*keys)
 
 
-def _spread(table: DataFrame) -> DataFrame:
-    """A table of few bytes and much work a row over all cores: read by its bytes it would be one task."""
-    return table.repartition(max(table.sparkSession.sparkContext.defaultParallelism, len(table.inputFiles())))
+# Rows and text of one task while a table is sorted for searches: what it cannot hold is sorted on disk.
+SORT_ROWS, SORT_BYTES = 500_000, 64 << 20
+
+
+def sort_files(table: DataFrame) -> int | None:
+    """Over how many files a written table is sorted; None leaves a small one to Spark."""
+    text_bytes = F.coalesce(F.sum(F.octet_length("value")), F.lit(0)) if "value" in table.columns else F.lit(0)
+    measured = table.agg(F.count(F.lit(1)).alias("n"), text_bytes.alias("bytes")).first()
+    files = max(-(-measured["n"] // SORT_ROWS), -(-measured["bytes"] // SORT_BYTES))
+    return None if files <= 1 else max(files, table.sparkSession.sparkContext.defaultParallelism)
+
+
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """``table`` written as it is computed and again ``clustered``: ranges are found by looking at a table
+    twice, and it is not computed twice for that."""
+    unsorted = materialize(table, f"unsorted_{name}")
+    return materialize(clustered(unsorted, name, sort_files(unsorted)), name)
+
+
+# Terms of one task while signatures are built and sorted: each has some fifty.
+TASK_TERMS = 20_000
+
+
+def _spread(vocabulary: DataFrame) -> DataFrame:
+    """Terms over tasks of bounded number, at least one a core: read by its few bytes the table would be one
+    task, and over a fixed number of tasks the signatures would be sorted on disk."""
+    cores = vocabulary.sparkSession.sparkContext.defaultParallelism
+    return vocabulary.repartition(max(cores, -(-vocabulary.count() // TASK_TERMS)))
 
 
 def build_index(
@@ -222,17 +255,17 @@ def build_index(
     phonetic = not spoken.isEmpty()
     if keep:
         # Typed once; every other table reads the stored values.
-        typed_values = materialize(clustered(typed_values, "values"), "values")
+        typed_values = stored(typed_values, "values")
         elements = materialize(clustered(elements, "elements"), "elements")
     postings = build_postings(typed_values, spoken if phonetic else None, posting_tasks(typed_values) if keep else None)
     tables = {"typed_terms": typed_terms(typed_values), "points": points(typed_values)}
     if keep:
         by_element = materialize(postings, "unsorted")
-        postings = materialize(clustered(by_element, "postings"), "postings")
-        tables = {name: materialize(clustered(table, name), name) for name, table in tables.items()}
+        postings = materialize(clustered(by_element, "postings", sort_files(by_element)), "postings")
+        tables = {name: stored(table, name) for name, table in tables.items()}
     stats = term_stats(postings)
     if keep:
-        stats = materialize(clustered(stats, "term_stats"), "term_stats")
+        stats = stored(stats, "term_stats")
     tables |= {"postings": postings, "term_stats": stats, "field_stats": field_stats(by_element if keep else postings), "signatures": signature_table(_spread(stats) if keep else stats)}
     if keep:
         tables |= {name: materialize(clustered(tables[name], name), name) for name in ("signatures", "field_stats")}

@@ -180,3 +180,40 @@ def test_tasks_of_the_index_build_follow_the_text(spark, monkeypatch):
     built = ix.build_postings(values, tasks=tasks)
     assert built.rdd.getNumPartitions() == tasks
     assert built.exceptAll(ix.build_postings(values)).isEmpty() and built.count() == 1800
+
+
+def test_sorted_tables_and_signatures_are_dealt_by_what_they_hold(spark, monkeypatch):
+    from quarry.operators import index as ix
+
+    monkeypatch.setattr(ix, "SORT_ROWS", 100)
+    monkeypatch.setattr(ix, "TASK_TERMS", 30)
+    terms = spark.range(1200).selectExpr("'t' as entity_type_id", "'p' as property_id", "cast(id as string) as term", "id as df")
+    kept = ix.stored(terms, "term_stats")
+    assert len(kept.inputFiles()) == 12 and kept.exceptAll(terms).isEmpty() and kept.count() == 1200
+    assert ix._spread(kept).rdd.getNumPartitions() == 40
+    few = ix.stored(terms.limit(90), "term_stats")
+    assert ix.sort_files(few) is None and few.count() == 90
+
+
+def test_values_are_computed_once_before_they_are_sorted(spark):
+    from quarry.operators import index as ix
+
+    seen = spark.sparkContext.accumulator(0)
+    typed = spark.range(2000).selectExpr("'t' as entity_type_id", "'p' as property_id", "cast(id as string) as term", "id as df")
+    counted = typed.rdd.map(lambda r: seen.add(1) or r).toDF(typed.schema)
+    assert ix.stored(counted, "term_stats").count() == 2000 and seen.value == 2000
+
+
+def test_postings_group_no_row_per_token(spark):
+    from quarry.operators import index as ix
+
+    values = spark.createDataFrame(
+        [("d", 0, "to be or not to be"), ("d", 1, "be"), ("e", 0, "..."), ("f", 0, "To")], "doc_id string, value_no int, value string",
+    ).selectExpr("*", "'t' as entity_type_id", "'s' as entity_set_id", "'0' as ord", "'p' as property_id", "'String' as datatype", f"'{ix.text.STANDARD}' as analyzer")
+    built = ix.build_postings(values)
+    gap = ix.VALUE_GAP
+    assert sorted((r.doc_id, r.term, r.tf, r.len, r.positions) for r in built.collect()) == [
+        ("d", "be", 3, 7, [1, 5, gap]), ("d", "not", 1, 7, [3]), ("d", "or", 1, 7, [2]), ("d", "to", 2, 7, [0, 4]), ("f", "to", 1, 1, [0])]
+    # Values are grouped by element once; the tokens are not grouped again.
+    text = built._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate") == 1
