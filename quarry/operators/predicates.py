@@ -12,7 +12,7 @@ from quarry.operators.fuzzy import expand
 from quarry.operators.index import FIELD, Index, scope_of
 from quarry.operators.requests import CLAUSE, CONSTRAINT, SCOPE, Requests, scopes
 from quarry.operators.typing_ops import typed_key
-from quarry.scale import fits, lookup_join, materialize, pushed_values, settle
+from quarry.scale import fits, lookup_join, materialize, pushed_values, settle, shuffled, spread_join
 
 MATCH = [*CLAUSE, "property_id", "token_no", "doc_id", "ord", "score"]
 EXPLAIN = ["term", "tf", "len", "df", "n_elements", "avg_len"]
@@ -180,9 +180,9 @@ def _at_points(shapes: DataFrame, index_points: DataFrame, small: bool | None) -
     levels = sorted(r.level for r in shapes.select("level").distinct().where("level is not null").collect())
     cells = geo.cells_of_point(lat, lon, levels) if levels else F.lit(None).cast("array<struct<level:int,row:int,col:int>>")
     gridded = index_points.withColumn("cell", F.explode(cells))
-    met = lookup_join(
-        gridded, shapes, [*SCOPE, "property_id", "cell"], ["doc_id", "ord"], small_fits=small
-    )
+    keys, element = [*SCOPE, "property_id", "cell"], ["doc_id", "ord"]
+    # A cell is a key of few points, so large tables of shapes are not repeated for all of them.
+    met = lookup_join(gridded, shapes, keys, element, small_fits=True) if small else spread_join(gridded, shapes, keys, element)
     return met.where(geo.in_box(lat, lon))
 
 
@@ -244,10 +244,10 @@ def lists_with_all(asked: DataFrame, lists: DataFrame) -> DataFrame:
     rarest = lookup_join(each, counts, ["property_id"], ["search_id"], few, "left").groupBy("search_id").agg(
         F.min_by("property_id", F.struct(F.coalesce("n", F.lit(0)), "property_id")).alias("property_id"), F.min(F.coalesce("n", F.lit(0))).alias("n")
     )
-    entry = materialize(rarest.where("n > 0").join(wanted, "search_id").select("search_id", "property_id", "ids"), "entries")
+    entry = materialize(rarest.where("n > 0").join(shuffled(wanted), "search_id").select("search_id", "property_id", "ids"), "entries")
     met = lookup_join(held, entry, ["property_id"], ["entity_set_id"]).select("search_id", "entity_set_id", "ids")
     alone = met.where(F.size("ids") == 1).select("search_id", "entity_set_id")
-    more = met.where(F.size("ids") > 1).join(lists, "entity_set_id")
+    more = met.where(F.size("ids") > 1).join(shuffled(lists), "entity_set_id")
     return alone.unionByName(more.where(F.size(F.array_except("ids", "listed")) == 0).select("search_id", "entity_set_id")).distinct()
 
 

@@ -144,6 +144,30 @@ def lookup_join(
     return spread.join(sliced, [*keys, "_slice"], how).drop("_slice")
 
 
+HOT_ROWS, HOT_KEYS = 50_000, 1_000
+
+
+def spread_join(big: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
+    """Inner equi-join of a stored table to a large lookup table in which only hot keys are sliced.
+
+    ``lookup_join`` repeats every lookup row per slice, which for millions of unfolded rows costs more
+    than the join. Here the rows of ``big`` per key are counted first, so ``big`` is read twice; a key
+    with more than ``HOT_ROWS`` of them is cut into slices of about that many. There are at most
+    ``HOT_KEYS`` such keys: with more, the share that makes a key hot grows with the table.
+    """
+    counts = materialize(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+    share = max(HOT_ROWS, -(-(counts.agg(F.sum("_n")).first()[0] or 0) // HOT_KEYS))
+    hot = counts.where(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_slices"))
+
+    def sliced(table: DataFrame, slice_of: Column) -> DataFrame:
+        known = table.join(F.broadcast(hot), keys, "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
+        return known.withColumn("_slice", slice_of).drop("_slices")
+
+    spread = sliced(big, F.pmod(F.xxhash64(*spread_by), F.col("_slices")).cast("int"))
+    repeated = sliced(lookup, F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
+    return spread.join(shuffled(repeated), [*keys, "_slice"]).drop("_slice")
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A table of driver-side rows (searches, property types) with a size Spark knows."""
     columns = list(zip(*rows)) if rows else [[] for _ in schema]

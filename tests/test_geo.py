@@ -96,3 +96,32 @@ def test_small_circles_meet_only_points_of_their_cells(spark, monkeypatch):
     assert found == {(str(n), i) for n, (a, b) in enumerate(circles) for i, la, lo in pts if metres(la, lo, a, b) <= 1000}
     # A circle of 1 km lies in at most a dozen cells of some two kilometres: less than a fiftieth of the points each.
     assert met[-1].count() < 60 * len(pts) / 50
+
+
+def test_large_tables_of_shapes_are_sliced_for_hot_keys_only(spark, monkeypatch):
+    from quarry import scale
+
+    rng, pts, index = setup(spark)
+    circles = [(rng.uniform(-80, 80), rng.uniform(-180, 180), rng.choice([5, 300, 2500])) for _ in range(40)]
+    rows = [{"search_type": "geoDistance", "lat": a, "lon": b, "radius": float(r), "unit": "KILOMETERS"} for a, b, r in circles]
+    monkeypatch.setattr(scale.fits, "__defaults__", (4, scale.BROADCAST_MAX_BYTES))
+    for share in (1 << 30, 3):
+        monkeypatch.setattr(scale, "HOT_ROWS", share)
+        found = P.distance_matches(requests(spark, rows), index).select("search_id", "doc_id")
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text
+        got = found.collect()
+        assert len(got) == len(set(got)) and {tuple(r) for r in got} == {
+            (str(n), i) for n, (a, b, r) in enumerate(circles) for i, la, lo in pts if metres(la, lo, a, b) <= r * 1000}
+
+
+def test_spread_join_repeats_no_row_of_a_plain_key(spark, monkeypatch):
+    from quarry import scale
+
+    monkeypatch.setattr(scale, "HOT_ROWS", 100)
+    big = spark.range(1000).selectExpr("id", "case when id % 2 = 0 then 'hot' when id % 5 = 0 then null else cast(id % 50 as string) end k")
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3), ("gone", 4), (None, 5)], "k string, v int")
+    joined = scale.spread_join(big, lookup, ["k"], ["id"])
+    assert joined.columns == ["k", "id", "v"]
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, big.join(lookup, "k").collect()))
+    assert joined.count() == 2 * 500 + 20
