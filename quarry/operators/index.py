@@ -63,21 +63,24 @@ def base_tokens(values: DataFrame, phonetic: bool) -> DataFrame:
     return rows.withColumn("terms", terms)
 
 
-def with_codes(postings: DataFrame, phonetic_properties: DataFrame) -> DataFrame:
+def with_codes(postings: DataFrame, phonetic_properties: DataFrame, tasks: int | None = None) -> DataFrame:
     """Add the phonetic code of every term of a phonetic property, keeping the term.
 
-    Codes are computed once per distinct term, not per occurrence.
+    Codes are computed once per distinct term, not per occurrence. With ``tasks`` the postings
+    are written first, as they are read three times, and those with a code are dealt over that many
+    tasks; what is returned is then stored.
     """
+    if tasks:
+        postings = materialize(postings, "unsorted")
     spoken = lookup_join(postings, phonetic_properties, ["property_id"], ["doc_id"], how="left_semi")
-    codes = (
-        spoken.select("term")
-        .distinct()
-        .withColumn("code", metaphone_code("term"))
-        .where("code is not null and code <> '' and code <> term")
-    )
+    # Distinct terms are stored before they are coded: Spark would move the test of the codes, and with it
+    # the coding, in front of the grouping.
+    terms = materialize(spoken.select("term").distinct(), "spoken_terms")
+    codes = terms.withColumn("code", metaphone_code("term")).where("code is not null and code <> '' and code <> term")
     codes = materialize(codes, "codes")
+    heard = lookup_join(spoken, codes, ["term"], ["doc_id", "ord"])
     coded = (
-        lookup_join(spoken, codes, ["term"], ["doc_id", "ord"])
+        (heard.repartition(tasks, "doc_id", "ord") if tasks else heard)
         .groupBy(*ELEMENT, "property_id", "len", "code")
         .agg(
             F.sum("tf").alias("tf"),
@@ -85,7 +88,7 @@ def with_codes(postings: DataFrame, phonetic_properties: DataFrame) -> DataFrame
         )
         .withColumnRenamed("code", "term")
     )
-    return postings.unionByName(coded)
+    return postings.unionByName(materialize(coded, "coded") if tasks else coded)
 
 
 # Text and values of one task while postings are built: tokens take many times the room of their text.
@@ -110,7 +113,8 @@ def build_postings(
     positions are then computed inside the partitions without another shuffle
     and without a row per token.
     ``tasks`` (see ``posting_tasks``) bounds what a partition holds: left to its bytes it would
-    grow with the table, and its tokens would be sorted on disk.
+    grow with the table, and its tokens would be sorted on disk. With it and phonetic properties
+    the result is stored (see ``with_codes``).
     """
     values = (
         typed_values.where(F.col("datatype") == "String")
@@ -149,7 +153,7 @@ def build_postings(
     postings = cut.select(*ELEMENT, "property_id", "len", F.inline(F.transform("first", word)))
     if phonetic_properties is None:
         return postings
-    return with_codes(postings, phonetic_properties)
+    return with_codes(postings, phonetic_properties, tasks)
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -184,14 +188,15 @@ def points(typed_values: DataFrame) -> DataFrame:
     )
 
 
-# What searches ask each table for, in this order.
+# What searches ask each table for, in this order. Terms come first: they say most, and rows that differ
+# in their first letters are sorted without comparing the columns that are the same in all of them.
 CLUSTER_KEYS = {
-    "postings": ["property_id", "term", "doc_id"],
-    "typed_terms": ["property_id", "term", "doc_id"],
-    "term_stats": ["property_id", "term"],
-    "points": ["property_id", "lat", "lon"],
-    "elements": ["entity_set_id", "last_write", "doc_id"],
-    "values": ["property_id", "doc_id"],
+    "postings": ["term", "property_id", "entity_type_id", "doc_id"],
+    "typed_terms": ["term", "property_id", "entity_type_id", "doc_id"],
+    "term_stats": ["term", "property_id", "entity_type_id"],
+    "points": ["entity_type_id", "property_id", "lat", "lon"],
+    "elements": ["entity_type_id", "entity_set_id", "last_write", "doc_id"],
+    "values": ["entity_type_id", "property_id", "doc_id"],
 }
 
 
@@ -206,7 +211,7 @@ def clustered(table: DataFrame, name: str, files: int | None = None) -> DataFram
         return table.sortWithinPartitions("sig")
     if name not in CLUSTER_KEYS:
         return table
-    keys = ["entity_type_id", *CLUSTER_KEYS[name]]
+    keys = CLUSTER_KEYS[name]
     return table.repartitionByRange(*([files] if files else []), *keys).sortWithinPartitions(*keys)
 
 
@@ -260,7 +265,7 @@ def build_index(
     postings = build_postings(typed_values, spoken if phonetic else None, posting_tasks(typed_values) if keep else None)
     tables = {"typed_terms": typed_terms(typed_values), "points": points(typed_values)}
     if keep:
-        by_element = materialize(postings, "unsorted")
+        by_element = postings if phonetic else materialize(postings, "unsorted")
         postings = materialize(clustered(by_element, "postings", sort_files(by_element)), "postings")
         tables = {name: stored(table, name) for name, table in tables.items()}
     stats = term_stats(postings)

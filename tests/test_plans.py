@@ -217,3 +217,18 @@ def test_postings_group_no_row_per_token(spark):
     # Values are grouped by element once; the tokens are not grouped again.
     text = built._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Aggregate") == 1
+
+
+def test_values_are_tokenised_once_where_codes_are_added(spark):
+    from quarry.operators import index as ix
+
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.range(300).selectExpr(
+        "cast(id % 200 as string) as doc_id", "cast(id div 200 as int) as value_no", "concat('knight ', if(id % 2 = 0, 'night', 'smith'), ' schmidt') as value",
+        "'t' as entity_type_id", "'s' as entity_set_id", "'0' as ord", "'p' as property_id", "'String' as datatype", f"'{ix.text.METAPHONE}' as analyzer")
+    counted = rows.rdd.map(lambda r: seen.add(1) or r).toDF(rows.schema)
+    spoken = spark.createDataFrame([("p",)], "property_id string")
+    built = ix.build_postings(counted, spoken, tasks=5)
+    assert built.exceptAll(ix.build_postings(rows, spoken)).isEmpty() and built.count() == ix.build_postings(rows, spoken).count()
+    assert built.where("term = 'NFT' or term = 'NT' or term = 'SM0'").count() > 0
+    assert seen.value == 300
