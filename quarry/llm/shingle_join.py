@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import lookup, mix, numbered, text_blocks, text_of, word_hashes, words, written
+from quarry.llm.common import discard, lookup, mix, numbered, text_blocks, text_of, word_hashes, words, written
 from quarry.llm.components import components
 from quarry.scale import materialize
 
@@ -42,6 +42,7 @@ BLOCK_BITS = 6
 BAND_BITS = 2  # sizes within a factor of 4 share a band
 COMMON_BLOCKS = 1 << 16
 LARGE_BLOCK = 64  # only above it a second pivot is worth a round; every pair is compared either way
+VERIFIED_PARTS = 2
 CELL_ROWS = 1024
 CELL_WORDS = 128
 _BANDS = 31  # the low bits of a block name its band
@@ -224,16 +225,31 @@ def _alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
 
 
-def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    near = written(near.distinct(), "near")
-    ends = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    own = lookup(texts, materialize(ends, "ends"), "uid", "left_semi")
-    sets = materialize(own.mapInArrow(_emit_sets, "uid long, set array<long>"), "sets")
+def _verified(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``near`` whose ``sets`` are similar enough."""
     exact = near.join(sets.withColumnsRenamed({"uid": "a", "set": "set_a"}), "a").join(sets.withColumnsRenamed({"uid": "b", "set": "set_b"}), "b")
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     union = F.size("set_a") + F.size("set_b") - shared
-    return written(exact.filter(100 * shared >= percent * union).select("a", "b"), "links")
+    return exact.filter(100 * shared >= percent * union).select("a", "b")
+
+
+def _linked(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough.
+
+    The pairs are dealt by ``a`` and verified one part after the other: sets take more room than their
+    texts and travel twice, and what a part moved is dropped before the next one.
+    """
+    near = written(near.distinct(), "near")
+    links = None
+    for part in range(VERIFIED_PARTS):
+        some = near.filter(F.pmod(F.xxhash64("a"), F.lit(VERIFIED_PARTS)) == part)
+        ends = materialize(some.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "ends")
+        sets = materialize(lookup(texts, ends, "uid", "left_semi").mapInArrow(_emit_sets, "uid long, set array<long>"), "sets")
+        more = written(_verified(some, sets, percent), "links")
+        discard(sets, ends)
+        links = more if links is None else links.unionByName(more)
+    discard(near)
+    return links
 
 
 def _asked(pairs: DataFrame) -> DataFrame:
@@ -345,7 +361,9 @@ def _links(members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: i
     # First everyone meets the first row of its blocks.
     pivot = materialize(members.groupBy("block").agg(F.min("uid").alias("a")), "pivots")
     star = members.join(pivot, "block").select("block", "a", F.col("uid").alias("b"))
-    links, roots = joined(None, _alike(_asked(star), sketches, percent))
+    asked = _asked(star)
+    links, roots = joined(None, _alike(asked, sketches, percent))
+    discard(pivot, asked)
     # In large blocks the rows outside the largest component then meet one row of it, another in each block.
     large = _mixed(members, roots).filter(F.col("n") > LARGE_BLOCK)
     drawn = large.filter("root = main").groupBy("block").agg(F.min_by("uid", F.xxhash64("uid", "block")).alias("a"))
@@ -374,6 +392,7 @@ def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_
     classes = materialize(classes.filter("copies > 1"), "classes")
     classed = lookup(narrow, classes, key, "left").select("uid", "n", F.coalesce("class_uid", "uid").alias("class_uid"))
     classed = materialize(classed, "classed")
+    discard(sets, classes)
     dropped = materialize(classed.filter("(class_uid <> uid) or (n = 0)").select("uid"), "copies")
     own = lookup(texts, dropped, "uid", "left_anti")
     blocks = own.mapInArrow(_emit_blocks(common, rank), "block long, uid long")

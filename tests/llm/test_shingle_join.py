@@ -110,3 +110,19 @@ def test_words_that_a_polynomial_confuses_are_different(spark):
     swapped = thue.translate(str.maketrans("ab", "ba"))
     rows = [(i, t, None, None, None, None, None) for i, t in enumerate([thue, swapped, f"{thue} b c d e f", f"{swapped} b c d e f"])]
     check(spark.createDataFrame(rows, COLUMNS))
+
+
+def test_sets_are_dropped_once_their_pairs_are_verified(spark):
+    """Verifying moves every set twice; the sets of one part must be gone before the next part's are made."""
+    import os
+
+    from quarry.scale import materialize, shared_dir
+
+    texts = materialize(spark.range(12).selectExpr("id as uid", "concat('one two three four five six seven eight ', id div 4) as text"), "texts")
+    near = spark.range(11).selectExpr("id as a", "id + 1 as b")
+    scratch = lambda: sorted(d for d in os.listdir(f"{shared_dir(spark)}/tables") if d.split("-")[0] in ("sets", "ends", "near"))
+    before = scratch()
+    links = sj._linked(near, texts, 75)
+    # Texts of one group are equal; those of neighbouring groups share 4 of 6 shingles.
+    assert sorted(r.a for r in links.collect()) == [0, 1, 2, 4, 5, 6, 8, 9, 10]
+    assert scratch() == before
