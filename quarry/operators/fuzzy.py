@@ -49,20 +49,52 @@ def _deletions(w: str, exact: Column, one: Column, two: Column) -> Column:
     )
 
 
-def _hashed(signatures: Column) -> Column:
-    return F.transform(signatures, lambda s: F.xxhash64(s))
+def _hash(signature: Column) -> Column:
+    """Half of a 64-bit hash: sorted and stored it takes a fraction of the room, and what meets by chance is
+    sorted out by its edits."""
+    return F.shiftright(F.xxhash64(signature), 32).cast("int")
 
 
-def vocabulary_signatures(w: str = "term") -> Column:
-    """Signatures under which a vocabulary word can be found."""
-    n = F.length(w)
-    segments = F.expr(
-        f"transform(sequence(1, {SEGMENTS}), s -> concat_ws(':', '3', length({w}), s, substr({w},"
-        f" 1 + (s-1)*length({w}) div {SEGMENTS},"
-        f" s*length({w}) div {SEGMENTS} - (s-1)*length({w}) div {SEGMENTS})))"
+def _patterns(n: int) -> list[tuple[str, int, int]]:
+    """Level and the two places that are left out (past the end: none) of each signature of a word of ``n``
+    letters; of a long one its segments."""
+    if n > LONG:
+        return [("3:", s, 0) for s in range(1, SEGMENTS + 1)]
+    whole, one = [(n + 1, n + 2)], [(i, n + 1) for i in range(1, n + 1)]
+    two = [(i, j) for i in range(1, n) for j in range(i + 1, n + 1)]
+    levels = {"0:": whole if n <= 2 else [], "1:": whole + one if 2 <= n <= 6 else [], "2:": whole + one + two if n >= 4 else []}
+    return [(level, i, j) for level, places in levels.items() for i, j in places]
+
+
+_PATTERN = "array<struct<level:string,i:int,j:int>>"
+
+
+def exploded_signatures(vocabulary: DataFrame, w: str = "term") -> DataFrame:
+    """``vocabulary`` with ``sig``, a row per signature under which its word can be found.
+
+    What is left out depends on the length alone, so a row per pattern comes from a constant, and
+    letters are compared and hashed column by column, without a lambda per signature. Of patterns that
+    leave the same word only one stays: that whose remaining letters are each the first possible ones.
+    """
+    known = ", ".join(
+        "array(" + ", ".join(f"named_struct('level', '{level}', 'i', {i}, 'j', {j})" for level, i, j in _patterns(n)) + ")"
+        for n in range(LONG + 2)
+    )
+    of_length = F.get(F.expr(f"array({known})"), F.least(F.length(w), F.lit(LONG + 1)))
+    rows = vocabulary.select("*", F.explode(of_length.cast(_PATTERN)).alias("_p")).select("*", "_p.*")
+    left = F.expr(
+        f"length({w}) > {LONG} or case when j = i + 1 then j >= length({w}) or (substr({w},i,1) <> substr({w},j+1,1) and substr({w},j,1) <> substr({w},j+1,1))"
+        f" else substr({w},i,1) <> substr({w},i+1,1) and (j >= length({w}) or substr({w},j,1) <> substr({w},j+1,1)) end"
+    )
+    segment = (
+        f"concat_ws(':', '3', length({w}), i, substr({w}, 1 + (i-1)*length({w}) div {SEGMENTS},"
+        f" i*length({w}) div {SEGMENTS} - (i-1)*length({w}) div {SEGMENTS}))"
+    )
+    word = F.expr(
+        f"case when length({w}) > {LONG} then {segment}"
+        f" else concat(level, substr({w},1,i-1), substr({w},i+1,j-i-1), substr({w},j+1)) end"
     )
-    short = _deletions(w, n <= 2, n.between(2, 6), n.between(4, LONG))
-    return F.array_distinct(_hashed(F.when(n > LONG, segments).otherwise(short)))
+    return rows.where(left).withColumn("sig", _hash(word)).drop("_p", "level", "i", "j")
 
 
 def token_signatures(w: str = "token") -> Column:
@@ -76,7 +108,7 @@ def token_signatures(w: str = "token") -> Column:
         f" s*n div {SEGMENTS} - (s-1)*n div {SEGMENTS})))))))"
     )
     short = _deletions(w, n <= 2, n.between(3, 5), n.between(6, LONG + 2))
-    return F.array_distinct(_hashed(F.concat(short, F.when(n >= LONG - 1, probes).otherwise(_none()))))
+    return F.array_distinct(F.transform(F.concat(short, F.when(n >= LONG - 1, probes).otherwise(_none())), _hash))
 
 
 def signature_table(vocabulary: DataFrame) -> DataFrame:
@@ -84,7 +116,7 @@ def signature_table(vocabulary: DataFrame) -> DataFrame:
 
     Built once with the index and stored by signature, so a search reads what its tokens probe.
     """
-    return vocabulary.select(*FIELD, F.explode(vocabulary_signatures()).alias("sig"), "term", "df")
+    return exploded_signatures(vocabulary.select(*FIELD, "term", "df")).select(*FIELD, "sig", "term", "df")
 
 
 def expand(tokens: DataFrame, signatures: DataFrame) -> DataFrame:

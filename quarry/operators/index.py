@@ -273,5 +273,7 @@ def build_index(
         stats = stored(stats, "term_stats")
     tables |= {"postings": postings, "term_stats": stats, "field_stats": field_stats(by_element if keep else postings), "signatures": signature_table(_spread(stats) if keep else stats)}
     if keep:
-        tables |= {name: materialize(clustered(tables[name], name), name) for name in ("signatures", "field_stats")}
+        # Sorted numbers are stored by their differences, which the second version of the format allows.
+        tables["signatures"] = materialize(clustered(tables["signatures"], "signatures"), "signatures", **{"parquet.writer.version": "v2"})
+        tables["field_stats"] = materialize(tables["field_stats"], "field_stats")
     return Index(values=typed_values, elements=elements, property_types=property_types, phonetic=phonetic, **tables)

@@ -42,15 +42,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, packed tightly, and read it back.
 
     Used for tables that one query reads more than once (postings and the
     statistics over them). Losing an executor then costs a re-read, not a
-    recomputation of the lineage.
+    recomputation of the lineage. ``options`` go to the writer.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,13 +3,14 @@
 import datetime as dt
 import random
 import re
+from itertools import combinations
 
 import pytest
 from fixture_data import index, request
 from pyspark.sql import functions as F
 
 from quarry.operators import predicates as P
-from quarry.operators.fuzzy import expand
+from quarry.operators.fuzzy import expand, signature_table
 from quarry.plans.catalog_search import pattern_tokens, required_grams
 
 
@@ -30,6 +31,26 @@ def test_fuzzy_search_reads_stored_signatures(spark, idx):
     assert {(r.token, r.term) for r in found.collect()} == {("survyeor", "surveyor"), ("polcie", "police")}
 
 
+def test_signatures_of_a_word_are_all_it_can_be_left_as(spark):
+    words = ["", "a", "aa", "abab", "aaaa", "banana", "mississippi", "éè’ö", "abcabcabcabcabca", "abcabcabcabcabcab", "x" * 20]
+
+    def left(word, gone):
+        return {"".join(c for i, c in enumerate(word) if i not in places) for n in range(gone + 1) for places in combinations(range(len(word)), n)}
+
+    def expected(word):
+        n = len(word)
+        if n > 16:
+            return 5
+        return (n <= 2) + (len(left(word, 1)) if 2 <= n <= 6 else 0) + (len(left(word, 2)) if n >= 4 else 0)
+
+    vocabulary = spark.createDataFrame([("t", "p", w, 1) for w in [*words, None]], "entity_type_id string, property_id string, term string, df long")
+    table = signature_table(vocabulary)
+    found = {r.term: (r.n, r.d) for r in table.groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("sig").alias("d")).collect()}
+    assert found == {w: (expected(w), expected(w)) for w in words}
+    # Nothing is evaluated signature by signature in a lambda, and half a hash is stored.
+    assert "lambda" not in executed(table) and table.schema["sig"].dataType.simpleString() == "int"
+
+
 # --- name patterns -----------------------------------------------------------------------
 
 PATTERNS = ["widget", "wid|bol", "gi.m", "abc?d", "colou?rful", "wid.*get", "x{0,2}yzzy", "(red)", "[rR]ed", r"re\w", "Red", "^small$", "ab", "small+", "nosuchliteral", "dget.+", "é.tat"]
