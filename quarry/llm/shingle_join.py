@@ -379,9 +379,8 @@ def _links(members: DataFrame, texts: DataFrame, sketches: DataFrame, percent: i
     return joined(links, near)
 
 
-def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Every row as ``row`` with n_shingles, class_uid, component_id and ``kept``: the row of
-    its component with the smallest id."""
+def _named(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows (uid, row) and, in a table of their own, what ``join_similar`` says of each uid."""
     rows = numbered(docs, F.col(id_column).alias("id"))
     texts = rows.select("uid", text_of(f"row.{text_column}").alias("text"))
     sets = materialize(texts.mapInArrow(_summaries, _SETS), "sets")
@@ -414,9 +413,21 @@ def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_
         F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("component_id"),
         (F.col("size").isNull() | (F.col("first.uid") == F.col("uid"))).alias("kept"),
     )
-    return rows.select("uid", "row").join(materialize(named, "named"), "uid").drop("uid")
+    return rows.select("uid", "row"), materialize(named, "named")
+
+
+def join_similar(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Every row as ``row`` with n_shingles, class_uid, component_id and ``kept``: the row of
+    its component with the smallest id."""
+    rows, named = _named(docs, percent, id_column, text_column)
+    return rows.join(named, "uid").drop("uid")
 
 
 def representatives(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of every group of similar ones."""
-    return join_similar(docs, **options).filter("kept").select("row.*")
+    """``docs`` with one document of every group of similar ones.
+
+    Texts meet only the numbers of the few that go, not those of all that stay.
+    """
+    rows, named = _named(docs, **options)
+    dropped = materialize(named.filter("not kept").select("uid"), "dropped")
+    return lookup(rows, dropped, "uid", "left_anti").select("row.*")

@@ -126,3 +126,16 @@ def test_sets_are_dropped_once_their_pairs_are_verified(spark):
     # Texts of one group are equal; those of neighbouring groups share 4 of 6 shingles.
     assert sorted(r.a for r in links.collect()) == [0, 1, 2, 4, 5, 6, 8, 9, 10]
     assert scratch() == before
+
+
+def test_texts_meet_only_the_rows_that_go(spark):
+    docs = awkward(spark)
+    kept = sj.join_similar(docs).filter("kept").select("row.*")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sj.representatives(docs)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, found.collect())) == sorted(map(str, kept.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
