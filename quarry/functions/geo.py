@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +23,8 @@ UNIT_METRES = {
     "nauticalmiles": 1852.0,
 }
 
-# Degrees of the cells of each level, a quarter of those of the level before.
-CELL_DEGREES = [16.0 / 4**level for level in range(8)]
+# Degrees of the cells of each level, half of those of the level before.
+CELL_DEGREES = [16.0 / 2**level for level in range(15)]
 BOX_CELLS = 12  # a box uses the finest level at which it touches no more
 
 
@@ -41,6 +44,30 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
+# Cosines differ from exact ones by far less; closer pairs are measured by ``haversine``.
+_COSINE_MARGIN = 1e-12
+
+
+def unit_vector(lat: Column, lon: Column, prefix: str) -> dict[str, Column]:
+    """A place as columns ``prefix``x, y, z of a point on the unit sphere."""
+    a, b = F.radians(lat), F.radians(lon)
+    return {f"{prefix}x": F.cos(a) * F.cos(b), f"{prefix}y": F.cos(a) * F.sin(b), f"{prefix}z": F.sin(a)}
+
+
+def radius_cosine(radius_m: Column) -> Column:
+    """Cosine of the angle of a radius; below every cosine where it reaches round the earth."""
+    angle = radius_m / EARTH_RADIUS_M
+    return F.when(angle >= math.pi, -2.0).otherwise(F.cos(angle))
+
+
+def within(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius_m: Column, cosine: Column, least_cosine: Column) -> Column:
+    """``haversine`` at most ``radius_m``, decided by the cosine of the angle between the places where it is not close."""
+    return (
+        F.when(cosine > least_cosine + _COSINE_MARGIN, True).when(cosine < least_cosine - _COSINE_MARGIN, False)
+        .otherwise(haversine(lat1, lon1, lat2, lon2) <= radius_m)
+    )
+
+
 def circle_box(lat: Column, lon: Column, radius_m: Column) -> dict[str, Column]:
     """Smallest latitude/longitude box around a circle.
 
@@ -96,6 +123,34 @@ def point_in_zone(lat: Column, lon: Column, zone: Column) -> Column:
     return (F.size(zone) >= 3) & (F.size(F.filter(edges, crosses)) % 2 == 1)
 
 
+# Rings of up to so many corners are tested column by column.
+SHORT_RING = 8
+
+
+def _corner(i: int) -> tuple[str, str]:
+    return f"ring_x{i}", f"ring_y{i}"
+
+
+def ring_columns(zone: Column) -> dict[str, Column]:
+    """Corners of a short closed ring as columns, null past its end; ``zone`` stays for longer rings only."""
+    n, columns = F.size(zone), {}
+    for i in range(SHORT_RING + 1):
+        corner = F.when((n <= SHORT_RING) & (n >= i), F.get(zone, F.when(n > i, F.lit(i)).otherwise(F.lit(0))))
+        columns |= {name: F.get(corner, at) for at, name in enumerate(_corner(i))}
+    return columns | {"zone": F.when(n > SHORT_RING, zone)}
+
+
+def point_in_ring(lat: Column, lon: Column) -> Column:
+    """``point_in_zone`` of ``ring_columns``, which generated code can do without arrays."""
+
+    def crosses(i: int) -> Column:
+        (x1, y1), (x2, y2) = (map(F.col, _corner(j)) for j in (i, i + 1))
+        return F.when(((y1 > lat) != (y2 > lat)) & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1), 1).otherwise(0)
+
+    crossings = reduce(lambda a, b: a + b, [crosses(i) for i in range(SHORT_RING)])
+    return F.when(F.col("zone").isNull(), crossings % 2 == 1).otherwise(point_in_zone(lat, lon, F.col("zone")))
+
+
 def _row(lat: Column, step) -> Column:
     return F.floor((lat + 90) / step).cast("int")
 

@@ -129,20 +129,22 @@ def within_linking(hits: DataFrame, req: Requests, index: Index) -> DataFrame:
     return normal.unionByName(kept)
 
 
-def compose(matches: DataFrame | None, req: Requests, live: DataFrame, index: Index, explain: bool = False) -> DataFrame:
+def compose(
+    matches: DataFrame | None, req: Requests, live: DataFrame, index: Index, explain: bool = False, hits: list[DataFrame] = ()
+) -> DataFrame:
     """Hits (search_id, doc_id, score) of all searches; with ``explain`` also ``why``, the matches that made the score.
 
     The match rows are exchanged once, by search and document; every grouping
-    above them reuses that partitioning.
+    above them reuses that partitioning. ``hits`` are those that needed no composition.
     """
-    parts = []
+    parts = list(hits)
     if matches is not None:
         if explain:  # searches without any text clause have no statistics
             matches = matches.withColumns({c: F.lit(None) for c in REASON if c not in matches.columns})
         placed = matches.repartition("search_id", "doc_id")
         grouped = group_hits(clause_scores(placed, explain), req.groups, req.small, explain)
         parts.append(search_hits(grouped, live, req.small, explain))
-    if matches is None or "open" in req.features:
+    if (matches is None and not parts) or "open" in req.features:
         whole = all_of_set(live, index, req.small)
         parts.append(whole.withColumn("why", F.array().cast(_NONE)) if explain else whole)
     hits = reduce(DataFrame.unionByName, parts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -186,39 +188,108 @@ def _at_points(shapes: DataFrame, index_points: DataFrame, small: bool | None) -
     return met.where(geo.in_box(lat, lon))
 
 
-def distance_matches(req: Requests, index: Index) -> DataFrame:
-    """Points within a radius (inclusive)."""
-    circles = (
-        req.constraints.where(F.col("search_type") == "geoDistance")
+def _constraints(req: Requests, search_type: str, alone: DataFrame | None) -> DataFrame:
+    """Authorised constraints of a kind with their scopes; ``alone`` says which are all their search asks."""
+    rows = (
+        req.constraints.where(F.col("search_type") == search_type)
         .join(req.authorized, ["search_id", "property_id"], "left_semi")
         .join(scopes(req.searches), "search_id")
-        .select(
-            *CONSTRAINT, *SCOPE, "property_id",
-            F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
-            geo.metres(F.col("radius"), F.col("unit")).alias("radius_m"),
-        )
     )
-    shapes = _shape_cells(circles, geo.circle_box(F.col("c_lat"), F.col("c_lon"), F.col("radius_m")))
-    shapes, few = settle(shapes, "circles")
-    near = _at_points(shapes, index.points, few).where(
-        geo.haversine(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")) <= F.col("radius_m")
+    if alone is None:
+        return rows.withColumn("alone", F.lit(False))
+    marked = rows.join(req.sized(alone.withColumn("alone", F.lit(True))), "search_id", "left")
+    return marked.withColumn("alone", F.coalesce("alone", F.lit(False)))
+
+
+def _circles(req: Requests, alone: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    c_lat, c_lon, radius_m = F.col("c_lat"), F.col("c_lon"), F.col("radius_m")
+    circles = _constraints(req, "geoDistance", alone).select(
+        *CONSTRAINT, *SCOPE, "property_id", "alone",
+        F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
+        geo.metres(F.col("radius"), F.col("unit")).alias("radius_m"),
     )
-    return _constant(near)
+    measured = circles.withColumns(geo.unit_vector(c_lat, c_lon, "c_") | {"least_cosine": geo.radius_cosine(radius_m)})
+    return settle(_shape_cells(measured, geo.circle_box(c_lat, c_lon, radius_m)), "circles")
+
+
+def _in_circle(shapes: DataFrame, points: DataFrame, small: bool) -> DataFrame:
+    placed = points.withColumns(geo.unit_vector(F.col("lat"), F.col("lon"), "p_"))
+    cosine = sum((F.col(f"c_{a}") * F.col(f"p_{a}") for a in "yz"), F.col("c_x") * F.col("p_x"))
+    return _at_points(shapes, placed, small).where(geo.within(
+        F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"), F.col("radius_m"), cosine, F.col("least_cosine")
+    ))
+
+
+def _zones(req: Requests, alone: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    zones = _constraints(req, "geoPolygon", alone).select(
+        *CONSTRAINT, *SCOPE, "property_id", (F.col("alone") & (F.size("zones") == 1)).alias("alone"), F.explode("zones").alias("zone")
+    ).where(F.size("zone") >= 3)
+    zone = F.col("zone")
+    boxed = _shape_cells(zones.withColumn("ring", zone), geo.zone_box(F.col("ring"))).withColumns(geo.ring_columns(F.col("ring")))
+    return settle(boxed.drop("ring"), "zones")
+
+
+def _in_zone(shapes: DataFrame, points: DataFrame, small: bool) -> DataFrame:
+    return _at_points(shapes, points, small).where(geo.point_in_ring(F.col("lat"), F.col("lon")))
+
+
+GEOGRAPHY = {"geoDistance": (_circles, _in_circle), "geoPolygon": (_zones, _in_zone)}
+
+
+def distance_matches(req: Requests, index: Index) -> DataFrame:
+    """Points within a radius (inclusive)."""
+    shapes, few = _circles(req)
+    return _constant(_in_circle(shapes, index.points, few))
 
 
 def polygon_matches(req: Requests, index: Index) -> DataFrame:
     """Points inside any zone of a constraint; a zone is a ring of [lon, lat] pairs."""
-    zones = (
-        req.constraints.where(F.col("search_type") == "geoPolygon")
-        .join(req.authorized, ["search_id", "property_id"], "left_semi")
-        .join(scopes(req.searches), "search_id")
-        .select(*CONSTRAINT, *SCOPE, "property_id", F.explode("zones").alias("zone"))
-    )
-    shapes, few = settle(_shape_cells(zones, geo.zone_box(F.col("zone"))), "zones")
-    inside = _at_points(shapes, index.points, few).where(
-        geo.point_in_zone(F.col("lat"), F.col("lon"), F.col("zone"))
-    )
-    return _constant(inside)
+    shapes, few = _zones(req)
+    return _constant(_in_zone(shapes, index.points, few))
+
+
+def alone(req: Requests, live: DataFrame) -> DataFrame:
+    """Live searches (search_id) of one constraint in one group that needs no more than one match."""
+    rows = reduce(DataFrame.unionByName, [
+        table.select(
+            "search_id", *[F.lit(int(n == name)).alias(n) for n in ("live", "groups", "constraints")],
+            (F.col("n_groups") if name == "live" else F.lit(1)).cast("bigint").alias("n_groups"),
+            (F.col("minimum_matches") if name == "groups" else F.lit(1)).alias("minimum"),
+        ) for name, table in (("live", live), ("groups", req.groups), ("constraints", req.constraints))
+    ])
+    counted = rows.groupBy("search_id").agg(*[F.sum(n).alias(n) for n in ("live", "groups", "constraints")], F.max("n_groups").alias("n_groups"), F.max("minimum").alias("minimum"))
+    return counted.where("live = 1 and groups = 1 and constraints = 1 and n_groups = 1 and minimum <= 1").select("search_id")
+
+
+def geo_hits(req: Requests, live: DataFrame, index: Index) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Hits (search_id, doc_id, score) of geographic constraints that need no composition, and matches of all others.
+
+    A search that asks for one shape alone meets a document with a single point at most once, so
+    such a pair is a hit as it is: the rows of the largest searches are not exchanged by search and document to
+    find out. Documents of several points, and searches that ask for more, are matched as ever.
+    """
+    field, lone = [*SCOPE, "property_id"], materialize(alone(req, live), "alone")
+    hits, matches = [], []
+    for kind, (shapes_of, test) in GEOGRAPHY.items():
+        if kind not in req.features:
+            continue
+        shapes, few = shapes_of(req, lone)
+        asked = lookup_join(index.points, shapes.select(*field).distinct(), field, ["doc_id"], how="left_semi")
+        # One point of a document is its smallest: places are kept without a list that could be long.
+        counts = materialize(asked.groupBy(*field, "doc_id").agg(
+            F.count(F.lit(1)).alias("n"), F.min("lat").alias("lat"), F.min("lon").alias("lon")), "places")
+        single = (F.col("n") == 1) & F.col("doc_id").isNotNull()
+        if not shapes.where("alone").isEmpty():
+            met = test(shapes.where("alone"), counts.where(single).select(*field, "doc_id", F.lit("").alias("ord"), "lat", "lon"), few)
+            hits.append(met.select("search_id", "doc_id", F.lit(1.0).alias("score")))
+            several = counts.where(~single)
+            if not several.isEmpty():
+                named = lookup_join(asked.where("doc_id is not null"), several.select(*field, "doc_id"), [*field, "doc_id"], ["ord"], how="left_semi")
+                rest = named.unionByName(asked.where("doc_id is null").select(named.columns))
+                matches.append(_constant(test(shapes.where("alone"), materialize(rest, "several"), few)))
+        if not shapes.where("not alone").isEmpty():
+            matches.append(_constant(test(shapes.where("not alone"), asked, few)))
+    return hits, matches
 
 
 # --- nested id lists -------------------------------------------------------

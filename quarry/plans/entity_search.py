@@ -31,17 +31,20 @@ def text_match_rows(req: Requests, live: DataFrame, index: Index, explain: bool
     return parts
 
 
-def match_rows(req: Requests, live: DataFrame, index: Index, explain: bool = False) -> DataFrame | None:
+def match_rows(
+    req: Requests, live: DataFrame, index: Index, explain: bool = False, places: list[DataFrame] | None = None
+) -> DataFrame | None:
     """Match rows of every constraint; only the predicates in use are planned.
 
-    With ``explain`` they carry the term and its statistics, null where a predicate has none.
+    With ``explain`` they carry the term and its statistics, null where a predicate has none. ``places``
+    are those of the geographic constraints where they are known (see ``predicates.geo_hits``).
     """
-    parts: list[DataFrame] = []
+    parts: list[DataFrame] = list(places or [])
     if {"simple", "advanced"} & req.features:
         parts += text_match_rows(req, live, index, explain)
-    if "geoDistance" in req.features:
+    if "geoDistance" in req.features and places is None:
         parts.append(P.distance_matches(req, index))
-    if "geoPolygon" in req.features:
+    if "geoPolygon" in req.features and places is None:
         parts.append(P.polygon_matches(req, index))
     if "writeDateTimeFilter" in req.features:
         parts.append(P.write_time_matches(req, index))
@@ -51,7 +54,10 @@ def match_rows(req: Requests, live: DataFrame, index: Index, explain: bool = Fal
 def find(req: Requests, index: Index, explain: bool = False) -> DataFrame:
     """All hits (search_id, doc_id, score), unpaged; with ``explain`` also the reasons ``why``."""
     live, _ = settle(live_searches(req), "live")
-    return compose(match_rows(req, live, index, explain), req, live, index, explain)
+    if explain or not set(P.GEOGRAPHY) & req.features:
+        return compose(match_rows(req, live, index, explain), req, live, index, explain)
+    hits, places = P.geo_hits(req, live, index)
+    return compose(match_rows(req, live, index, places=places), req, live, index, hits=hits)
 
 
 def search(req: Requests, index: Index) -> DataFrame:

@@ -145,23 +145,37 @@ def lookup_join(
 
 
 HOT_ROWS, HOT_KEYS = 50_000, 1_000
+# Rows read and pairs met by one task of a ``spread_join``, and pairs of one slice of a key.
+TASK_ROWS, TASK_PAIRS, SLICE_PAIRS = 500_000, 20_000_000, 50_000_000
 
 
 def spread_join(big: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
-    """Inner equi-join of a stored table to a large lookup table in which only hot keys are sliced.
+    """Inner equi-join of a stored table to a large stored lookup table in which only hot keys are sliced.
 
     ``lookup_join`` repeats every lookup row per slice, which for millions of unfolded rows costs more
-    than the join. Here the rows of ``big`` per key are counted first, so ``big`` is read twice; a key
-    with more than ``HOT_ROWS`` of them is cut into slices of about that many. There are at most
-    ``HOT_KEYS`` such keys: with more, the share that makes a key hot grows with the table.
+    than the join. Here the rows of both tables per key are counted first, so they are read twice; a key
+    with more than ``HOT_ROWS`` of ``big`` is cut into slices of about that many, one with more pairs than
+    ``SLICE_PAIRS`` likewise. There are at most ``HOT_KEYS`` keys of many rows: with more, the share that makes
+    a key hot grows with the table. The number of tasks follows the pairs: bytes say little of a join in which
+    few rows meet many.
     """
     counts = materialize(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+    asked = materialize(lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")), "lookup_counts")
     share = max(HOT_ROWS, -(-(counts.agg(F.sum("_n")).first()[0] or 0) // HOT_KEYS))
-    hot = counts.where(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_slices"))
+    met = materialize(counts.join(shuffled(asked), keys).withColumn(
+        "_slices", F.greatest(F.ceil(F.col("_n") / share), F.least("_n", F.ceil(F.col("_n") * F.col("_m") / SLICE_PAIRS))).cast("int")
+    ), "met_keys")
+    size = met.agg(F.sum(F.col("_n") + F.col("_slices") * F.col("_m")), F.sum(F.col("_n").cast("double") * F.col("_m"))).first()
+    hot = met.where("_slices > 1").select(*keys, "_slices")
+    spark = big.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism,
+        -(-(size[0] or 0) // TASK_ROWS), int((size[1] or 0) // TASK_PAIRS) + 1,
+    )
 
     def sliced(table: DataFrame, slice_of: Column) -> DataFrame:
         known = table.join(F.broadcast(hot), keys, "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
-        return known.withColumn("_slice", slice_of).drop("_slices")
+        return known.withColumn("_slice", slice_of).drop("_slices").repartition(tasks, *keys, "_slice")
 
     spread = sliced(big, F.pmod(F.xxhash64(*spread_by), F.col("_slices")).cast("int"))
     repeated = sliced(lookup, F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))

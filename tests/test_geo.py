@@ -125,3 +125,87 @@ def test_spread_join_repeats_no_row_of_a_plain_key(spark, monkeypatch):
     assert joined.columns == ["k", "id", "v"]
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, big.join(lookup, "k").collect()))
     assert joined.count() == 2 * 500 + 20
+
+
+def mixed_requests(spark, kind):
+    """Searches of one shape, of two in a group or in two groups, asked twice, needing two matches, of two zones."""
+    rng = random.Random(11)
+    names, ask, groups, rows = schemas.CONSTRAINTS.fieldNames(), [], [], []
+
+    def shape():
+        lat, lon, r = rng.uniform(-50, 50), rng.uniform(-140, 140), rng.choice([2000.0, 6000.0, 11000.0])
+        ring = [[lon - 30, lat - 20], [lon + 30, lat - 15], [lon + 20, lat + 25], [lon - 25, lat + 20]]
+        return {"lat": lat, "lon": lon, "radius": r, "unit": "KILOMETERS"} if kind == "geoDistance" else {"zones": [ring]}
+
+    def add(sid, constraints, given, times=1):
+        for _ in range(times):
+            ask.append((sid, "r", 0, "s", "t", False, 0, 10, "score", None, None, None, True))
+            groups.extend((sid, g, m) for g, m in given)
+            rows.extend(tuple({"search_id": sid, "constraint_no": 0, "search_type": kind, "property_id": "p", **c}.get(k) for k in names)
+                        for c in constraints)
+
+    for n in range(12):
+        add(f"one{n}", [{"group_no": 0, **shape()}], [(0, n % 2)])
+    add("both", [{"group_no": 0, **shape()}, {"group_no": 0, **shape(), "constraint_no": 1}], [(0, 1)])
+    add("groups", [{"group_no": 0, **shape()}, {"group_no": 1, **shape()}], [(0, 1), (1, 1)])
+    add("twice", [{"group_no": 0, **shape()}], [(0, 1)], times=2)
+    add("needs two", [{"group_no": 0, **shape()}], [(0, 2)])
+    if kind == "geoPolygon":
+        add("two zones", [{"group_no": 0, "zones": shape()["zones"] + shape()["zones"]}], [(0, 1)])
+        far = [[50 * math.cos(t), 40 * math.sin(t)] for t in (x * 0.5 for x in range(12))]
+        add("many corners", [{"group_no": 0, "zones": [far]}], [(0, 1)])
+    return Requests.of(
+        spark, searches=local_table(spark, ask, schemas.SEARCHES),
+        authorized=local_table(spark, [(a[0], "p") for a in ask], schemas.AUTHORIZED),
+        groups=local_table(spark, groups, schemas.SEARCH_GROUPS), constraints=local_table(spark, rows, schemas.CONSTRAINTS))
+
+
+def several_points(spark):
+    """Documents of one point, of several elements, of a row given twice, and without a name."""
+    rng = random.Random(5)
+    rows = [("t", "s", "p", str(i), "0", rng.uniform(-80, 80), rng.uniform(-179, 179)) for i in range(1200)]
+    rows += [("t", "s", "p", str(i % 40), str(1 + i // 40), rng.uniform(-80, 80), rng.uniform(-179, 179)) for i in range(120)]
+    rows += rows[500:560] + [("t", "s", "p", None, "0", a, b) for a, b in ((0.0, 0.0), (10.0, 10.0))]
+    rows += [("t", "other", "p", "x", "0", 0.0, 0.0)]
+    return Points(spark.createDataFrame(rows, "entity_type_id string, scope string, property_id string, doc_id string, ord string, lat double, lon double"))
+
+
+def found_and_composed(req, index):
+    from quarry.operators.compose import compose
+    from quarry.operators.requests import live_searches
+    from quarry.plans.entity_search import find, match_rows
+
+    live = live_searches(req)
+    key = lambda r: tuple(map(str, r))
+    got = find(req, index).select("search_id", "doc_id", "score")
+    wanted = compose(match_rows(req, live, index), req, live, index).select("search_id", "doc_id", "score")
+    return sorted(map(key, got.collect())), sorted(map(key, wanted.collect()))
+
+
+def test_circles_alone_are_found_without_an_exchange_by_document(spark):
+    from quarry.plans.entity_search import find
+
+    rng, pts, index = setup(spark)
+    rows = [{"search_type": "geoDistance", "lat": a, "lon": 10.0 * a, "radius": 3000.0, "unit": "KILOMETERS"} for a in (-15.0, 0.0, 12.0)]
+    found = find(requests(spark, rows), index)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "search_id" in plan and "hashpartitioning(search_id" not in plan
+    assert sorted((r.search_id, r.doc_id, r.score) for r in found.collect()) == sorted(
+        (str(n), i, 1.0) for n, a in enumerate((-15.0, 0.0, 12.0)) for i, la, lo in pts if metres(la, lo, a, 10 * a) <= 3e6)
+
+
+def test_circles_of_any_search_are_composed_as_before(spark):
+    got, wanted = found_and_composed(mixed_requests(spark, "geoDistance"), several_points(spark))
+    assert len(wanted) > 200 and got == wanted
+    assert {"both", "groups", "twice", "one1"} <= {r[0] for r in got} and ("needs two" not in {r[0] for r in got})
+
+
+def test_radii_at_a_point_are_decided_by_the_measured_distance(spark):
+    """Where the cosine is too close to tell, the distance is measured; radii that reach round the earth hold all."""
+    pts = [("a", 0.0, 0.0), ("b", 0.0, 0.001), ("c", 0.0, 180.0), ("d", 45.0, 90.0)]
+    index = Points(spark.createDataFrame([("t", "s", "p", i, "0", la, lo) for i, la, lo in pts],
+                                         "entity_type_id string, scope string, property_id string, doc_id string, ord string, lat double, lon double"))
+    radii = [0.0, metres(0, 0, 0, 0.001), metres(0, 0, 0, 0.001) - 1e-6, metres(0, 0, 45, 90), metres(0, 0, 45, 90) - 1e-3, 2.1e7, 4e7]
+    rows = [{"search_type": "geoDistance", "lat": 0.0, "lon": 0.0, "radius": r, "unit": "METERS"} for r in radii]
+    found = {tuple(r) for r in P.distance_matches(requests(spark, rows), index).select("search_id", "doc_id").collect()}
+    assert found == {(str(n), i) for n, r in enumerate(radii) for i, la, lo in pts if metres(0, 0, la, lo) <= r}
