@@ -209,3 +209,22 @@ def test_radii_at_a_point_are_decided_by_the_measured_distance(spark):
     rows = [{"search_type": "geoDistance", "lat": 0.0, "lon": 0.0, "radius": r, "unit": "METERS"} for r in radii]
     found = {tuple(r) for r in P.distance_matches(requests(spark, rows), index).select("search_id", "doc_id").collect()}
     assert found == {(str(n), i) for n, r in enumerate(radii) for i, la, lo in pts if metres(0, 0, la, lo) <= r}
+
+
+def test_zones_alone_are_found_without_an_exchange_by_document(spark):
+    from quarry.plans.entity_search import find
+
+    rng, pts, index = setup(spark)
+    rings = [[[-10.0 - n, -20.0], [30.0, -12.0 * n], [25.0, 28.0], [-15.0, 22.0]][:3 + n % 2] for n in range(4)]
+    rings.append([[60 * math.cos(t / 2), 50 * math.sin(t / 2)] for t in range(12)])
+    found = find(requests(spark, [{"search_type": "geoPolygon", "zones": [r]} for r in rings]), index)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "search_id" in plan and "hashpartitioning(search_id" not in plan
+    assert sorted((r.search_id, r.doc_id, r.score) for r in found.collect()) == sorted(
+        (str(n), i, 1.0) for n, ring in enumerate(rings) for i, la, lo in pts if inside(la, lo, ring))
+
+
+def test_zones_of_any_search_are_composed_as_before(spark):
+    got, wanted = found_and_composed(mixed_requests(spark, "geoPolygon"), several_points(spark))
+    assert len(wanted) > 100 and got == wanted
+    assert {"two zones", "many corners"} <= {r[0] for r in got}
