@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text
 from quarry.functions.phonetic import metaphone_code
 from quarry.operators.fuzzy import FIELD, signature_table
-from quarry.operators.typing_ops import typed_key
+from quarry.operators.typing_ops import stored_key
 from quarry.scale import lookup_join, materialize
 
 LINKED = "(linked)"
@@ -172,7 +172,7 @@ def field_stats(postings: DataFrame) -> DataFrame:
 def typed_terms(typed_values: DataFrame) -> DataFrame:
     """Canonical keys of non-text values, for equality with parsed search text."""
     return (
-        typed_values.withColumn("term", typed_key(F.col("value"), F.col("datatype")))
+        typed_values.where("datatype <> 'String'").withColumn("term", stored_key())
         .where(F.col("term").isNotNull())
         .select(
             "entity_type_id", scope_of(F.col("entity_set_id")).alias("scope"), "property_id",

@@ -99,6 +99,27 @@ def typed(value: Column, datatype: Column) -> dict[str, Column]:
     }
 
 
+def typed_row(value: Column, datatype: Column) -> Column:
+    """``typed`` as one struct, null for text, which no other kind takes.
+
+    As a lambda over one value it stays out of the generated code around it: the reading of all kinds makes a
+    method that the JVM does not compile, and every row then runs it step by step.
+    """
+    given = F.array(F.struct(value.alias("value"), datatype.alias("datatype")))
+    read = F.transform(given, lambda v: F.struct(*[
+        column.alias(name) for name, column in typed(v.getField("value"), v.getField("datatype")).items()
+    ]))
+    return F.when(datatype != "String", F.get(read, 0))
+
+
+def stored_key() -> Column:
+    """``typed_key`` of a typed row, from its columns."""
+    decimal = F.get(F.transform(F.array("value"), decimal_key), 0)
+    return F.when(F.col("datatype") == "Decimal", decimal).otherwise(
+        F.coalesce(*[F.col(c).cast("string") for c in ("v_bool", "v_long", "v_double", "v_date", "v_ts")])
+    )
+
+
 def typed_key(value: Column, datatype: Column) -> Column:
     """Canonical text of a typed value, so that equal values have equal keys.
 
@@ -121,7 +142,8 @@ def type_values(values: DataFrame, property_types: DataFrame) -> DataFrame:
     """
     kinds = property_types.select("property_id", "datatype", "analyzer")
     joined = lookup_join(values, kinds, ["property_id"], ["doc_id"], how="left")
-    return joined.withColumns(typed(F.col("value"), F.col("datatype"))).withColumn(
+    read = joined.withColumn("_typed", typed_row(F.col("value"), F.col("datatype")))
+    return read.select(*joined.columns, *[F.col("_typed").getField(c).alias(c) for c in TYPED_COLUMNS]).withColumn(
         "searchable", F.coalesce(F.col("datatype").isin(SEARCHABLE), F.lit(False))
     )
 

@@ -182,6 +182,18 @@ def spread_join(big: DataFrame, lookup: DataFrame, keys: list[str], spread_by: l
     return spread.join(shuffled(repeated), [*keys, "_slice"]).drop("_slice")
 
 
+SPREAD_ROWS = 100_000
+
+
+def spread_rows(table: DataFrame) -> DataFrame:
+    """A stored table of narrow rows over all cores: small files hold many rows that are unfolded and typed."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    rows = table.count()
+    if rows <= SPREAD_ROWS or table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(max(cores, -(-rows // SPREAD_ROWS)))
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A table of driver-side rows (searches, property types) with a size Spark knows."""
     columns = list(zip(*rows)) if rows else [[] for _ in schema]

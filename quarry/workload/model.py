@@ -16,7 +16,7 @@ from quarry.operators.ingest import long_values
 from quarry.operators.requests import Requests
 from quarry.operators.typing_ops import evolve, type_values
 from quarry.plans.catalog_search import catalog_index, entity_set_index, index_of, organization_values
-from quarry.scale import local_table, settle
+from quarry.scale import local_table, settle, spread_rows
 
 ELEMENTS_PER_LINK = 5
 
@@ -103,7 +103,7 @@ def linked_keys() -> dict[str, Column]:
 
 def customer_values(spark: SparkSession, sf_dir: str, linked: bool = False) -> DataFrame:
     keys = linked_keys() if linked else customer_keys()
-    return long_values(table(spark, sf_dir, "customer"), customer_cells(), keys)
+    return long_values(spread_rows(table(spark, sf_dir, "customer")), customer_cells(), keys)
 
 
 def customer_elements(spark: SparkSession, sf_dir: str, linked: bool = False) -> DataFrame:
@@ -129,7 +129,7 @@ def customer_index(spark: SparkSession, sf_dir: str) -> Index:
 def part_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = {name: F.col(name) for name in ("p_name", "p_type", "p_brand", "p_size")}
     return long_values(
-        table(spark, sf_dir, "part"), cells, normal_keys("part", F.col("p_partkey"), F.col("p_brand"))
+        spread_rows(table(spark, sf_dir, "part")), cells, normal_keys("part", F.col("p_partkey"), F.col("p_brand"))
     )
 
 
@@ -216,7 +216,7 @@ def order_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_partkey").cast("string").alias("p")))).alias("l")
     ).select(F.col("l_orderkey").alias("o_orderkey"), F.transform("l", lambda x: x.getField("p")).alias("property_ids"))
-    return table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select(
+    return spread_rows(table(spark, sf_dir, "orders")).join(lines, "o_orderkey", "left").select(
         F.col("o_orderkey").cast("string").alias("entity_set_id"), F.col("o_custkey").cast("string").alias("entity_type_id"),
         F.concat(F.lit("order"), F.col("o_orderkey")).alias("name"), F.col("o_orderpriority").alias("title"),
         F.concat(F.lit("status "), "o_orderstatus").alias("description"),

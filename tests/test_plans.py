@@ -232,3 +232,40 @@ def test_values_are_tokenised_once_where_codes_are_added(spark):
     assert built.exceptAll(ix.build_postings(rows, spoken)).isEmpty() and built.count() == ix.build_postings(rows, spoken).count()
     assert built.where("term = 'NFT' or term = 'NT' or term = 'SM0'").count() > 0
     assert seen.value == 300
+
+
+def test_typing_is_generated_in_methods_the_jvm_compiles(spark):
+    """A method of more than 8,000 bytes runs uncompiled, row by row."""
+    import re
+
+    from quarry.operators.index import typed_terms
+    from quarry.operators.typing_ops import type_values
+
+    given = [("p", "Double", "1.50"), ("q", "Decimal", "007.10"), ("s", "String", "7"), ("g", "GeographyPoint", "1,2"), ("d", "DateTimeOffset", "2024-01-01T00:00:00Z"),
+             ("i", "Int32", "3"), ("b", "Boolean", "true"), ("x", None, "4")]
+    props = local_table(spark, [(p, "n", p, p, kind, None) for p, kind, _ in given if kind], schemas.PROPERTY_TYPES)
+    values = local_table(spark, [("t", p, "s", "0", p, "s", p, 0, v) for p, _, v in given], schemas.ENTITY_VALUES)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        typed = type_values(values, props)
+        stored = materialize(typed, "typed")
+        for df in (typed, typed_terms(stored)):
+            code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan())
+            assert all(int(n) <= 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert {(r.property_id, r.term) for r in typed_terms(stored).collect()} == {
+        ("p", "1.5"), ("q", "71E-1"), ("d", "2024-01-01 00:00:00"), ("i", "3"), ("b", "true")}
+
+
+def test_small_files_of_many_rows_are_spread_over_the_cores(spark, monkeypatch):
+    from quarry import scale
+
+    path = shared_path(spark, "rows")
+    spark.range(5000).coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert scale.spread_rows(rows) is rows
+    monkeypatch.setattr(scale, "SPREAD_ROWS", 1000)
+    spread = scale.spread_rows(rows)
+    assert spread.rdd.getNumPartitions() >= 4 and spread.count() == 5000 and spread.distinct().count() == 5000
